@@ -254,9 +254,9 @@ def _json_n() -> str:
 
 
 TOPIC = f"""topic AS (
-  SELECT {_json_t()} AS json, kafka_timestamp, data_type, batch_id FROM Tx
-  UNION ALL SELECT {_json_a()}, kafka_timestamp, data_type, batch_id FROM Ax
-  UNION ALL SELECT {_json_n()}, kafka_timestamp, data_type, batch_id FROM Nx
+  SELECT CAST({_json_t()} AS VARCHAR) AS json, kafka_timestamp, data_type, batch_id FROM Tx
+  UNION ALL SELECT CAST({_json_a()} AS VARCHAR), kafka_timestamp, data_type, batch_id FROM Ax
+  UNION ALL SELECT CAST({_json_n()} AS VARCHAR), kafka_timestamp, data_type, batch_id FROM Nx
 )"""
 
 PARSE_T = """SELECT transaction_id, user_id, user_name, user_city, user_age, user_email,
@@ -573,3 +573,38 @@ def build_oracles() -> dict[str, str]:
 
 
 ORACLES = build_oracles()
+
+
+# -- streaming keys: append mode emits a window once the watermark
+# (max event time seen - delay) has reached its end ------------------------
+
+STREAM_CLOSE = {
+    "transaction_hourly_stats": ("Tx", 3600, ""),
+    "top_users": ("Tx", 3600, ""),
+    "payment_method_stats": ("Tx", 1800, ""),
+    "device_stats": ("Tx", 1800, ""),
+    "activity_stats": ("Ax", 1800, ""),
+    "sensor_anomalies": ("Nx", 600, "WHERE status IN ('warning', 'critical')"),
+    "sensor_anomalies_ext": ("Nx", 600, "WHERE status IN ('warning', 'critical')"),
+}
+
+
+def _stream_oracles() -> dict[str, str]:
+    o = {}
+    for name, (src, secs, where) in STREAM_CLOSE.items():
+        o[f"stream_{name}"] = with_tables(
+            f"""SELECT * FROM {name}
+  WHERE window_end <= (SELECT MAX(event_time) FROM {src} {where}) - INTERVAL {secs} SECOND""",
+            name,
+        )
+    o["stream_hourly_metrics"] = with_tables(
+        """SELECT hour, total_transactions, total_amount, avg_transaction_amount, anomaly_count,
+    TRUE AS active_users_within_tolerance
+  FROM hourly_metrics
+  WHERE hour + INTERVAL 1 HOUR <= (SELECT MAX(event_time) FROM Tx) - INTERVAL 1 HOUR""",
+        "hourly_metrics",
+    )
+    return o
+
+
+ORACLES.update(_stream_oracles())
