@@ -206,7 +206,7 @@ SPECS: dict[str, AggSpec] = {
 
 def prepare(messages: DataFrame, kind: str) -> DataFrame:
     """Typed events of one kind with a parsed ``event_time``."""
-    return with_event_time(typed(messages, kind), kind)
+    return with_event_time(typed(messages, kind, with_kafka_time=True), kind)
 
 
 def build(spec: AggSpec | str, events: DataFrame, conform_output: bool = True) -> DataFrame:
@@ -242,19 +242,20 @@ def from_messages(spec: AggSpec | str, messages: DataFrame) -> DataFrame:
     return build(spec, prepare(messages, spec.kind))
 
 
-def hourly_anomaly_counts(messages: DataFrame) -> DataFrame:
-    """Anomalous sensor readings per event-time hour."""
-    s = prepare(messages, "sensor").filter(_anomalous())
+def hourly_anomaly_counts(sensors: DataFrame) -> DataFrame:
+    """Anomalous sensor readings per event-time hour (typed sensor events)."""
+    s = sensors.filter(_anomalous())
     return s.groupBy(F.window("event_time", "1 hour").alias("w")).agg(
         F.count(F.lit(1)).alias("anomalies")
     ).select(to_wall_clock(F.col("w.start")).alias("hour"), "anomalies")
 
 
-def hourly_metrics_ext(messages: DataFrame) -> DataFrame:
+def hourly_metrics_ext(transactions: DataFrame, sensors: DataFrame) -> DataFrame:
     """A7x (batch): hourly metrics with the real anomaly count, left-joined
-    on ``hour``; both sides are one row per hour."""
-    base = from_messages("hourly_metrics", messages).drop("anomaly_count")
-    anomalies = hourly_anomaly_counts(messages)
+    on ``hour``; both sides are one row per hour, so the join input is
+    bounded by the number of hours, not by the number of events."""
+    base = build("hourly_metrics", transactions).drop("anomaly_count")
+    anomalies = hourly_anomaly_counts(sensors)
     joined = base.join(anomalies, on="hour", how="left").withColumn(
         "anomaly_count", F.coalesce(F.col("anomalies"), F.lit(0))
     )

@@ -61,16 +61,20 @@ def with_event_time(df: DataFrame, kind: str, name: str = "event_time") -> DataF
     return df.withColumn(name, parse_event_time(F.col(EVENT_TIME_FIELD[kind])))
 
 
-def raw_transactions(messages: DataFrame) -> DataFrame:
+def typed_with_time(messages: DataFrame, kind: str) -> DataFrame:
+    """Typed events of one kind with ``event_time`` and broker time."""
+    return with_event_time(typed(messages, kind, with_kafka_time=True), kind)
+
+
+def raw_transactions(events: DataFrame) -> DataFrame:
     """Typed transaction fields plus broker time."""
-    return typed(messages, "transaction", with_kafka_time=True)
+    return events.select(*[f.name for f in BY_TYPE["transaction"].fields], "kafka_timestamp")
 
 
-def raw_activities(messages: DataFrame) -> DataFrame:
+def raw_activities(events: DataFrame) -> DataFrame:
     """Activity fields; map and struct kept as JSON text.  ``to_json``
     omits NULL struct fields, so an absent ``coordinates`` disappears."""
-    a = typed(messages, "activity", with_kafka_time=True)
-    return a.select(
+    return events.select(
         "activity_id",
         "user_id",
         "user_name",
@@ -86,9 +90,9 @@ def raw_activities(messages: DataFrame) -> DataFrame:
     )
 
 
-def raw_sensors(messages: DataFrame) -> DataFrame:
+def raw_sensors(events: DataFrame) -> DataFrame:
     """Typed sensor fields plus broker time."""
-    return typed(messages, "sensor", with_kafka_time=True)
+    return events.select(*[f.name for f in BY_TYPE["sensor"].fields], "kafka_timestamp")
 
 
 RAW = {
@@ -97,3 +101,7 @@ RAW = {
     "raw_sensors": raw_sensors,
 }
 RAW_KIND = {"raw_transactions": "transaction", "raw_activities": "activity", "raw_sensors": "sensor"}
+
+
+def raw_from_messages(messages: DataFrame, table: str) -> DataFrame:
+    return RAW[table](typed(messages, RAW_KIND[table], with_kafka_time=True))

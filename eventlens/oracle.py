@@ -608,3 +608,14 @@ def _stream_oracles() -> dict[str, str]:
 
 
 ORACLES.update(_stream_oracles())
+
+
+def _bronze_oracles() -> dict[str, str]:
+    o = {}
+    for name in TABLES:
+        o[f"bronze_{name}"] = ORACLES.get(f"batch_{name}") or ORACLES[f"contract_{name}"]
+    o["bronze_hourly_metrics_ext"] = ORACLES["batch_hourly_metrics_ext"]
+    return o
+
+
+ORACLES.update(_bronze_oracles())

@@ -9,13 +9,13 @@ the written tables, which also cuts the lineage.
 
 from __future__ import annotations
 
-from functools import cached_property
+from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..contracts import conform
 from ..sources.messages import fixture_topic
-from ..operators import aggregates, parse
+from ..operators import aggregates, bronze, parse
 
 AGGREGATE_TABLES = (
     "transaction_hourly_stats",
@@ -32,27 +32,45 @@ ALL_TABLES = AGGREGATE_TABLES + RAW_TABLES
 
 
 class Pipeline:
-    def __init__(self, spark: SparkSession, messages: DataFrame):
+    """Result tables over a per-kind source of typed events.
+
+    ``events(kind)`` returns typed events of one kind with ``event_time``
+    and ``kafka_timestamp``: parsed from JSON messages, or read from the
+    bronze layer (parsed once, columnar, pruned by kind and column).
+    """
+
+    def __init__(self, spark: SparkSession, events_of: Callable[[str], DataFrame]):
         self.spark = spark
-        self.messages = messages
+        self._events_of = events_of
+        self._cache: dict[str, DataFrame] = {}
+
+    @classmethod
+    def from_messages(cls, spark: SparkSession, messages) -> "Pipeline":
+        """``messages``: a mixed topic DataFrame, or ``kind -> DataFrame``
+        for a topic already split by kind (read only that kind)."""
+        source = messages if callable(messages) else (lambda _kind: messages)
+        return cls(spark, lambda kind: aggregates.prepare(source(kind), kind))
 
     @classmethod
     def from_fixtures(cls, spark: SparkSession, sf_dir: str) -> "Pipeline":
-        return cls(spark, fixture_topic(spark, sf_dir))
+        return cls.from_messages(spark, lambda kind: fixture_topic(spark, sf_dir, (kind,)))
 
-    def kind(self, kind: str) -> DataFrame:
-        return aggregates.prepare(self.messages, kind)
+    @classmethod
+    def from_bronze(cls, spark: SparkSession, path: str) -> "Pipeline":
+        return cls(spark, lambda kind: bronze.read_kind(spark, path, kind))
 
-    @cached_property
-    def _cache(self) -> dict[str, DataFrame]:
-        return {}
+    def events(self, kind: str) -> DataFrame:
+        return self._events_of(kind)
 
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
             if name in aggregates.SPECS:
-                df = aggregates.from_messages(name, self.messages)
+                spec = aggregates.SPECS[name]
+                df = aggregates.build(spec, self.events(spec.kind))
             elif name in parse.RAW:
-                df = conform(parse.RAW[name](self.messages), name)
+                df = conform(parse.RAW[name](self.events(parse.RAW_KIND[name])), name)
+            elif name == "hourly_metrics_ext":
+                df = aggregates.hourly_metrics_ext(self.events("transaction"), self.events("sensor"))
             else:
                 raise KeyError(name)
             self._cache[name] = df
@@ -61,13 +79,11 @@ class Pipeline:
     def tables(self, names=ALL_TABLES) -> dict[str, DataFrame]:
         return {n: self.table(n) for n in names}
 
-    def materialize(self, root: str, names=ALL_TABLES, mode: str = "overwrite") -> dict[str, DataFrame]:
-        out = {}
+    def materialize(self, root: str, names=ALL_TABLES, mode: str = "overwrite") -> "Tables":
+        """Write result tables as parquet; return a reader over them."""
         for n in names:
-            path = f"{root.rstrip('/')}/{n}"
-            self.table(n).write.mode(mode).parquet(path)
-            out[n] = self.spark.read.parquet(path)
-        return out
+            self.table(n).write.mode(mode).parquet(f"{root.rstrip('/')}/{n}")
+        return Tables(self.spark, root)
 
 
 class Tables:

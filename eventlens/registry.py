@@ -51,8 +51,10 @@ def wall_clock(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def _topic(spark, sf_dir) -> DataFrame:
-    return fixture_topic(spark, sf_dir)
+def _topic(spark, sf_dir, kinds=("transaction", "activity", "sensor")) -> DataFrame:
+    """The fixture topic; with ``kinds`` only those kinds' messages, as a
+    topic partitioned by kind is read."""
+    return fixture_topic(spark, sf_dir, tuple(kinds))
 
 
 # -- sources and parsing -----------------------------------------------------
@@ -84,13 +86,13 @@ def route_by_type(spark, sf_dir):
 @query("parse_transactions")
 def parse_transactions(spark, sf_dir):
     """Typed transaction fields."""
-    return parse.typed(_topic(spark, sf_dir), "transaction")
+    return parse.typed(_topic(spark, sf_dir, ["transaction"]), "transaction")
 
 
 @query("parse_activities")
 def parse_activities(spark, sf_dir):
     """P4 + P10: typed activity fields; map and struct members by access."""
-    a = parse.typed(_topic(spark, sf_dir), "activity")
+    a = parse.typed(_topic(spark, sf_dir, ["activity"]), "activity")
     return a.select(
         "activity_id",
         "user_id",
@@ -112,14 +114,14 @@ def parse_activities(spark, sf_dir):
 @query("parse_sensors")
 def parse_sensors(spark, sf_dir):
     """P5: typed sensor fields."""
-    return parse.typed(_topic(spark, sf_dir), "sensor")
+    return parse.typed(_topic(spark, sf_dir, ["sensor"]), "sensor")
 
 
 for _raw in parse.RAW:
 
     def _make_raw(name):
         def raw(spark, sf_dir):
-            return parse.RAW[name](_topic(spark, sf_dir))
+            return parse.raw_from_messages(_topic(spark, sf_dir, [parse.RAW_KIND[name]]), name)
 
         raw.__doc__ = f"P6-P8: {name} before the table contract."
         return raw
@@ -128,7 +130,7 @@ for _raw in parse.RAW:
 
     def _make_contract(name):
         def contract(spark, sf_dir):
-            return conform(parse.RAW[name](_topic(spark, sf_dir)), name)
+            return Pipeline.from_fixtures(spark, sf_dir).table(name)
 
         contract.__doc__ = f"S12: {name} conformed to its table contract."
         return contract
@@ -137,7 +139,7 @@ for _raw in parse.RAW:
 
     def _make_dedup(name):
         def dedup_raw(spark, sf_dir):
-            raw = parse.RAW[name](replayed_topic(spark, sf_dir))
+            raw = parse.raw_from_messages(replayed_topic(spark, sf_dir, [parse.RAW_KIND[name]]), name)
             return conform(dedup.first_delivery(raw, name), name)
 
         dedup_raw.__doc__ = f"S13: {name} over a topic delivered twice, one row per key."
@@ -160,7 +162,7 @@ for _name in AGGREGATE_TABLES:
 
     def _make_batch(name):
         def batch(spark, sf_dir):
-            return aggregates.from_messages(name, _topic(spark, sf_dir))
+            return Pipeline.from_fixtures(spark, sf_dir).table(name)
 
         batch.__doc__ = f"A: {name} over all windows (batch)."
         return batch
@@ -171,18 +173,49 @@ for _name in AGGREGATE_TABLES:
 @query("batch_hourly_metrics_ext")
 def batch_hourly_metrics_ext(spark, sf_dir):
     """A7x: hourly metrics with the real anomaly count."""
-    return aggregates.hourly_metrics_ext(_topic(spark, sf_dir))
+    return Pipeline.from_fixtures(spark, sf_dir).table("hourly_metrics_ext")
 
 
 @query("active_users_exact")
 def active_users_exact(spark, sf_dir):
     """Exact distinct users per event-time hour."""
-    t = aggregates.prepare(_topic(spark, sf_dir), "transaction")
+    t = Pipeline.from_fixtures(spark, sf_dir).events("transaction")
     return t.groupBy(F.window("event_time", "1 hour").alias("w")).agg(
         F.count_distinct("user_id").cast("int").alias("active_users")
     ).select(F.col("w.start").alias("hour"), "active_users")
 
 
+# -- the same tables through the bronze layer (parse once, read pruned) -----
+
+_BRONZE: dict[tuple[str, str], str] = {}
+
+
+def bronze_dir(spark: SparkSession, sf_dir: str) -> str:
+    """Bronze parquet of the fixture topic below the shared folder, written
+    once per process and scale factor."""
+    from .operators.bronze import write_bronze
+    from .session import ensure_checkpoint_dir, work_dir
+
+    key = (ensure_checkpoint_dir(spark), sf_dir)
+    if key not in _BRONZE:
+        path = work_dir(spark, "bronze", unique=True)
+        write_bronze(fixture_topic(spark, sf_dir), path)
+        _BRONZE[key] = path
+    return _BRONZE[key]
+
+
+for _name in AGGREGATE_TABLES + tuple(parse.RAW) + ("hourly_metrics_ext",):
+
+    def _make_bronze(name):
+        def from_bronze(spark, sf_dir):
+            return Pipeline.from_bronze(spark, bronze_dir(spark, sf_dir)).table(name)
+
+        from_bronze.__doc__ = f"F7: {name} computed from the bronze layer."
+        return from_bronze
+
+    query(f"bronze_{_name}")(_make_bronze(_name))
+
+
 # -- reports -----------------------------------------------------------------
 
 for _rpt in reports.REPORTS:
@@ -278,7 +311,7 @@ def severity_order(spark, sf_dir):
 @query("loyalty_check")
 def loyalty_check(spark, sf_dir):
     """Loyalty points floor(amount / 100) against the metadata."""
-    return derived.loyalty_check(parse.typed(_topic(spark, sf_dir), "transaction"))
+    return derived.loyalty_check(parse.typed(_topic(spark, sf_dir, ["transaction"]), "transaction"))
 
 
 @query("batch_id_check")
@@ -290,7 +323,7 @@ def batch_id_check(spark, sf_dir):
 @query("sensor_unit")
 def sensor_unit(spark, sf_dir):
     """Expected unit by sensor type against the reported unit."""
-    return derived.sensor_unit_check(parse.typed(_topic(spark, sf_dir), "sensor"))
+    return derived.sensor_unit_check(parse.typed(_topic(spark, sf_dir, ["sensor"]), "sensor"))
 
 
 @query("quality_report")

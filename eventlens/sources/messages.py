@@ -36,8 +36,13 @@ def fixture_topic(spark: SparkSession, sf_dir: str, kinds=("transaction", "activ
     return out
 
 
-def replayed_topic(spark: SparkSession, sf_dir: str, delay: str = "INTERVAL 1 DAY") -> DataFrame:
+def replayed_topic(
+    spark: SparkSession,
+    sf_dir: str,
+    kinds=("transaction", "activity", "sensor"),
+    delay: str = "INTERVAL 1 DAY",
+) -> DataFrame:
     """The topic delivered twice: original, then a re-delivery ``delay`` later."""
-    topic = fixture_topic(spark, sf_dir)
+    topic = fixture_topic(spark, sf_dir, tuple(kinds))
     again = topic.select("json", (F.col("kafka_timestamp") + F.expr(delay)).alias("kafka_timestamp"))
     return topic.unionByName(again)

@@ -53,7 +53,7 @@ def table_stream(messages: DataFrame, table: str, dedup_within: str | None = "1
     if table in aggregates.SPECS:
         return aggregates.from_messages(table, messages)
     if table in parse.RAW:
-        raw = parse.RAW[table](messages)
+        raw = parse.raw_from_messages(messages, table)
         return dedup.first_delivery(raw, table, dedup_within) if dedup_within else raw
     raise KeyError(table)
 
