@@ -101,21 +101,31 @@ def start_pipeline(
 
 def supervise(spark: SparkSession, queries: list[StreamingQuery], timeout: float | None = None) -> None:
     """Wait until any query ends.  A failure stops all queries and is
-    raised; with ``availableNow`` every query ends on its own."""
-    pending = list(queries)
+    raised naming the failed query; with ``availableNow`` every query ends
+    on its own and the call returns when all have."""
+    from pyspark.errors import StreamingQueryException
+
+    def failed() -> None:
+        for q in queries:
+            if not q.isActive and q.exception() is not None:
+                raise RuntimeError(f"query {q.name} failed: {q.exception()}")
+
+    import time
+
+    deadline = None if timeout is None else time.monotonic() + timeout
     try:
-        while pending:
-            if timeout is None:
-                spark.streams.awaitAnyTermination()
-            elif not spark.streams.awaitAnyTermination(timeout):
+        while any(q.isActive for q in queries):
+            if deadline is not None and time.monotonic() >= deadline:
                 return
-            finished = [q for q in pending if not q.isActive]
-            for q in finished:
-                err = q.exception()
-                if err is not None:
-                    raise RuntimeError(f"query {q.name} failed: {err}")
-            pending = [q for q in pending if q.isActive]
+            try:
+                # Poll: a query ending between two waits is seen by isActive.
+                spark.streams.awaitAnyTermination(1.0)
+            except StreamingQueryException:
+                failed()
+                raise
+            failed()
             spark.streams.resetTerminated()
+        failed()
     except BaseException:
         for q in queries:
             if q.isActive:
