@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import aggregates, dedup, parse
+from ..operators import aggregates, bronze, dedup, parse
 from .sinks import ParquetTableSink
 
 log = logging.getLogger(__name__)
@@ -49,7 +49,7 @@ AVAILABLE_NOW = Trigger(processing_time=None, available_now=True)
 
 
 def table_stream(messages: DataFrame, table: str, dedup_within: str | None = "1 day") -> DataFrame:
-    """Streaming DataFrame for one result table."""
+    """Streaming DataFrame for one result table, from JSON messages."""
     if table in aggregates.SPECS:
         return aggregates.from_messages(table, messages)
     if table in parse.RAW:
@@ -58,6 +58,18 @@ def table_stream(messages: DataFrame, table: str, dedup_within: str | None = "1
     raise KeyError(table)
 
 
+def table_stream_from_events(events_of, table: str, dedup_within: str | None = "1 day") -> DataFrame:
+    """Streaming DataFrame for one result table, from typed events
+    (``events_of(kind)``, e.g. the bronze stream)."""
+    if table in aggregates.SPECS:
+        spec = aggregates.SPECS[table]
+        return aggregates.build(spec, events_of(spec.kind))
+    if table in parse.RAW:
+        raw = parse.RAW[table](events_of(parse.RAW_KIND[table]))
+        return dedup.first_delivery(raw, table, dedup_within) if dedup_within else raw
+    raise KeyError(table)
+
+
 def start_table_query(
     messages: DataFrame,
     table: str,
@@ -65,10 +77,13 @@ def start_table_query(
     checkpoint_root: str,
     trigger: Trigger = Trigger(),
     name_prefix: str = "",
+    prepared: DataFrame | None = None,
 ) -> StreamingQuery:
-    """One named append-mode query feeding ``sink`` through foreachBatch."""
+    """One named append-mode query feeding ``sink`` through foreachBatch.
+    ``prepared``: the table's streaming DataFrame when already built (e.g.
+    from bronze); otherwise it is built from ``messages``."""
     name = f"{name_prefix}{table}"
-    df = table_stream(messages, table)
+    df = prepared if prepared is not None else table_stream(messages, table)
     writer = (
         df.writeStream.queryName(name)
         .outputMode("append")
@@ -78,6 +93,49 @@ def start_table_query(
     return trigger.apply(writer).start()
 
 
+def start_pipeline_via_bronze(
+    messages: DataFrame,
+    bronze_path: str,
+    out_root: str,
+    checkpoint_root: str,
+    tables=STREAM_TABLES + tuple(parse.RAW),
+    trigger: Trigger = Trigger(),
+    fallback_root: str | None = None,
+    quarantine_root: str | None = None,
+) -> list[StreamingQuery]:
+    """one query parses each message once into bronze (parquet by
+    kind, exactly-once file sink); each table query streams its kind's
+    partition and columns from bronze.  With ``availableNow`` bronze is
+    run to completion first, so the table queries see all of it."""
+    spark = messages.sparkSession
+    ckpt = checkpoint_root.rstrip("/")
+    q_bronze = bronze.start_bronze_stream(messages, bronze_path, f"{ckpt}/bronze", trigger)
+    if trigger.available_now:
+        supervise(spark, [q_bronze])
+    queries = [] if trigger.available_now else [q_bronze]
+    try:
+        for t in tables:
+            df = table_stream_from_events(
+                lambda kind: bronze.read_kind(spark, bronze_path, kind, streaming=True), t
+            )
+            sink = ParquetTableSink(out_root, t, fallback_root, quarantine_root)
+            queries.append(start_table_query(None, t, sink, checkpoint_root, trigger, prepared=df))
+    except Exception:
+        for q in queries:
+            q.stop()
+        raise
+    return queries
+
+
+def dropped_by_watermark(query: StreamingQuery) -> int:
+    """Late rows the query dropped, summed over its recent progress."""
+    total = 0
+    for p in query.recentProgress:
+        d = p if isinstance(p, dict) else __import__("json").loads(p.json)
+        total += sum(op.get("numRowsDroppedByWatermark", 0) for op in d.get("stateOperators", []))
+    return total
+
+
 def start_pipeline(
     messages: DataFrame,
     out_root: str,

@@ -132,3 +132,26 @@ def test_supervisor_raises_and_stops_all_on_failure(spark, tmp_dir):
     with pytest.raises(RuntimeError, match="raw_transactions"):
         supervise(spark, [bad, good])
     assert not bad.isActive and not good.isActive
+
+
+def test_bronze_fed_stream_equals_direct_stream(spark, tmp_dir):
+    from eventlens.streaming.runner import start_pipeline, start_pipeline_via_bronze
+
+    src = os.path.join(tmp_dir, "in")
+    write_file(
+        src,
+        "a.json",
+        [tx(i, transaction_date=f"2024-01-01T0{i % 6}:{i % 60:02d}:00", device=["mobile", "tablet"][i % 2]) for i in range(40)]
+        + [sensor(i, f"2024-01-01T00:{i:02d}:00") for i in range(30)],
+    )
+    tables = ("device_stats", "sensor_anomalies", "raw_transactions")
+    direct = start_pipeline(read_messages(spark, src, "text", streaming=True), f"{tmp_dir}/o1", f"{tmp_dir}/c1",
+                            tables=tables, trigger=AVAILABLE_NOW)
+    supervise(spark, direct)
+    via = start_pipeline_via_bronze(read_messages(spark, src, "text", streaming=True), f"{tmp_dir}/bronze",
+                                    f"{tmp_dir}/o2", f"{tmp_dir}/c2", tables=tables, trigger=AVAILABLE_NOW)
+    supervise(spark, via)
+    for t in tables:
+        a = sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/o1/{t}").drop("batch_id").collect()))
+        b = sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/o2/{t}").drop("batch_id").collect()))
+        assert a == b and len(a) > 0, t
