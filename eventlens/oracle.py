@@ -597,6 +597,8 @@ def _stream_oracles() -> dict[str, str]:
   WHERE window_end <= (SELECT MAX(event_time) FROM {src} {where}) - INTERVAL {secs} SECOND""",
             name,
         )
+    for raw in ("raw_transactions", "raw_activities", "raw_sensors"):
+        o[f"stream_{raw}"] = with_tables(f"SELECT * FROM {raw}", raw)
     o["stream_hourly_metrics"] = with_tables(
         """SELECT hour, total_transactions, total_amount, avg_transaction_amount, anomaly_count,
     TRUE AS active_users_within_tolerance

@@ -334,24 +334,25 @@ def quality_report(spark, sf_dir):
 
 # -- streaming (append mode over the file replay of the topic) --------------
 
-_REPLAYS: dict[tuple[str, str], str] = {}
+_REPLAYS: dict[tuple[str, str, str], str] = {}
 
 
-def replay_dir(spark: SparkSession, sf_dir: str) -> str:
-    """JSON-lines replay of the fixture topic below the shared folder,
-    written once per process and scale factor."""
+def replay_dir(spark: SparkSession, sf_dir: str, fmt: str = "text") -> str:
+    """Replay of the fixture topic below the shared folder (JSON-lines text,
+    or a parquet dump that keeps broker time), written once per process,
+    scale factor and format."""
     from .session import ensure_checkpoint_dir, work_dir
     from .sources.files import write_messages
 
-    key = (ensure_checkpoint_dir(spark), sf_dir)
+    key = (ensure_checkpoint_dir(spark), sf_dir, fmt)
     if key not in _REPLAYS:
-        path = work_dir(spark, "replay", unique=True)
-        write_messages(fixture_topic(spark, sf_dir), path, "text")
+        path = work_dir(spark, f"replay_{fmt}", unique=True)
+        write_messages(fixture_topic(spark, sf_dir), path, fmt)
         _REPLAYS[key] = path
     return _REPLAYS[key]
 
 
-def run_stream_table(spark: SparkSession, sf_dir: str, table_name: str) -> DataFrame:
+def run_stream_table(spark: SparkSession, sf_dir: str, table_name: str, fmt: str = "text") -> DataFrame:
     """Run one result table as a streaming query to completion
     (``availableNow``) and return the table it wrote."""
     import uuid
@@ -361,7 +362,7 @@ def run_stream_table(spark: SparkSession, sf_dir: str, table_name: str) -> DataF
     from .streaming.runner import AVAILABLE_NOW, start_table_query
     from .streaming.sinks import ParquetTableSink
 
-    messages = read_messages(spark, replay_dir(spark, sf_dir), "text", streaming=True)
+    messages = read_messages(spark, replay_dir(spark, sf_dir, fmt), fmt, streaming=True)
     run = work_dir(spark, "runs", unique=True)
     sink = ParquetTableSink(f"{run}/tables", table_name, f"{run}/fallback", f"{run}/quarantine")
     q = start_table_query(
@@ -396,6 +397,18 @@ for _name in AGGREGATE_TABLES:
     query(f"stream_{_name}")(_make_stream(_name))
 
 
+for _raw in parse.RAW:
+
+    def _make_stream_raw(name):
+        def stream_raw(spark, sf_dir):
+            return run_stream_table(spark, sf_dir, name, fmt="parquet")
+
+        stream_raw.__doc__ = f"P6-P8 + S13 streamed: {name} de-duplicated within the watermark."
+        return stream_raw
+
+    query(f"stream_{_raw}")(_make_stream_raw(_raw))
+
+
 @query("stream_hourly_metrics")
 def stream_hourly_metrics(spark, sf_dir):
     """A7 streamed: exact columns, plus whether the HyperLogLog++ user count

@@ -171,6 +171,9 @@ def supervise(spark: SparkSession, queries: list[StreamingQuery], timeout: float
     import time
 
     deadline = None if timeout is None else time.monotonic() + timeout
+    # awaitAnyTermination is session-wide; only our queries' states count,
+    # read through isActive/exception(), so earlier terminations are cleared.
+    spark.streams.resetTerminated()
     try:
         while any(q.isActive for q in queries):
             if deadline is not None and time.monotonic() >= deadline:
@@ -179,8 +182,7 @@ def supervise(spark: SparkSession, queries: list[StreamingQuery], timeout: float
                 # Poll: a query ending between two waits is seen by isActive.
                 spark.streams.awaitAnyTermination(1.0)
             except StreamingQueryException:
-                failed()
-                raise
+                pass  # another query of the session failed; ours are checked next
             failed()
             spark.streams.resetTerminated()
         failed()

@@ -2,7 +2,7 @@
 
 ``foreachBatch`` is at-least-once: after a failure Spark re-runs the last
 batch with the same ``batch_id``.  Every sink here is therefore keyed by
-``batch_id``: the parquet sink overwrites ``<table>/batch_id=<id>``, so a
+``batch_id``: the parquet sink overwrites ``<table>/micro_batch=<id>``, so a
 retry replaces its own earlier attempt and never duplicates rows.
 
 Per batch: cache once (the batch is read for the emptiness check, the
@@ -19,6 +19,7 @@ import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..contracts import CONTRACTS, split_lossy
 
@@ -26,7 +27,7 @@ log = logging.getLogger(__name__)
 
 
 def _batch_path(root: str, table: str, batch_id: int) -> str:
-    return f"{root.rstrip('/')}/{table}/batch_id={int(batch_id)}"
+    return f"{root.rstrip('/')}/{table}/micro_batch={int(batch_id)}"
 
 
 @dataclass
@@ -38,10 +39,15 @@ class ParquetTableSink:
     fallback_root: str | None = None
     quarantine_root: str | None = None
     stats: list = field(default_factory=list)
+    processed_at: bool = True
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(_batch_path(self.root, self.table, batch_id))
 
+    def _stamp(self, df: DataFrame) -> DataFrame:
+        """``processed_at``: write time of the row (not part of any key)."""
+        return df.withColumn("processed_at", F.current_timestamp()) if self.processed_at else df
+
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         batch_df.persist()
         try:
@@ -49,12 +55,15 @@ class ParquetTableSink:
                 log.info("table %s batch %s empty, skipped", self.table, batch_id)
                 self.stats.append((batch_id, "empty"))
                 return
+            if log.isEnabledFor(logging.DEBUG):
+                # bounded preview of the batch (5 rows), as the reference logs
+                log.debug("table %s batch %s preview: %s", self.table, batch_id, batch_df.take(5))
             if self.table in CONTRACTS:
                 good, bad = split_lossy(batch_df, self.table)
             else:
                 good, bad = batch_df, None
             try:
-                self.write(good, batch_id)
+                self.write(self._stamp(good), batch_id)
                 if bad is not None and self.quarantine_root and not bad.isEmpty():
                     bad.write.mode("overwrite").parquet(
                         _batch_path(self.quarantine_root, self.table, batch_id)

@@ -48,7 +48,7 @@ def test_failed_write_goes_to_fallback(spark, tmp_dir):
     sink = FailingSink(os.path.join(tmp_dir, "t"), "device_stats", fallback_root=os.path.join(tmp_dir, "fb"))
     sink(_device_rows(spark), 4)
     assert sink.stats == [(4, "fallback")]
-    assert spark.read.parquet(os.path.join(tmp_dir, "fb", "device_stats", "batch_id=4")).count() == 1
+    assert spark.read.parquet(os.path.join(tmp_dir, "fb", "device_stats", "micro_batch=4")).count() == 1
 
 
 def test_failed_fallback_raises_so_the_batch_is_retried(spark, tmp_dir):
