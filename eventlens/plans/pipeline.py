@@ -14,7 +14,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..contracts import conform
-from ..sources.messages import fixture_topic
+from ..sources.messages import stored_topic
 from ..operators import aggregates, bronze, parse
 
 AGGREGATE_TABLES = (
@@ -53,7 +53,7 @@ class Pipeline:
 
     @classmethod
     def from_fixtures(cls, spark: SparkSession, sf_dir: str) -> "Pipeline":
-        return cls.from_messages(spark, lambda kind: fixture_topic(spark, sf_dir, (kind,)))
+        return cls.from_messages(spark, lambda kind: stored_topic(spark, sf_dir, (kind,)))
 
     @classmethod
     def from_bronze(cls, spark: SparkSession, path: str) -> "Pipeline":

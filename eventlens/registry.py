@@ -19,7 +19,7 @@ from .plans import reports
 from .plans.pipeline import AGGREGATE_TABLES, Pipeline
 from .session import apply_runtime_defaults
 from .sources import fixtures
-from .sources.messages import fixture_topic, replayed_topic
+from .sources.messages import replayed_topic, stored_topic
 from .sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,9 +52,8 @@ def wall_clock(df: DataFrame) -> DataFrame:
 
 
 def _topic(spark, sf_dir, kinds=("transaction", "activity", "sensor")) -> DataFrame:
-    """The fixture topic; with ``kinds`` only those kinds' messages, as a
-    topic partitioned by kind is read."""
-    return fixture_topic(spark, sf_dir, tuple(kinds))
+    """The stored fixture topic; with ``kinds`` only those kinds' messages."""
+    return stored_topic(spark, sf_dir, tuple(kinds))
 
 
 # -- sources and parsing -----------------------------------------------------
@@ -199,7 +198,7 @@ def bronze_dir(spark: SparkSession, sf_dir: str) -> str:
     key = (ensure_checkpoint_dir(spark), sf_dir)
     if key not in _BRONZE:
         path = work_dir(spark, "bronze", unique=True)
-        write_bronze(fixture_topic(spark, sf_dir), path)
+        write_bronze(stored_topic(spark, sf_dir), path)
         _BRONZE[key] = path
     return _BRONZE[key]
 
@@ -347,7 +346,7 @@ def replay_dir(spark: SparkSession, sf_dir: str, fmt: str = "text") -> str:
     key = (ensure_checkpoint_dir(spark), sf_dir, fmt)
     if key not in _REPLAYS:
         path = work_dir(spark, f"replay_{fmt}", unique=True)
-        write_messages(fixture_topic(spark, sf_dir), path, fmt)
+        write_messages(stored_topic(spark, sf_dir), path, fmt)
         _REPLAYS[key] = path
     return _REPLAYS[key]
 

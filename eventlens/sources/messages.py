@@ -43,6 +43,38 @@ def replayed_topic(
     delay: str = "INTERVAL 1 DAY",
 ) -> DataFrame:
     """The topic delivered twice: original, then a re-delivery ``delay`` later."""
-    topic = fixture_topic(spark, sf_dir, tuple(kinds))
+    topic = stored_topic(spark, sf_dir, tuple(kinds))
     again = topic.select("json", (F.col("kafka_timestamp") + F.expr(delay)).alias("kafka_timestamp"))
     return topic.unionByName(again)
+
+
+_STORED: dict[tuple[str, str], str] = {}
+KIND_COLUMN = "kind"
+
+
+def stored_topic_dir(spark: SparkSession, sf_dir: str) -> str:
+    """The fixture topic written once per process and scale factor below the
+    shared folder, as parquet ``(json, kafka_timestamp)`` partitioned by
+    kind (like one topic partition set per event kind).  Readers then scan
+    stored messages, as they would a broker or landing folder, instead of
+    re-deriving them inside every plan."""
+    from ..session import ensure_checkpoint_dir, work_dir
+
+    key = (ensure_checkpoint_dir(spark), sf_dir)
+    if key not in _STORED:
+        path = work_dir(spark, "topic", unique=True)
+        parts = [
+            encode_events(fixtures.VIEWS[k](spark, sf_dir)).withColumn(KIND_COLUMN, F.lit(k))
+            for k in fixtures.VIEWS
+        ]
+        topic = parts[0].unionByName(parts[1]).unionByName(parts[2])
+        topic.write.mode("overwrite").partitionBy(KIND_COLUMN).parquet(path)
+        _STORED[key] = path
+    return _STORED[key]
+
+
+def stored_topic(spark: SparkSession, sf_dir: str, kinds=("transaction", "activity", "sensor")) -> DataFrame:
+    """Messages of the given kinds from the stored fixture topic (partition
+    pruning on kind)."""
+    df = spark.read.parquet(stored_topic_dir(spark, sf_dir))
+    return df.filter(F.col(KIND_COLUMN).isin(*kinds)).select("json", "kafka_timestamp")
