@@ -58,7 +58,7 @@ def main() -> None:
     names = ALL_TABLES + ("hourly_metrics_ext",)
     timed("tables", lambda: Pipeline.from_bronze(spark, bronze).materialize(tables_root, names))
     stored = Tables(spark, tables_root)
-    timed("reports", lambda: [fn(stored).collect() for fn in reports.REPORTS.values()])
+    timed("reports", lambda: reports.refresh(stored, concurrent_jobs=cpus))
     replay = f"{run}/replay"
     write_messages(fixture_topic(spark, sf_dir), replay, "text")
     timed(

@@ -254,16 +254,21 @@ def conform(df: DataFrame, contract: Contract | str) -> DataFrame:
     return df.select([_cast(F.col(name), dtype).alias(name) for name, dtype in c.columns])
 
 
-def split_lossy(df: DataFrame, contract: Contract | str) -> tuple[DataFrame, DataFrame]:
-    """(good, quarantined): a row is quarantined when a declared cast turns
-    a non-NULL value into NULL or a NOT NULL column is NULL.  One pass:
-    the flag is computed once and both outputs filter on it."""
+def lossy_flag(contract: Contract | str) -> Column:
+    """TRUE when a declared cast turns a non-NULL value into NULL or a NOT
+    NULL column is NULL."""
     c = CONTRACTS[contract] if isinstance(contract, str) else contract
     lost = [
         (F.col(name).isNotNull() & _cast(F.col(name), dtype).isNull())
         for name, dtype in c.columns
     ] + [F.col(name).isNull() for name in c.not_null]
-    flagged = df.withColumn("_lossy", F.greatest(*[x.cast("int") for x in lost]) > 0)
+    return F.greatest(*[x.cast("int") for x in lost]) > 0
+
+
+def split_lossy(df: DataFrame, contract: Contract | str) -> tuple[DataFrame, DataFrame]:
+    """(good, quarantined) rows by ``lossy_flag``; good rows conformed."""
+    c = CONTRACTS[contract] if isinstance(contract, str) else contract
+    flagged = df.withColumn("_lossy", lossy_flag(c))
     good = conform(flagged.filter(~F.col("_lossy")), c)
     bad = flagged.filter(F.col("_lossy")).drop("_lossy")
     return good, bad

@@ -216,6 +216,20 @@ REPORTS = {
 }
 
 
+def refresh(tables, names=None, concurrent_jobs: int = 8) -> dict[str, list]:
+    """Run dashboard panels as concurrent Spark jobs, as a dashboard refresh
+    does, and return each panel's rows.  Panels are aggregates, top-k or
+    per-window series over the result tables, so their results are
+    panel-sized; the work stays in the cluster."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    names = list(names or REPORTS)
+    plans = {n: REPORTS[n](tables) for n in names}
+    with ThreadPoolExecutor(max_workers=max(1, concurrent_jobs)) as pool:
+        futures = {n: pool.submit(df.collect) for n, df in plans.items()}
+        return {n: f.result() for n, f in futures.items()}
+
+
 # -- post-processing (K1-K5) -----------------------------------------------
 
 def with_band(df: DataFrame, value_col: str, steps, name: str = "band") -> DataFrame:

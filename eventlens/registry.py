@@ -13,12 +13,11 @@ from pyspark.sql.types import TimestampType
 from .contracts import conform
 from .functions import lookups
 from .functions.bands import kpi_band
-from .functions.time import hour_batch_id, iso_text, parse_event_time
-from .operators import aggregates, dedup, derived, parse
+from .functions.time import iso_text, parse_event_time
+from .operators import dedup, derived, parse
 from .plans import reports
 from .plans.pipeline import AGGREGATE_TABLES, Pipeline
 from .session import apply_runtime_defaults
-from .sources import fixtures
 from .sources.messages import replayed_topic, stored_topic
 from .sources.tables import table
 

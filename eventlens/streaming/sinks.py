@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..contracts import CONTRACTS, split_lossy
+from ..contracts import CONTRACTS, lossy_flag, split_lossy
 
 log = logging.getLogger(__name__)
 
@@ -51,10 +51,21 @@ class ParquetTableSink:
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         batch_df.persist()
         try:
-            if batch_df.isEmpty():
+            # One job over the batch: row count and lossy-row count together
+            # (the batch is computed once and cached for the writes).
+            if self.table in CONTRACTS:
+                counts = batch_df.agg(
+                    F.count(F.lit(1)).alias("rows"),
+                    F.coalesce(F.sum(lossy_flag(self.table).cast("int")), F.lit(0)).alias("lossy"),
+                ).first()
+            else:
+                counts = batch_df.agg(F.count(F.lit(1)).alias("rows"), F.lit(0).alias("lossy")).first()
+            rows, lossy = counts["rows"], counts["lossy"]
+            if rows == 0:
                 log.info("table %s batch %s empty, skipped", self.table, batch_id)
                 self.stats.append((batch_id, "empty"))
                 return
+            log.info("table %s batch %s: %s rows, %s quarantined", self.table, batch_id, rows, lossy)
             if log.isEnabledFor(logging.DEBUG):
                 # bounded preview of the batch (5 rows), as the reference logs
                 log.debug("table %s batch %s preview: %s", self.table, batch_id, batch_df.take(5))
@@ -64,7 +75,7 @@ class ParquetTableSink:
                 good, bad = batch_df, None
             try:
                 self.write(self._stamp(good), batch_id)
-                if bad is not None and self.quarantine_root and not bad.isEmpty():
+                if bad is not None and lossy and self.quarantine_root:
                     bad.write.mode("overwrite").parquet(
                         _batch_path(self.quarantine_root, self.table, batch_id)
                     )
