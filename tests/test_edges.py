@@ -154,3 +154,34 @@ def test_bronze_matches_direct_parse(spark, tmp_dir):
 def test_contract_columns_declared_for_every_table():
     for name, c in CONTRACTS.items():
         assert set(c.key) <= set(c.names), name
+
+
+def test_hot_user_with_a_third_of_rows_matches_brute_force(spark):
+    """One user holds a third of all transactions; per-user spend per hour
+    must equal a direct computation (partial aggregation, no row loss)."""
+    import decimal
+
+    objs = []
+    for i in range(600):
+        user = "hot" if i % 3 == 0 else f"u{i % 40}"
+        minute = i % 180
+        objs.append(
+            tx(
+                i,
+                user_id=user,
+                user_name=user,
+                transaction_amount=float(100 + i % 17),
+                transaction_date=f"2024-01-01T{minute // 60:02d}:{minute % 60:02d}:00",
+            )
+        )
+    got = {
+        (r.window_start.hour, r.user_id): (r.total_spent, r.transaction_count)
+        for r in aggregates.from_messages("top_users", msgs(spark, objs)).collect()
+    }
+    want: dict = {}
+    for o in objs:
+        k = (int(o["transaction_date"][11:13]), o["user_id"])
+        s, n = want.get(k, (decimal.Decimal("0.00"), 0))
+        want[k] = (s + decimal.Decimal(str(o["transaction_amount"])).quantize(decimal.Decimal("0.01")), n + 1)
+    assert got == want
+    assert sum(n for (_, u), (_, n) in got.items() if u == "hot") == 200
