@@ -6,7 +6,6 @@ client-mode driver never silently falls back to cluster defaults.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -57,20 +56,33 @@ def apply_runtime_defaults(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared folder named by ``spark.checkpoint.dir``.
+    """Return the shared folder for checkpoints and job-owned tables.
 
-    On a cluster this setting names storage every executor and the driver
-    can reach; it is read, never replaced.  Only when it is unset (a local
-    test session) do we create one.
+    On a cluster ``spark.checkpoint.dir`` names storage every executor and
+    the driver can reach; it is read, never replaced.  Next comes a folder
+    already given to ``SparkContext.setCheckpointDir``.  Only when neither
+    is set (a local test session) is a folder created, once per
+    application, and registered as the context's checkpoint folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="eventlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
-    return path
+    if path:
+        return path
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    app = sc.applicationId if sc is not None else "session"
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="eventlens-ckpt-")
+        if sc is not None:
+            sc.setCheckpointDir(_LOCAL_DIRS[app])
+    return sc.getCheckpointDir() if sc is not None else _LOCAL_DIRS[app]
 
 
 def work_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
@@ -81,12 +93,3 @@ def work_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     if unique:
         tail.append(uuid.uuid4().hex[:12])
     return "/".join([root, "eventlens", *tail])
-
-
-def local_path(path: str) -> str | None:
-    """Local filesystem path for a ``file:`` or plain path, else None."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" in path:
-        return None
-    return os.path.abspath(path)
