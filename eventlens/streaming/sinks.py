@@ -16,6 +16,7 @@ rather than silently committed.  The cache is released in ``finally``.
 from __future__ import annotations
 
 import logging
+from collections import deque
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -38,7 +39,8 @@ class ParquetTableSink:
     table: str
     fallback_root: str | None = None
     quarantine_root: str | None = None
-    stats: list = field(default_factory=list)
+    # outcome of recent batches (bounded: a stream runs for months)
+    stats: deque = field(default_factory=lambda: deque(maxlen=1000))
     processed_at: bool = True
 
     def write(self, df: DataFrame, batch_id: int) -> None:
@@ -131,8 +133,10 @@ class JdbcTableSink(ParquetTableSink):
             try:
                 target = reader.load().select(*key)
                 first = key[0]
-                lo = df.agg(F.min(first)).scalar()
-                target = target.filter(F.col(first) >= lo)
+                # a literal bound (one value) is pushed into the database's WHERE
+                lo = df.agg(F.min(first)).first()[0]
+                if lo is not None:
+                    target = target.filter(F.col(first) >= F.lit(lo))
                 out = df.join(target, on=key, how="left_anti")
             except Exception:  # noqa: BLE001 - target table not created yet
                 out = df

@@ -35,7 +35,7 @@ def test_redelivered_batch_is_written_once(spark, tmp_dir):
 def test_empty_batch_is_skipped(spark, tmp_dir):
     sink = ParquetTableSink(tmp_dir, "device_stats")
     sink(_device_rows(spark).limit(0), 3)
-    assert sink.stats == [(3, "empty")]
+    assert list(sink.stats) == [(3, "empty")]
     assert not os.path.exists(os.path.join(tmp_dir, "device_stats"))
 
 
@@ -47,7 +47,7 @@ class FailingSink(ParquetTableSink):
 def test_failed_write_goes_to_fallback(spark, tmp_dir):
     sink = FailingSink(os.path.join(tmp_dir, "t"), "device_stats", fallback_root=os.path.join(tmp_dir, "fb"))
     sink(_device_rows(spark), 4)
-    assert sink.stats == [(4, "fallback")]
+    assert list(sink.stats) == [(4, "fallback")]
     assert spark.read.parquet(os.path.join(tmp_dir, "fb", "device_stats", "micro_batch=4")).count() == 1
 
 
