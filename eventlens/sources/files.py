@@ -43,9 +43,11 @@ def write_messages(df: DataFrame, path: str, fmt: str = "text", mode: str = "ove
     """Write a topic as replay files (text: JSON lines; parquet: both columns).
 
     Rows are range-partitioned on broker time so every file covers a time
-    slice, like consecutive topic segments.
+    slice, like consecutive topic segments.  A hash of the message breaks
+    ties, so one instant holding a large share of the messages is still
+    split across tasks.
     """
-    ordered = df.repartitionByRange("kafka_timestamp")
+    ordered = df.repartitionByRange(F.col("kafka_timestamp"), F.xxhash64("json"))
     if fmt == "text":
         ordered.select("json").write.mode(mode).text(path)
     elif fmt == "parquet":
