@@ -4,6 +4,7 @@
       --out /shared/tables --checkpoints /shared/checkpoints [--bronze /shared/bronze]
   python -m eventlens.app stream --files /landing/topic --format text --out ... --checkpoints ...
   python -m eventlens.app batch --files /landing/topic --out /shared/tables [--bronze /shared/bronze]
+      [--by-date [--days 2024-01-05 2024-01-06]]
   python -m eventlens.app report --tables /shared/tables [--panel rpt_amount_by_city ...]
 
 Paths should be shared storage on a cluster.  Every streaming query is
@@ -75,6 +76,9 @@ def main(argv=None) -> int:
     b.add_argument("--out", required=True)
     b.add_argument("--bronze", default=None)
     b.add_argument("--tables", nargs="*", default=list(ALL_TABLES))
+    b.add_argument("--by-date", action="store_true", help="partition bronze and tables by UTC date")
+    b.add_argument("--days", nargs=2, default=None, metavar=("FIRST", "LAST"),
+                   help="recompute only these UTC days (needs --by-date and --bronze)")
 
     r = sub.add_parser("report", help="run dashboard panels over stored tables")
     r.add_argument("--tables", required=True)
@@ -99,12 +103,15 @@ def main(argv=None) -> int:
 
     if args.cmd == "batch":
         messages = _source(spark, args, streaming=False)
+        if args.days and not (args.by_date and args.bronze):
+            ap.error("--days needs --by-date and --bronze")
         if args.bronze:
-            write_bronze(messages, args.bronze)
-            pipeline = Pipeline.from_bronze(spark, args.bronze)
+            write_bronze(messages, args.bronze, by_date=args.by_date)
+            days = tuple(args.days) if args.days else None
+            pipeline = Pipeline.from_bronze(spark, args.bronze, days=days)
         else:
             pipeline = Pipeline.from_messages(spark, messages)
-        pipeline.materialize(args.out, args.tables)
+        pipeline.materialize(args.out, args.tables, by_date=args.by_date)
         return 0
 
     if args.cmd == "report":

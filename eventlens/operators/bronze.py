@@ -20,10 +20,12 @@ from . import parse
 
 REJECTED = "__rejected__"
 PARTITION = "data_type"
+DATE = "event_date"
 
 
-def bronze_rows(messages: DataFrame) -> DataFrame:
-    """messages -> one row per message: union fields, event time, broker time."""
+def bronze_rows(messages: DataFrame, by_date: bool = False) -> DataFrame:
+    """messages -> one row per message: union fields, event time, broker time
+    (and the UTC event date when the layout is partitioned by date)."""
     p = parse.parsed(messages)
     dtype = F.col("data.data_type")
     known = dtype.isin(*BY_TYPE)
@@ -37,11 +39,20 @@ def bronze_rows(messages: DataFrame) -> DataFrame:
         "kafka_timestamp",
         F.when(known, F.lit(None).cast("string")).otherwise(F.col("json")).alias("rejected_json"),
         F.when(known, dtype).otherwise(F.lit(REJECTED)).alias(PARTITION),
+        *([F.to_date(parse_event_time(event_text)).alias(DATE)] if by_date else []),
     )
 
 
-def write_bronze(messages: DataFrame, path: str, mode: str = "overwrite") -> None:
-    bronze_rows(messages).write.mode(mode).partitionBy(PARTITION).parquet(path)
+def write_bronze(messages: DataFrame, path: str, mode: str = "overwrite", by_date: bool = False) -> None:
+    """Write bronze partitioned by kind (and event date).  With ``by_date``
+    an overwrite replaces only the (kind, date) partitions present in
+    ``messages`` (dynamic partition overwrite), so re-landing a day is
+    idempotent and leaves other days untouched."""
+    cols = [PARTITION, DATE] if by_date else [PARTITION]
+    w = bronze_rows(messages, by_date).write.mode(mode).partitionBy(*cols)
+    if by_date:
+        w = w.option("partitionOverwriteMode", "dynamic")
+    w.parquet(path)
 
 
 def start_bronze_stream(messages: DataFrame, path: str, checkpoint: str, trigger=None, name: str = "bronze"):
@@ -60,18 +71,24 @@ def start_bronze_stream(messages: DataFrame, path: str, checkpoint: str, trigger
     return w.start()
 
 
-def bronze_schema(spark: SparkSession):
+def bronze_schema(spark: SparkSession, by_date: bool = False):
     """Schema of the bronze dataset, for streaming reads."""
     empty = spark.createDataFrame([], "json string, kafka_timestamp timestamp")
-    return bronze_rows(empty).schema
+    return bronze_rows(empty, by_date).schema
 
 
-def read_kind(spark: SparkSession, path: str, kind: str, streaming: bool = False) -> DataFrame:
+def read_kind(
+    spark: SparkSession, path: str, kind: str, streaming: bool = False, days: tuple | None = None
+) -> DataFrame:
     """Typed events of one kind from bronze (declared fields, event_time,
-    kafka_timestamp, data_type)."""
+    kafka_timestamp, data_type).  ``days=(first, last)`` (inclusive, UTC)
+    on a date-partitioned bronze reads only those days' partitions."""
     if streaming:
-        df = spark.readStream.schema(bronze_schema(spark)).parquet(path)
+        df = spark.readStream.schema(bronze_schema(spark, by_date=days is not None)).parquet(path)
     else:
         df = spark.read.parquet(path)
+    df = df.filter(F.col(PARTITION) == kind)
+    if days is not None:
+        df = df.filter(F.col(DATE).between(F.to_date(F.lit(str(days[0]))), F.to_date(F.lit(str(days[1])))))
     cols = [f.name for f in BY_TYPE[kind].fields]
-    return df.filter(F.col(PARTITION) == kind).select(*cols, "event_time", "kafka_timestamp")
+    return df.select(*cols, "event_time", "kafka_timestamp")
