@@ -173,3 +173,33 @@ def test_split_into_ordered_files_gives_same_closed_windows(spark, tmp_dir):
 
     closed_in_one = {r.window_start for r in one}
     assert closed_in_one and key([r for r in many if r.window_start in closed_in_one]) == key(one)
+
+
+def test_bronze_fed_pipeline_runs_continuously(spark, tmp_dir):
+    """Processing-time trigger: the bronze query and the table queries run
+    at the same time; table queries pick up bronze files as the file sink
+    commits them."""
+    from eventlens.streaming.runner import start_pipeline_via_bronze
+
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    tables = ("device_stats", "raw_transactions")
+    qs = start_pipeline_via_bronze(
+        read_messages(spark, src, "text", streaming=True), f"{tmp_dir}/bronze", f"{tmp_dir}/out",
+        f"{tmp_dir}/ck", tables=tables, trigger=Trigger("1 second"),
+    )
+    try:
+        write_file(src, "a.json", [tx(i, transaction_date=f"2024-01-01T00:{i:02d}:00") for i in range(30)])
+        write_file(src, "b.json", [tx(100 + i, transaction_date=f"2024-01-01T02:{i:02d}:00") for i in range(5)])
+        for _ in range(3):
+            for q in qs:
+                q.processAllAvailable()
+            time.sleep(1.5)
+        assert all(q.isActive for q in qs)
+    finally:
+        for q in qs:
+            q.stop()
+    raw = spark.read.parquet(f"{tmp_dir}/out/raw_transactions").count()
+    windows = {r.window_start.strftime("%H:%M") for r in spark.read.parquet(f"{tmp_dir}/out/device_stats").collect()}
+    assert raw == 35
+    assert windows == {"00:00"}  # 02:00 is still open: watermark 02:04 - 30 min
