@@ -1,7 +1,7 @@
 """Benchmark the headline work at one scale factor and print one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
-(default 8).  Stages, each timed separately:
+(default 8), BENCH_EVENT_LOG_DIR (optional: write Spark's event log there).  Stages, each timed separately:
 
   (setup)         the fixture topic stored once as messages (json, kafka_timestamp)
   bronze          stored topic (JSON text) -> parse once -> typed parquet by kind
@@ -37,7 +37,12 @@ def main() -> None:
     from eventlens.sources.messages import stored_topic, stored_topic_dir
     from eventlens.streaming.runner import AVAILABLE_NOW, start_pipeline, start_pipeline_via_bronze, supervise
 
-    spark = build_session(f"local[{cpus}]", app_name="eventlens-bench", shuffle_partitions=cpus)
+    conf = {}
+    event_log = os.environ.get("BENCH_EVENT_LOG_DIR")
+    if event_log:  # stage and task times, read from the log afterwards (no UI)
+        os.makedirs(event_log, exist_ok=True)
+        conf = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log}
+    spark = build_session(f"local[{cpus}]", app_name="eventlens-bench", shuffle_partitions=cpus, conf=conf)
     spark.sparkContext.setLogLevel("ERROR")
     run = work_dir(spark, "bench", unique=True)
     timings: dict[str, float] = {}
