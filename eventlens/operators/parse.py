@@ -1,9 +1,10 @@
 """Envelope parse, routing and typed parsing.
 
-Each message is JSON-parsed once, with the union of all kinds' fields
-(``schemas.UNION``); routing is an equality filter on ``data_type`` and
-each kind then projects its own declared fields.  Catalyst prunes the
-parsed schema to the fields a query uses.
+Direct path: a kind's messages are parsed with that kind's declared schema
+(which includes the envelope) and routed by an equality filter on
+``data_type``; Catalyst prunes the parsed schema to the fields used.  The
+bronze layer (``operators.bronze``) instead parses every message once with
+the union of all kinds' fields (``parsed``) and stores the result.
 """
 
 from __future__ import annotations
@@ -68,11 +69,6 @@ def with_event_time(df: DataFrame, kind: str, name: str = "event_time") -> DataF
     return df.withColumn(name, parse_event_time(F.col(EVENT_TIME_FIELD[kind])))
 
 
-def typed_with_time(messages: DataFrame, kind: str) -> DataFrame:
-    """Typed events of one kind with ``event_time`` and broker time."""
-    return with_event_time(typed(messages, kind, with_kafka_time=True), kind)
-
-
 def raw_transactions(events: DataFrame) -> DataFrame:
     """Typed transaction fields plus broker time."""
     return events.select(*[f.name for f in BY_TYPE["transaction"].fields], "kafka_timestamp")
