@@ -48,8 +48,15 @@ class Trigger:
 AVAILABLE_NOW = Trigger(processing_time=None, available_now=True)
 
 
+REJECTED_TABLE = "rejected_messages"
+
+
 def table_stream(messages: DataFrame, table: str, dedup_within: str | None = "1 day") -> DataFrame:
-    """Streaming DataFrame for one result table, from JSON messages."""
+    """Streaming DataFrame for one result table, from JSON messages.
+    ``rejected_messages`` (opt-in) keeps messages no route takes: malformed
+    JSON, missing or unknown kind, with their raw text."""
+    if table == REJECTED_TABLE:
+        return parse.rejected(parse.parsed(messages))
     if table in aggregates.SPECS:
         return aggregates.from_messages(table, messages)
     if table in parse.RAW:

@@ -203,3 +203,16 @@ def test_bronze_fed_pipeline_runs_continuously(spark, tmp_dir):
     windows = {r.window_start.strftime("%H:%M") for r in spark.read.parquet(f"{tmp_dir}/out/device_stats").collect()}
     assert raw == 35
     assert windows == {"00:00"}  # 02:00 is still open: watermark 02:04 - 30 min
+
+
+def test_rejected_messages_table_keeps_unroutable_input(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w", encoding="utf-8") as f:
+        f.write('{not json\n{"data_type": "other", "x": 1}\n' + json.dumps(tx(1)) + "\n")
+    stream = read_messages(spark, src, "text", streaming=True)
+    sink = ParquetTableSink(os.path.join(tmp_dir, "out"), "rejected_messages")
+    q = start_table_query(stream, "rejected_messages", sink, os.path.join(tmp_dir, "ckpt"), AVAILABLE_NOW)
+    q.awaitTermination()
+    rows = spark.read.parquet(os.path.join(tmp_dir, "out", "rejected_messages")).collect()
+    assert sorted(r.json for r in rows) == ['{"data_type": "other", "x": 1}', "{not json"]
