@@ -34,7 +34,13 @@ def run_steps(spark, tmp_dir, table, steps):
         for i, objs in enumerate(steps):
             write_file(src, f"part-{i:03d}.json", objs)
             q.processAllAvailable()
-        time.sleep(2)
+        # wait for the no-data batch that applies the final watermark
+        last_data = max(_as_dict(p)["batchId"] for p in q.recentProgress if _as_dict(p)["numInputRows"] > 0)
+        deadline = time.time() + 15
+        while time.time() < deadline and not any(
+            _as_dict(p)["batchId"] > last_data for p in q.recentProgress
+        ):
+            time.sleep(0.5)
         q.processAllAvailable()
         progress = q.recentProgress
     finally:
