@@ -8,6 +8,11 @@ gathering all its copies in one task.
 
 Stream: ``dropDuplicatesWithinWatermark`` on the key, with the watermark on
 broker time; state for a key lives as long as re-deliveries may arrive.
+Streaming dedup has no map-side combine, so a key re-delivered en masse
+would send all its copies to one task.  It runs in two stages: first on
+(key, salt), where the salt spreads a key's copies over ``salt_buckets``
+tasks, then on the key, which then receives at most ``salt_buckets`` rows
+per key and batch.
 """
 
 from __future__ import annotations
@@ -18,10 +23,16 @@ from pyspark.sql import functions as F
 from ..contracts import CONTRACTS
 
 
-def first_delivery(raw: DataFrame, table: str, within: str = "1 day") -> DataFrame:
+def first_delivery(raw: DataFrame, table: str, within: str = "1 day", salt_buckets: int = 16) -> DataFrame:
     key = list(CONTRACTS[table].key)
     if raw.isStreaming:
-        return raw.withWatermark("kafka_timestamp", within).dropDuplicatesWithinWatermark(key)
+        timed = raw.withWatermark("kafka_timestamp", within)
+        if salt_buckets <= 1:
+            return timed.dropDuplicatesWithinWatermark(key)
+        # copies differ in broker time or arrive in different input partitions
+        salt = F.pmod(F.xxhash64("kafka_timestamp") + F.spark_partition_id(), F.lit(salt_buckets))
+        spread = timed.withColumn("_salt", salt).dropDuplicatesWithinWatermark([*key, "_salt"])
+        return spread.dropDuplicatesWithinWatermark(key).drop("_salt")
     rest = [c for c in raw.columns if c not in key and c != "kafka_timestamp"]
     best = F.min(F.struct(F.col("kafka_timestamp"), *[F.col(c) for c in rest])).alias("_first")
     out = raw.groupBy(*key).agg(best)

@@ -222,3 +222,18 @@ def test_rejected_messages_table_keeps_unroutable_input(spark, tmp_dir):
     q.awaitTermination()
     rows = spark.read.parquet(os.path.join(tmp_dir, "out", "rejected_messages")).collect()
     assert sorted(r.json for r in rows) == ['{"data_type": "other", "x": 1}', "{not json"]
+
+
+def test_streaming_dedup_of_a_hot_copy_group(spark, tmp_dir):
+    """A third of the messages are copies of one transaction, in several
+    files (different broker times): exactly one row per key survives."""
+    src = os.path.join(tmp_dir, "in")
+    for part in range(3):
+        write_file(src, f"p{part}.json", [tx(99999) if i % 3 == 0 else tx(1000 * part + i) for i in range(60)])
+    stream = read_messages(spark, src, "text", streaming=True)
+    sink = ParquetTableSink(os.path.join(tmp_dir, "out"), "raw_transactions")
+    q = start_table_query(stream, "raw_transactions", sink, os.path.join(tmp_dir, "ckpt"), AVAILABLE_NOW)
+    q.awaitTermination()
+    ids = [r.transaction_id for r in spark.read.parquet(os.path.join(tmp_dir, "out", "raw_transactions")).collect()]
+    assert len(ids) == len(set(ids)) and ids.count("t99999") == 1
+    assert len(ids) == 1 + 3 * 40
