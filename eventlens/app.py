@@ -24,7 +24,15 @@ from .plans.pipeline import ALL_TABLES, Pipeline, Tables
 from .session import build_session
 from .sources.files import read_messages
 from .sources.kafka import KafkaSource
-from .streaming.runner import AVAILABLE_NOW, STREAM_TABLES, Trigger, start_pipeline, start_pipeline_via_bronze, supervise
+from .streaming.runner import (
+    AVAILABLE_NOW,
+    STREAM_TABLES,
+    ProgressLog,
+    Trigger,
+    start_pipeline,
+    start_pipeline_via_bronze,
+    supervise,
+)
 
 
 def _source(spark, args, streaming: bool):
@@ -89,6 +97,7 @@ def main(argv=None) -> int:
 
     if args.cmd == "stream":
         trigger = AVAILABLE_NOW if args.available_now else Trigger(args.trigger)
+        progress = ProgressLog().attach(spark)
         messages = _source(spark, args, streaming=True)
         if args.bronze:
             queries = start_pipeline_via_bronze(
@@ -98,7 +107,11 @@ def main(argv=None) -> int:
             queries = start_pipeline(
                 messages, args.out, args.checkpoints, args.tables, trigger, args.fallback, args.quarantine
             )
-        supervise(spark, queries)
+        try:
+            supervise(spark, queries)
+        finally:
+            print(json.dumps({"progress": progress.totals}))
+            progress.detach(spark)
         return 0
 
     if args.cmd == "batch":

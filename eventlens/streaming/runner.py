@@ -198,3 +198,45 @@ def supervise(spark: SparkSession, queries: list[StreamingQuery], timeout: float
             if q.isActive:
                 q.stop()
         raise
+
+
+try:
+    from pyspark.sql.streaming import StreamingQueryListener
+except ImportError:  # pragma: no cover
+    StreamingQueryListener = object  # type: ignore[assignment,misc]
+
+
+class ProgressLog(StreamingQueryListener):
+    """Per-query running totals from query progress (W3, S10): input rows,
+    rows dropped as later than the watermark, and the last batch id.  It
+    reads the progress events Spark already produces, so no extra job runs;
+    memory is one entry per query."""
+
+    def __init__(self):
+        self.totals: dict[str, dict[str, int]] = {}
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802 - Spark listener API
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        p = event.progress
+        name = p.name or str(p.id)
+        t = self.totals.setdefault(name, {"input_rows": 0, "dropped_by_watermark": 0, "batch_id": -1})
+        t["input_rows"] += int(p.numInputRows)
+        t["dropped_by_watermark"] += sum(int(op.numRowsDroppedByWatermark) for op in p.stateOperators)
+        t["batch_id"] = int(p.batchId)
+        log.info("query %s batch %s: %s rows in, %s late rows dropped", name, p.batchId,
+                 p.numInputRows, t["dropped_by_watermark"])
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+    def attach(self, spark: SparkSession) -> "ProgressLog":
+        spark.streams.addListener(self)
+        return self
+
+    def detach(self, spark: SparkSession) -> None:
+        spark.streams.removeListener(self)

@@ -55,6 +55,9 @@ def _as_dict(p):
 
 
 def test_late_row_dropped_and_closed_window_unchanged(spark, tmp_dir):
+    from eventlens.streaming.runner import ProgressLog
+
+    listener = ProgressLog().attach(spark)
     steps = [
         [tx(1, transaction_date="2024-01-01T00:10:00"), tx(2, transaction_date="2024-01-01T00:50:00")],
         [tx(3, transaction_date="2024-01-01T02:10:00")],  # watermark -> 01:10, closes 00:00-01:00
@@ -68,6 +71,10 @@ def test_late_row_dropped_and_closed_window_unchanged(spark, tmp_dir):
         for p in progress
     )
     assert drops >= 1
+    time.sleep(1)  # listener events are delivered asynchronously
+    listener.detach(spark)
+    assert listener.totals["transaction_hourly_stats"]["dropped_by_watermark"] >= 1
+    assert listener.totals["transaction_hourly_stats"]["input_rows"] == 5
 
 
 def test_far_future_normal_reading_does_not_close_anomaly_windows(spark, tmp_dir):
