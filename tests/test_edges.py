@@ -185,3 +185,9 @@ def test_hot_user_with_a_third_of_rows_matches_brute_force(spark):
         want[k] = (s + decimal.Decimal(str(o["transaction_amount"])).quantize(decimal.Decimal("0.01")), n + 1)
     assert got == want
     assert sum(n for (_, u), (_, n) in got.items() if u == "hot") == 200
+
+
+def test_number_in_a_string_field_keeps_its_text(spark):
+    m = msgs(spark, [tx(1, user_name=12345, merchant=1.5)])
+    r = parse.typed(m, "transaction").collect()[0]
+    assert r.user_name == "12345" and r.merchant == "1.5"
