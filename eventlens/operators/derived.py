@@ -27,21 +27,20 @@ def loyalty_check(tx: DataFrame) -> DataFrame:
 
 def batch_id_check(messages: DataFrame) -> DataFrame:
     """R2: per kind, messages whose envelope batch id equals the hour batch
-    id of their event time."""
-    p = parse.parsed(messages)
-    parts = []
-    for kind, field in EVENT_TIME_FIELD.items():
-        r = parse.route(p, kind)
-        derived = hour_batch_id(parse_event_time(F.col(f"data.{field}")))
-        parts.append(
-            r.select(
-                F.lit(kind).alias("data_type"),
-                derived.eqNullSafe(F.col("data.batch_id")).cast("int").alias("ok"),
-            )
+    id of their event time.  One parse and one aggregation for all kinds."""
+    p = parse.parsed(messages).select("data.*")
+    dtype = F.col("data_type")
+    event_text = F.when(dtype == "transaction", F.col(EVENT_TIME_FIELD["transaction"])).otherwise(
+        F.col(EVENT_TIME_FIELD["activity"])
+    )
+    derived = hour_batch_id(parse_event_time(event_text))
+    return (
+        p.filter(dtype.isin(*EVENT_TIME_FIELD))
+        .groupBy("data_type")
+        .agg(
+            F.count(F.lit(1)).alias("messages"),
+            F.sum(derived.eqNullSafe(F.col("batch_id")).cast("int")).alias("matching"),
         )
-    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return out.groupBy("data_type").agg(
-        F.count(F.lit(1)).alias("messages"), F.sum("ok").alias("matching")
     )
 
 
@@ -106,6 +105,7 @@ RULES = {"transaction": transaction_rules, "activity": activity_rules, "sensor":
 
 
 def rule_counts(events: DataFrame, stream: str, rules: dict[str, Column]) -> DataFrame:
+    """Violation counts of one kind's rules (events of that kind only)."""
     wide = events.agg(
         F.count(F.lit(1)).alias("checked"),
         *[F.sum(cond.cast("int")).alias(name) for name, cond in rules.items()],
@@ -120,12 +120,25 @@ def rule_counts(events: DataFrame, stream: str, rules: dict[str, Column]) -> Dat
 
 
 def quality_report(messages: DataFrame) -> DataFrame:
-    p = parse.parsed(messages)
-    parts = []
+    """R4 in one pass: each message is parsed once; every (kind, rule) is a
+    conditional sum in a single global aggregate (partial per task, one
+    row shuffled per task), then unpivoted to (stream, rule, violations,
+    checked)."""
+    p = parse.parsed(messages).select("data.*")
+    dtype = F.col("data_type")
+    sums, cells = [], []
     for kind, rules in RULES.items():
-        typed = parse.route(p, kind).select("data.*")
-        parts.append(rule_counts(typed, kind, rules()))
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out
+        is_kind = dtype == kind
+        sums.append(F.sum(is_kind.cast("int")).alias(f"{kind}__checked"))
+        for name, cond in rules().items():
+            col = f"{kind}__{name}"
+            sums.append(F.sum((is_kind & cond).cast("int")).alias(col))
+            cells.append((kind, name, col))
+    wide = p.agg(*sums)
+    stack = ", ".join(f"'{k}', '{r}', `{c}`, `{k}__checked`" for k, r, c in cells)
+    return wide.selectExpr(f"stack({len(cells)}, {stack}) AS (stream, rule, violations, checked)").select(
+        "stream",
+        "rule",
+        F.coalesce(F.col("violations"), F.lit(0)).cast("bigint").alias("violations"),
+        F.coalesce(F.col("checked"), F.lit(0)).cast("bigint").alias("checked"),
+    )
