@@ -52,20 +52,37 @@ _STORED: dict[tuple[str, str], str] = {}
 KIND_COLUMN = "kind"
 
 
+TOPIC_NAME = "user_transactions"
+
+
+def as_broker_records(messages: DataFrame, topic: str = TOPIC_NAME, partition: int = 0) -> DataFrame:
+    """(json, kafka_timestamp) -> the Kafka source's record layout (binary
+    key/value, topic, partition, timestamp); ``project_message`` reverses it."""
+    return messages.select(
+        F.lit(None).cast("binary").alias("key"),
+        F.encode("json", "UTF-8").alias("value"),
+        F.lit(topic).alias("topic"),
+        F.lit(partition).alias("partition"),
+        F.col("kafka_timestamp").alias("timestamp"),
+    )
+
+
 def stored_topic_dir(spark: SparkSession, sf_dir: str) -> str:
     """The fixture topic written once per process and scale factor below the
-    shared folder, as parquet ``(json, kafka_timestamp)`` partitioned by
-    kind (like one topic partition set per event kind).  Readers then scan
-    stored messages, as they would a broker or landing folder, instead of
-    re-deriving them inside every plan."""
+    shared folder, as broker records (Kafka source layout) partitioned by
+    kind, one topic partition per event kind.  Readers then scan stored
+    records and project them as a Kafka read does, instead of re-deriving
+    messages inside every plan."""
     from ..session import ensure_checkpoint_dir, work_dir
 
     key = (ensure_checkpoint_dir(spark), sf_dir)
     if key not in _STORED:
         path = work_dir(spark, "topic", unique=True)
         parts = [
-            encode_events(fixtures.VIEWS[k](spark, sf_dir)).withColumn(KIND_COLUMN, F.lit(k))
-            for k in fixtures.VIEWS
+            as_broker_records(encode_events(fixtures.VIEWS[k](spark, sf_dir)), partition=i).withColumn(
+                KIND_COLUMN, F.lit(k)
+            )
+            for i, k in enumerate(fixtures.VIEWS)
         ]
         topic = parts[0].unionByName(parts[1]).unionByName(parts[2])
         topic.write.mode("overwrite").partitionBy(KIND_COLUMN).parquet(path)
@@ -74,7 +91,7 @@ def stored_topic_dir(spark: SparkSession, sf_dir: str) -> str:
 
 
 def stored_topic(spark: SparkSession, sf_dir: str, kinds=("transaction", "activity", "sensor")) -> DataFrame:
-    """Messages of the given kinds from the stored fixture topic (partition
-    pruning on kind)."""
+    """Messages of the given kinds from the stored fixture topic: partition
+    pruning on kind, then the broker-record projection (S5)."""
     df = spark.read.parquet(stored_topic_dir(spark, sf_dir))
-    return df.filter(F.col(KIND_COLUMN).isin(*kinds)).select("json", "kafka_timestamp")
+    return project_message(df.filter(F.col(KIND_COLUMN).isin(*kinds)))
