@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import posixpath
 import re
+import tempfile
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,6 +17,27 @@ from ..session import work_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that
+    their Python workers can import it whatever folder they run in."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    name = os.path.basename(root)
+    archive = os.path.join(tempfile.mkdtemp(), f"{name}.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for top, _, files in os.walk(root):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    z.write(os.path.join(top, f), os.path.join(name, os.path.relpath(os.path.join(top, f), root)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
 def folder(spark: SparkSession, name: str) -> str:
     """A new folder for ``name`` below the shared checkpoint folder."""
     return work_dir(spark, "llm", name, unique=True)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import apply_runtime_defaults
+from .common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -17,6 +18,7 @@ def query(name: str, sql: str | None = None):
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             apply_runtime_defaults(spark)
+            ship(spark)
             return fn(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
         run.__doc__ = fn.__doc__
@@ -102,3 +104,41 @@ def op10_quality_rules(table):
     judged = verdicts(ledger(table("documents")), "strict_v1")
     base = F.col("failed").bitwiseAND(F.lit(POLICIES["base_v1"]).cast("long")) != 0
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "failed", base.alias("base_failed"), "kept")
+
+
+@query("op3_warc", r"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha1(body) AS payload_digest FROM p),
+o AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS owner FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN owner <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN owner <> page_id THEN owner END AS refers_to FROM o
+""")
+def op3_warc(table):
+    """Every page as it reads back from the archives."""
+    from .common import folder
+    from .warc_zip import read_archives, records, write_archives
+
+    pages = table("pages")
+    path = folder(pages.sparkSession, "warc")
+    back = read_archives(write_archives(records(pages), path), path)
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op4_simhash")
+def op4_simhash(table):
+    """Fingerprint and near-duplicate component of every document."""
+    from .simhash import components, fingerprint_text
+
+    c = components(table("documents"))
+    return c.select("doc_id", fingerprint_text("fp").alias("fingerprint"), "component_id")
+
+
+@query("op6_language_id")
+def op6_language_id(table):
+    """Predicted language of every document; learned outside the held-out part."""
+    from .langid import held_out, predict, train, training_part
+
+    docs = table("documents").select("doc_id", "text", "lang")
+    judged = predict(docs.select("doc_id", "text"), train(training_part(docs)))
+    return judged.select("doc_id", held_out().alias("held_out"), F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"))
