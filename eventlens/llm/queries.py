@@ -142,3 +142,16 @@ def op6_language_id(table):
     docs = table("documents").select("doc_id", "text", "lang")
     judged = predict(docs.select("doc_id", "text"), train(training_part(docs)))
     return judged.select("doc_id", held_out().alias("held_out"), F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"))
+
+
+@query("op1_token_ids")
+def op1_token_ids(table):
+    """Start, length and checksum of every document's ids, read back from the files."""
+    import public_tokenizers
+
+    from .common import folder
+    from .token_binary import read_ids, write_ids
+
+    docs = table("documents")
+    path = folder(docs.sparkSession, "ids")
+    return read_ids(write_ids(docs, path, public_tokenizers.path("byte_bpe_50k.json")), path)
