@@ -155,3 +155,15 @@ def op1_token_ids(table):
     docs = table("documents")
     path = folder(docs.sparkSession, "ids")
     return read_ids(write_ids(docs, path, public_tokenizers.path("byte_bpe_50k.json")), path)
+
+
+@query("op2_url_filter")
+def op2_url_filter(table):
+    """Host, path, rule and verdict of every page's url."""
+    from .url_filter import Rule, judge
+
+    rules = (Rule("allow", "org"), Rule("block", "example.org", "/es/"), Rule("block", "example.org", "/en/1"), Rule("allow", "com", "/fr/"), Rule("block", "com", "/de/"))
+    judged = judge(table("pages").select("page_id", "url"), rules)
+    return judged.select(
+        F.col("page_id").cast("long").alias("page_id"), F.col("__host").alias("host"), F.col("__path").alias("path"), F.col("__rule").alias("rule"), F.col("__verdict").alias("verdict")
+    )
