@@ -167,3 +167,11 @@ def op2_url_filter(table):
     return judged.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("__host").alias("host"), F.col("__path").alias("path"), F.col("__rule").alias("rule"), F.col("__verdict").alias("verdict")
     )
+
+
+@query("op7_suffix_array")
+def op7_suffix_array(table):
+    """What is left of every document without its repeated 200-byte strings."""
+    from .suffix_dedup import remove_repeats
+
+    return remove_repeats(table("documents"), keep_text=False).drop("kept")
