@@ -60,21 +60,22 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def global_rank(df: DataFrame, order: list[Column], rank: str, name: str) -> DataFrame:
-    """Adds ``rank``: 1, 2, ... over all rows in the order given.
+def global_rank(df: DataFrame, order: list[Column], rank: str, name: str, weight: Column | None = None) -> DataFrame:
+    """Adds ``rank``: 1, 2, ... over all rows in the order given; with a
+    ``weight``, the running sum of it up to and including the row.
 
     The rows are range-partitioned by sampled splitters and written, so the
     partition numbers are fixed; a row's rank is its place in its partition
-    plus the rows of the partitions before.  Only one count per partition is
+    plus the rows of the partitions before.  Only one sum per partition is
     gathered.  The rows must differ in ``order``: equal rows land in one task.
     """
-    part = "__part"
+    part, one = "__part", F.lit(1) if weight is None else weight
     parts = written(df.repartitionByRange(*order).withColumn(part, F.spark_partition_id()), name)
-    before = parts.groupBy(part).agg(F.count("*").alias("__n")).select(
+    before = parts.groupBy(part).agg(F.sum(one).alias("__n")).select(
         part,
         (F.sum("__n").over(Window.orderBy(part)) - F.col("__n")).alias("__before"),
     )  # one row per partition
-    place = F.row_number().over(Window.partitionBy(part).orderBy(*order))
+    place = F.sum(one).over(Window.partitionBy(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (
         parts.withColumn(rank, place)
         .join(F.broadcast(before), part)

@@ -175,3 +175,31 @@ def op7_suffix_array(table):
     from .suffix_dedup import remove_repeats
 
     return remove_repeats(table("documents"), keep_text=False).drop("kept")
+
+
+@query("op9_line_runs", r"""
+WITH l AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents),
+s AS (
+  SELECT doc_id, x, list_filter(generate_series(1, len(x)), lambda i: regexp_matches(x[i], '[^\x20\x09-\x0D]')) AS pl FROM l),
+w AS (
+  SELECT doc_id, depth, p, array_to_string(list_transform(pl[p:p + depth - 1], lambda i: md5(x[i])), ',') AS run
+  FROM (SELECT *, unnest(generate_series(1, len(pl) - depth + 1)) AS p
+        FROM (SELECT *, unnest([2, 4, 8, 16, 32, 64, 128, 256, 512, 1024, 2048, 4096]) AS depth FROM s) WHERE len(pl) >= depth)),
+c AS (SELECT doc_id, depth, p FROM (SELECT *, row_number() OVER (PARTITION BY depth, run ORDER BY doc_id, p) AS nth FROM w) WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, unnest([p, p + 1]) AS p FROM c WHERE depth = 2),
+runs AS (
+  SELECT doc_id, count(*)::BIGINT AS n_removed, count(*) FILTER (WHERE brk)::BIGINT AS n_runs, list(p) AS ps
+  FROM (SELECT doc_id, p, p - lag(p, 1, -1) OVER (PARTITION BY doc_id ORDER BY p) <> 1 AS brk FROM gone) GROUP BY doc_id),
+deep AS (SELECT doc_id, max(depth)::BIGINT AS longest FROM c GROUP BY doc_id)
+SELECT doc_id, len(x)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_runs, 0)::BIGINT AS n_runs,
+  coalesce(longest, 0)::BIGINT AS longest_repeat,
+  sha256(array_to_string(list_transform(list_filter(generate_series(1, len(x)), lambda i: ps IS NULL OR NOT list_contains(list_transform(ps, lambda p: pl[p]), i)), lambda i: x[i]), chr(10))) AS kept_sha256
+FROM s LEFT JOIN runs USING (doc_id) LEFT JOIN deep USING (doc_id)
+""")
+def op9_line_runs(table):
+    """What is left of every document without later copies of repeated line runs."""
+    from .line_dedup import remove_runs
+
+    left = remove_runs(table("documents"))
+    return left.select("doc_id", "n_lines", "n_removed", "n_runs", "longest_repeat", F.sha2("kept", 256).alias("kept_sha256"))
