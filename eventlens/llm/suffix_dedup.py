@@ -301,8 +301,9 @@ def _strings(length: int):
 
 def _hot_offsets(suffixes: DataFrame, length: int) -> DataFrame:
     strings = written(suffixes.mapInArrow(_strings(length), "w binary, lead long, context long, n long, x int"), "suffix-hot")
-    again = strings.groupBy("w").agg(F.sum("n").alias("k")).where("k > 1").select("w")
-    found = strings.join(again, "w").groupBy("lead", "context").agg(F.min("x").alias("low"), F.max("x").alias("high"))
+    # one string may hold several anchors; with its offset it is counted once
+    again = strings.groupBy("w", "x").agg(F.sum("n").alias("k")).where("k > 1").select("w", "x")
+    found = strings.join(again, ["w", "x"]).groupBy("lead", "context").agg(F.min("x").alias("low"), F.max("x").alias("high"))
     return found.select("lead", "context", "low", "high")
 
 
