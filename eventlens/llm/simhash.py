@@ -158,10 +158,11 @@ def links(nodes: DataFrame, radius: int = MAX_BITS) -> DataFrame:
     masks = covering_masks(list(range(64)), radius)
     table = F.explode(F.array(*[F.lit(_signed(m)).cast("long") for m in masks])).alias("mask")
     rows = nodes.select("fp", table).select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
-    # free positions halve with each level; 2^free <= BUCKET ends the loop
+    # free positions halve with each level, down to the radius' 2^(r + 1) - 1
+    # or so; a bucket holds at most 2^free fingerprints
     free, found = 64 - min(m.bit_count() for m in masks), None
     while True:
-        last = (1 << free) <= BUCKET
+        last = (1 << free) <= BUCKET or _most_free(free, radius) == free  # too few positions to split
         large = None
         if not last:
             large = written(rows.groupBy("mask", "key").agg(F.count("*").alias("n")).where(F.col("n") > BUCKET).select("mask", "key"), "simhash-large")

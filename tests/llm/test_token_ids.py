@@ -85,11 +85,19 @@ def test_documents_longer_than_a_block(llm, monkeypatch, tmp_path):
 
 
 def test_words_apart_equal_whole_texts():
+    import random
+
     e = token_binary._Encoder(BPE)
     assert e.by_word
-    texts = ["", " ", "  two  gaps ", "a\n b", "don't 12 3.4", "x\u00a0 y", "tab\t z", " lead", "trail ", "<|endoftext|> q <|endoftext|>", "\u0085 a \u001c b", "é ü 漢字 かな"]
+    texts = ["", " ", "  two  gaps ", "a\n b", "a\n\n  b\n\nc\n", "don't 12 3.4 'tis we'll I'M x's", "x\u00a0 y", "tab\t z", " lead", "trail ", "<|endoftext|> q <|endoftext|>", "\u0085 a \u001c b"]
+    texts += ["é ü 漢字 かな", "x² y³ ½ª º µ", "under_score __ a_b 1_2", "a--b ...c!? d\r\ne", "İstanbul ß ſ ŉ", "".join(map(chr, range(1, 0x250)))]
+    rng = random.Random(1)
+    chars = "ab é'sdt 12_-.,\n\r\t  ×÷¡"
+    texts += ["".join(rng.choice(chars) for _ in range(rng.randrange(60))) for _ in range(3000)]
+    texts += [chr(a) + chr(b) + " " + chr(a) + "x" for a in range(0x20, 0x180) for b in (0x20, 0x27, 0x31, 0x61, 0xE9, 0x0A, 0x5F)]
     whole = [np.array(e.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
-    assert e.encode(texts) == whole
+    got = e.encode(texts)
+    assert [t for t, a, b in zip(texts, got, whole) if a != b] == []
 
 
 def test_nothing(llm, nothing):
