@@ -35,7 +35,7 @@ MAX_TRAINING = 20_000
 MAX_RULES = 2000
 TREES, DEPTH, SEED = 10, 4, 7
 PRIOR = 8.0
-FEATURES = ("f_length", "f_host_length", "f_path_length", "f_labels", "f_depth", "f_digits", "f_entropy", "f_params", "f_hyphens", "f_fragment", "f_suffix_share", "f_suffix_count")
+FEATURES = ("__f_length", "__f_host_length", "__f_path_length", "__f_labels", "__f_depth", "__f_digits", "__f_entropy", "__f_params", "__f_hyphens", "__f_fragment", "__f_suffix_share", "__f_suffix_count")
 
 
 @dataclass(frozen=True)
@@ -81,16 +81,16 @@ def lexical(df: DataFrame, url: str, host: str, path: str) -> DataFrame:
     query = F.coalesce(F.regexp_extract(u, r"(?s)\?([^#]*)", 1), F.lit(""))
     return df.withColumns(
         {
-            "f_length": n.cast("double"),
-            "f_host_length": F.length(host).cast("double"),
-            "f_path_length": F.length(path).cast("double"),
-            "f_labels": count(F.col(host), "."),
-            "f_depth": count(F.col(path), "/"),
-            "f_digits": F.when(n > 0, F.length(F.regexp_replace(u, "[^0-9]+", "")) / n).otherwise(0.0),
-            "f_entropy": F.when(n > 0, F.log2(n.cast("double")) - plogp / n).otherwise(0.0),
-            "f_params": F.when(query == "", 0.0).otherwise(count(query, "&") + 1),
-            "f_hyphens": count(u, "-"),
-            "f_fragment": F.when(F.contains(u, F.lit("#")), 1.0).otherwise(0.0),
+            "__f_length": n.cast("double"),
+            "__f_host_length": F.length(host).cast("double"),
+            "__f_path_length": F.length(path).cast("double"),
+            "__f_labels": count(F.col(host), "."),
+            "__f_depth": count(F.col(path), "/"),
+            "__f_digits": F.when(n > 0, F.length(F.regexp_replace(u, "[^0-9]+", "")) / n).otherwise(0.0),
+            "__f_entropy": F.when(n > 0, F.log2(n.cast("double")) - plogp / n).otherwise(0.0),
+            "__f_params": F.when(query == "", 0.0).otherwise(count(query, "&") + 1),
+            "__f_hyphens": count(u, "-"),
+            "__f_fragment": F.when(F.contains(u, F.lit("#")), 1.0).otherwise(0.0),
             "__suffix": F.substring_index(F.regexp_replace(F.col(host), r":\d*$", ""), ".", -1),
         }
     )
@@ -111,22 +111,23 @@ def judge(pages: DataFrame, rules, max_training: int = MAX_TRAINING) -> DataFram
     overall = blocked / n
     share = (F.sum("label") + F.lit(PRIOR * overall)) / (F.count("*") + F.lit(PRIOR))
     suffixes = written(
-        labelled.groupBy("__suffix").agg(share.alias("f_suffix_share"), F.log1p(F.count("*")).alias("f_suffix_count")), "url-suffixes"
+        labelled.groupBy("__suffix").agg(share.alias("__f_suffix_share"), F.log1p(F.count("*")).alias("__f_suffix_count")), "url-suffixes"
     ).withColumnRenamed("__suffix", "__s")
 
     def complete(df: DataFrame) -> DataFrame:
         joined = df.join(suffixes, F.col("__suffix") == F.col("__s"), "left").drop("__s")
-        filled = joined.withColumn("f_suffix_share", F.coalesce("f_suffix_share", F.lit(overall))).withColumn("f_suffix_count", F.coalesce("f_suffix_count", F.lit(0.0)))
-        return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(filled)
+        filled = joined.withColumn("__f_suffix_share", F.coalesce("__f_suffix_share", F.lit(overall))).withColumn("__f_suffix_count", F.coalesce("__f_suffix_count", F.lit(0.0)))
+        return VectorAssembler(inputCols=list(FEATURES), outputCol="__features").transform(filled)
 
     distinct = written(labelled.dropDuplicates(["url"]), "url-labelled")
     kept = min(1.0, max_training / max(1, distinct.count()))
     sample = distinct.where(F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < F.lit(kept * (1 << 20)))
     # a bounded table: a few partitions are enough for it
-    training = written(complete(sample).select("features", "label").coalesce(4), "url-training")
+    training = written(complete(sample).select("__features", "label").coalesce(4), "url-training")
     if training.select("label").distinct().count() < 2:
         return ruled.withColumn("__verdict", F.coalesce("__ruled", F.lit("allow"))).drop("__ruled")
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="features", labelCol="label").fit(training)
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="__features", labelCol="label").fit(training)
+    model.setPredictionCol("__prediction").setRawPredictionCol("__raw").setProbabilityCol("__probability")
     judged = model.transform(complete(lexical(ruled, "url", "__host", "__path")))
-    own = F.when(F.col("prediction") == 1.0, "block").otherwise("allow")
+    own = F.when(F.col("__prediction") == 1.0, "block").otherwise("allow")
     return judged.withColumn("__verdict", F.coalesce("__ruled", own)).select(*pages.columns, "__host", "__path", "__rule", "__verdict")

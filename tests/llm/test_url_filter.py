@@ -52,9 +52,9 @@ def test_lexical_features(llm):
     r = df.first()
     counts = {c: url.count(c) for c in set(url)}
     entropy = -sum(n / len(url) * math.log2(n / len(url)) for n in counts.values())
-    assert abs(r.f_entropy - entropy) < 1e-9
-    assert (r.f_length, r.f_labels, r.f_depth, r.f_params, r.f_hyphens, r.f_fragment) == (len(url), 2, 3, 2, 1, 1)
-    assert abs(r.f_digits - 4 / len(url)) < 1e-12 and r["__suffix"] == "com"
+    assert abs(r["__f_entropy"] - entropy) < 1e-9
+    assert tuple(r[f"__f_{c}"] for c in ("length", "labels", "depth", "params", "hyphens", "fragment")) == (len(url), 2, 3, 2, 1, 1)
+    assert abs(r["__f_digits"] - 4 / len(url)) < 1e-12 and r["__suffix"] == "com"
 
 
 def test_one_verdict_only_and_empty(llm):
