@@ -21,11 +21,12 @@ from . import parse
 REJECTED = "__rejected__"
 PARTITION = "data_type"
 DATE = "event_date"
+LANDING = "landing_date"
 
 
 def bronze_rows(messages: DataFrame, by_date: bool = False) -> DataFrame:
     """messages -> one row per message: union fields, event time, broker time
-    (and the UTC event date when the layout is partitioned by date)."""
+    (and the UTC broker and event dates when the layout is partitioned by date)."""
     p = parse.parsed(messages)
     dtype = F.col("data.data_type")
     known = dtype.isin(*BY_TYPE)
@@ -39,16 +40,23 @@ def bronze_rows(messages: DataFrame, by_date: bool = False) -> DataFrame:
         "kafka_timestamp",
         F.when(known, F.lit(None).cast("string")).otherwise(F.col("json")).alias("rejected_json"),
         F.when(known, dtype).otherwise(F.lit(REJECTED)).alias(PARTITION),
-        *([F.to_date(parse_event_time(event_text)).alias(DATE)] if by_date else []),
+        *(
+            [F.to_date("kafka_timestamp").alias(LANDING), F.to_date(parse_event_time(event_text)).alias(DATE)]
+            if by_date
+            else []
+        ),
     )
 
 
 def write_bronze(messages: DataFrame, path: str, mode: str = "overwrite", by_date: bool = False) -> None:
-    """Write bronze partitioned by kind (and event date).  With ``by_date``
-    an overwrite replaces only the (kind, date) partitions present in
-    ``messages`` (dynamic partition overwrite), so re-landing a day is
-    idempotent and leaves other days untouched."""
-    cols = [PARTITION, DATE] if by_date else [PARTITION]
+    """Write bronze partitioned by kind.  With ``by_date`` it is partitioned by
+    kind, landing (broker) date and event date, and an overwrite replaces only
+    the partitions present in ``messages`` (dynamic partition overwrite).  A
+    message lands on one broker date, so landing a day again replaces that
+    landing and nothing else: late events of a day, and the untimed and
+    rejected messages of each landing, stand beside those of other landings.
+    ``messages`` should hold whole broker days."""
+    cols = [PARTITION, LANDING, DATE] if by_date else [PARTITION]
     w = bronze_rows(messages, by_date).write.mode(mode).partitionBy(*cols)
     if by_date:
         w = w.option("partitionOverwriteMode", "dynamic")
@@ -78,13 +86,18 @@ def bronze_schema(spark: SparkSession, by_date: bool = False):
 
 
 def read_kind(
-    spark: SparkSession, path: str, kind: str, streaming: bool = False, days: tuple | None = None
+    spark: SparkSession, path: str, kind: str, streaming: bool = False, days: tuple | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Typed events of one kind from bronze (declared fields, event_time,
     kafka_timestamp, data_type).  ``days=(first, last)`` (inclusive, UTC)
-    on a date-partitioned bronze reads only those days' partitions."""
+    on a date-partitioned bronze reads only those event days' partitions, of all
+    landings.  ``max_files_per_trigger`` bounds a streaming batch."""
     if streaming:
-        df = spark.readStream.schema(bronze_schema(spark, by_date=days is not None)).parquet(path)
+        reader = spark.readStream.schema(bronze_schema(spark, by_date=days is not None))
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        df = reader.parquet(path)
     else:
         df = spark.read.parquet(path)
     df = df.filter(F.col(PARTITION) == kind)

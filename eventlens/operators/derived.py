@@ -104,21 +104,6 @@ def sensor_rules() -> dict[str, Column]:
 RULES = {"transaction": transaction_rules, "activity": activity_rules, "sensor": sensor_rules}
 
 
-def rule_counts(events: DataFrame, stream: str, rules: dict[str, Column]) -> DataFrame:
-    """Violation counts of one kind's rules (events of that kind only)."""
-    wide = events.agg(
-        F.count(F.lit(1)).alias("checked"),
-        *[F.sum(cond.cast("int")).alias(name) for name, cond in rules.items()],
-    )
-    long = wide.unpivot("checked", list(rules), "rule", "violations")
-    return long.select(
-        F.lit(stream).alias("stream"),
-        "rule",
-        F.coalesce(F.col("violations"), F.lit(0)).cast("bigint").alias("violations"),
-        F.col("checked").cast("bigint").alias("checked"),
-    )
-
-
 def quality_report(messages: DataFrame) -> DataFrame:
     """R4 in one pass: each message is parsed once; every (kind, rule) is a
     conditional sum in a single global aggregate (partial per task, one

@@ -1,8 +1,7 @@
 """Envelope parse, routing and typed parsing.
 
-Direct path: a kind's messages are parsed with that kind's declared schema
-(which includes the envelope) and routed by an equality filter on
-``data_type``; Catalyst prunes the parsed schema to the fields used.  The
+Direct path: messages are parsed once with the kind's declared schema (which
+includes the envelope) and routed by an equality filter on ``data_type``.  The
 bronze layer (``operators.bronze``) instead parses every message once with
 the union of all kinds' fields (``parsed``) and stores the result.
 """
@@ -52,16 +51,15 @@ def typed(messages: DataFrame, kind: str, with_kafka_time: bool = False) -> Data
     """P3-P5 (+P6/P8 with broker time): declared fields of one kind,
     struct star-expanded (P9).
 
-    Parsed with the kind's own schema (which includes the envelope), so the
-    struct holds only this kind's fields.  Catalyst evaluates the routing
-    predicate below the projection with a schema pruned to ``data_type``;
-    the bronze layer is the path that tokenizes each message only once."""
+    The struct is expanded by a generator (``inline`` of one element), which
+    Catalyst does not push filters or projections through: the routing and
+    event-time predicates above it read columns, and each message is
+    tokenized once.  A predicate on a projected ``from_json`` would be pushed
+    below the projection and parse the text again."""
     schema = BY_TYPE[kind]
-    data = messages.select(F.from_json("json", schema).alias("data"), "kafka_timestamp")
-    fields = [F.col(f"data.{f.name}").alias(f.name) for f in schema.fields]
-    if with_kafka_time:
-        fields.append(F.col("kafka_timestamp"))
-    return route(data, kind).select(*fields)
+    data = messages.select(F.inline(F.array(F.from_json("json", schema))), "kafka_timestamp")
+    names = [f.name for f in schema.fields] + (["kafka_timestamp"] if with_kafka_time else [])
+    return data.filter(F.col("data_type") == F.lit(kind)).select(*names)
 
 
 def with_event_time(df: DataFrame, kind: str, name: str = "event_time") -> DataFrame:

@@ -21,7 +21,7 @@ class KafkaSource:
     topic: str
     starting_offsets: str = "earliest"  # S2: a new checkpoint reads the whole topic
     fail_on_data_loss: bool = False  # S3: tolerate offsets aged out of retention
-    max_offsets_per_trigger: int | None = 1000  # S4: admission control per trigger
+    max_offsets_per_trigger: int | None = None  # S4: admission control per trigger; no limit unless given
 
     def options(self) -> dict[str, str]:
         opts = {

@@ -1,7 +1,7 @@
 """The message topic: ``(json string, kafka_timestamp timestamp)`` rows.
 
 ``encode_events`` is the producer's JSON encoding (S15) as a DataFrame
-expression; ``fixture_topic`` is the mixed topic made from the driver's
+expression; ``stored_topic`` is the mixed topic made from the driver's
 tables; ``replayed_topic`` models a consumer restarted from ``earliest``
 (every message delivered twice, the second time later).
 """
@@ -28,31 +28,21 @@ def project_message(df: DataFrame) -> DataFrame:
     return df.selectExpr("CAST(value AS STRING) AS json", "CAST(timestamp AS TIMESTAMP) AS kafka_timestamp")
 
 
-def fixture_topic(spark: SparkSession, sf_dir: str, kinds=("transaction", "activity", "sensor")) -> DataFrame:
-    parts = [encode_events(fixtures.VIEWS[k](spark, sf_dir)) for k in kinds]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def replayed_topic(
     spark: SparkSession,
     sf_dir: str,
-    kinds=("transaction", "activity", "sensor"),
     delay: str = "INTERVAL 1 DAY",
 ) -> DataFrame:
     """The topic delivered twice: original, then a re-delivery ``delay`` later."""
-    topic = stored_topic(spark, sf_dir, tuple(kinds))
+    topic = stored_topic(spark, sf_dir)
     again = topic.select("json", (F.col("kafka_timestamp") + F.expr(delay)).alias("kafka_timestamp"))
     return topic.unionByName(again)
 
 
 _STORED: dict[tuple[str, str], str] = {}
-KIND_COLUMN = "kind"
 
 
-TOPIC_NAME = "user_transactions"
+TOPIC_NAME = "events"
 
 
 def as_broker_records(messages: DataFrame, topic: str = TOPIC_NAME, partition: int = 0) -> DataFrame:
@@ -69,29 +59,25 @@ def as_broker_records(messages: DataFrame, topic: str = TOPIC_NAME, partition: i
 
 def stored_topic_dir(spark: SparkSession, sf_dir: str) -> str:
     """The fixture topic written once per process and scale factor below the
-    shared folder, as broker records (Kafka source layout) partitioned by
-    kind, one topic partition per event kind.  Readers then scan stored
-    records and project them as a Kafka read does, instead of re-deriving
-    messages inside every plan."""
+    shared folder, as one mixed topic of broker records (Kafka source
+    layout).  Readers scan all its records and project them as a Kafka read
+    does, instead of re-deriving messages inside every plan."""
     from ..session import ensure_checkpoint_dir, work_dir
 
     key = (ensure_checkpoint_dir(spark), sf_dir)
     if key not in _STORED:
         path = work_dir(spark, "topic", unique=True)
         parts = [
-            as_broker_records(encode_events(fixtures.VIEWS[k](spark, sf_dir)), partition=i).withColumn(
-                KIND_COLUMN, F.lit(k)
-            )
+            as_broker_records(encode_events(fixtures.VIEWS[k](spark, sf_dir)), partition=i)
             for i, k in enumerate(fixtures.VIEWS)
         ]
         topic = parts[0].unionByName(parts[1]).unionByName(parts[2])
-        topic.write.mode("overwrite").partitionBy(KIND_COLUMN).parquet(path)
+        topic.write.mode("overwrite").parquet(path)
         _STORED[key] = path
     return _STORED[key]
 
 
-def stored_topic(spark: SparkSession, sf_dir: str, kinds=("transaction", "activity", "sensor")) -> DataFrame:
-    """Messages of the given kinds from the stored fixture topic: partition
-    pruning on kind, then the broker-record projection (S5)."""
-    df = spark.read.parquet(stored_topic_dir(spark, sf_dir))
-    return project_message(df.filter(F.col(KIND_COLUMN).isin(*kinds)))
+def stored_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages of the stored fixture topic, by the broker-record
+    projection (S5); kinds are told apart by parsing, as on a broker."""
+    return project_message(spark.read.parquet(stored_topic_dir(spark, sf_dir)))
