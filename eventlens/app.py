@@ -1,6 +1,6 @@
 """Command-line entry: run the streaming job, a batch backfill, or reports.
 
-  python -m eventlens.app stream --kafka broker:9092 --topic user_transactions \
+  python -m eventlens.app stream --kafka broker:9092 --topic events \
       --out /shared/tables --checkpoints /shared/checkpoints [--bronze /shared/bronze]
   python -m eventlens.app stream --files /landing/topic --format text --out ... --checkpoints ...
   python -m eventlens.app batch --files /landing/topic --out /shared/tables [--bronze /shared/bronze]
@@ -37,6 +37,8 @@ from .streaming.runner import (
 
 def _source(spark, args, streaming: bool):
     if args.kafka:
+        if not args.topic:
+            raise SystemExit("--kafka needs --topic")
         src = KafkaSource(
             args.kafka,
             args.topic,
@@ -54,11 +56,11 @@ def _add_source_args(p: argparse.ArgumentParser) -> None:
     g = p.add_mutually_exclusive_group(required=True)
     g.add_argument("--kafka", help="bootstrap servers")
     g.add_argument("--files", help="folder of topic files")
-    p.add_argument("--topic", default="user_transactions")
+    p.add_argument("--topic", help="topic name (with --kafka)")
     p.add_argument("--format", default="text", choices=["text", "parquet"])
     p.add_argument("--starting-offsets", default="earliest")
     p.add_argument("--fail-on-data-loss", action="store_true")
-    p.add_argument("--max-offsets-per-trigger", type=int, default=1000)
+    p.add_argument("--max-offsets-per-trigger", type=int, default=None)
     p.add_argument("--max-files-per-trigger", type=int, default=None)
 
 

@@ -33,7 +33,7 @@ class Contract:
 
 def _jdbc_type(spark_type: str) -> str:
     return {
-        "string": "VARCHAR(500)",
+        "string": "TEXT",
         "int": "INTEGER",
         "bigint": "BIGINT",
         "timestamp_ntz": "TIMESTAMP",
@@ -74,7 +74,8 @@ CONTRACTS: dict[str, Contract] = {
                 ("total_spent", "decimal(12,2)"),
                 ("transaction_count", "int"),
             ),
-            key=("window_start", "window_end", "user_id"),
+            # the grouping: a user may appear with two names or cities
+            key=("window_start", "window_end", "user_id", "user_name", "user_city"),
             not_null=("window_start", "window_end"),
         ),
         Contract(
@@ -241,10 +242,9 @@ CONTRACTS: dict[str, Contract] = {
 
 
 def _cast(col: Column, dtype: str) -> Column:
-    if dtype in ("timestamp_ntz", "timestamp"):
-        # Timestamps in the pipeline are session-zone (UTC) instants; the
-        # tables store UTC wall-clock time without a zone.
-        return col.cast(dtype)
+    """ANSI-safe cast: a value that does not fit, or a text that is no time,
+    gives NULL, which ``lossy_flag`` then finds.  Timestamps are session-zone
+    (UTC) instants; the tables store UTC wall-clock time without a zone."""
     return col.try_cast(dtype)
 
 

@@ -81,7 +81,9 @@ def _avg_session(_s: bool) -> Column:
 
 
 def _avg_value(_s: bool) -> Column:
-    return F.avg(F.col("value").try_cast("decimal(10,3)"))
+    # the full value, as the deviation uses; only the result is cut to the
+    # contract's places.  Decimals add up alike in any row order.
+    return F.avg(F.col("value").try_cast("decimal(30,9)"))
 
 
 def _std_value(_s: bool) -> Column:
@@ -250,13 +252,13 @@ def hourly_anomaly_counts(sensors: DataFrame) -> DataFrame:
     ).select(to_wall_clock(F.col("w.start")).alias("hour"), "anomalies")
 
 
-def hourly_metrics_ext(transactions: DataFrame, sensors: DataFrame) -> DataFrame:
+def hourly_metrics_ext(transactions: DataFrame, sensors: DataFrame, conform_output: bool = True) -> DataFrame:
     """A7x (batch): hourly metrics with the real anomaly count, left-joined
     on ``hour``; both sides are one row per hour, so the join input is
     bounded by the number of hours, not by the number of events."""
-    base = build("hourly_metrics", transactions).drop("anomaly_count")
+    base = build("hourly_metrics", transactions, conform_output=False).drop("anomaly_count")
     anomalies = hourly_anomaly_counts(sensors)
     joined = base.join(anomalies, on="hour", how="left").withColumn(
         "anomaly_count", F.coalesce(F.col("anomalies"), F.lit(0))
     )
-    return conform(joined, "hourly_metrics")
+    return conform(joined, "hourly_metrics") if conform_output else joined.drop("anomalies")

@@ -621,3 +621,76 @@ def _bronze_oracles() -> dict[str, str]:
 
 
 ORACLES.update(_bronze_oracles())
+
+
+# -- faulty input: faults at fixed remainders of the event id by 50 -----------
+
+EDGE = f"""{FIXTURES},
+Te AS (
+  SELECT * EXCLUDE (transaction_id, transaction_amount, transaction_date, event_time, amt, amt_c, batch_id, loyalty_points_earned),
+    CAST(substr(transaction_id, 4) AS BIGINT) AS eid, CAST(substr(transaction_id, 4) AS BIGINT) % 50 AS fault,
+    CASE WHEN CAST(substr(transaction_id, 4) AS BIGINT) % 50 <> 4 THEN transaction_id END AS transaction_id,
+    CASE WHEN CAST(substr(transaction_id, 4) AS BIGINT) % 50 = 1 THEN 'junk' ELSE transaction_date END AS transaction_date,
+    CASE WHEN CAST(substr(transaction_id, 4) AS BIGINT) % 50 <> 1 THEN event_time END AS event_time,
+    CASE WHEN CAST(substr(transaction_id, 4) AS BIGINT) % 50 = 2 THEN CAST(9000000000 AS DECIMAL(12,2))
+         WHEN CAST(substr(transaction_id, 4) AS BIGINT) % 50 <> 3 THEN amt END AS amt,
+    transaction_amount,
+    CASE WHEN CAST(substr(transaction_id, 4) AS BIGINT) % 50 = 7 THEN 'batch_x' ELSE batch_id END AS batch_id,
+    CASE WHEN CAST(substr(transaction_id, 4) AS BIGINT) % 50 = 6 THEN -1 ELSE loyalty_points_earned END AS loyalty_points_earned
+  FROM Tx WHERE CAST(substr(transaction_id, 4) AS BIGINT) % 50 <> 5
+),
+Ne AS (
+  SELECT *, (CAST(epoch(event_time) AS BIGINT) - {EPOCH}) % 50 AS fault FROM Nx
+),
+Pe AS (
+  SELECT {_window('event_time', 1800)}, payment_method, COUNT(*) AS n, SUM(amt) AS total, COUNT(amt) AS n_amt
+  FROM Te WHERE event_time IS NOT NULL GROUP BY ALL
+),
+He AS (
+  SELECT {bucket('event_time', 3600)} AS hour, SUM(amt) AS total FROM Te WHERE event_time IS NOT NULL GROUP BY ALL
+)"""
+
+
+def _edge_oracles() -> dict[str, str]:
+    w = f"WITH {EDGE}\n"
+    cents = "CAST(total * 100 AS HUGEINT)"
+    rounded = f"((2 * {cents} + n_amt) // (2 * n_amt))"
+    return {
+        "encode_events": ORACLES["message_projection"],
+        "contract_raw_transactions_edge": w + """SELECT transaction_id, user_id, user_name, user_city, user_age, user_email,
+    amt AS transaction_amount, transaction_currency, transaction_category, merchant, event_time AS transaction_date,
+    payment_method, status, device, ip_address,
+    '{"items_count":' || CAST(items_count AS VARCHAR) || ',"discount_applied":'
+      || CAST(discount_applied AS VARCHAR) || ',"loyalty_points_earned":'
+      || CAST(loyalty_points_earned AS VARCHAR) || '}' AS metadata,
+    data_type, batch_id, kafka_timestamp
+  FROM Te WHERE fault NOT IN (1, 3, 4)""",
+        "batch_payment_method_overflow": w + f"""SELECT window_start, window_end, payment_method, CAST(n AS INTEGER) AS transaction_count,
+    CAST(total AS DECIMAL(12,2)) AS total_amount,
+    CAST(CAST({rounded} AS DECIMAL(38,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(10,2)) AS avg_amount
+  FROM Pe WHERE total < 10000000000 AND {rounded} < 10000000000""",
+        "quarantine_rows": w + f"""SELECT 'payment_method_stats' AS table_name, COUNT(*) AS quarantined, CAST(SUM(total) AS DECIMAL(30,2)) AS total
+  FROM Pe WHERE total >= 10000000000 OR {rounded} >= 10000000000
+  UNION ALL SELECT 'hourly_metrics', COUNT(*), CAST(SUM(total) AS DECIMAL(30,2)) FROM He WHERE total >= 10000000000
+  UNION ALL SELECT 'raw_transactions', COUNT(*), CAST(CASE WHEN COUNT(*) > 0 THEN 0 END AS DECIMAL(30,2)) FROM Te WHERE fault IN (1, 3, 4)
+  UNION ALL SELECT 'raw_sensors', COUNT(*), CAST(CASE WHEN COUNT(*) > 0 THEN 0 END AS DECIMAL(30,2)) FROM Ne WHERE fault = 1""",
+        "dedup_raw_transactions_edge": w + """SELECT transaction_id, user_id, transaction_date, kafka_timestamp FROM Te
+  UNION ALL SELECT transaction_id, user_id, transaction_date, kafka_timestamp + INTERVAL 1 DAY FROM Te WHERE transaction_id IS NULL""",
+        "bronze_relanded_days": w + """SELECT data_type, event_date, COUNT(*) AS messages FROM (
+    SELECT data_type, CAST(event_time AS DATE) AS event_date FROM Te
+    UNION ALL SELECT data_type, CASE WHEN fault <> 1 THEN CAST(event_time AS DATE) END FROM Ne
+    UNION ALL SELECT '__rejected__', NULL FROM Tx WHERE CAST(substr(transaction_id, 4) AS BIGINT) % 50 = 5)
+  GROUP BY ALL""",
+        "loyalty_check_edge": w + """SELECT transaction_id, CAST(floor(transaction_amount / 100) AS INTEGER) AS expected_points,
+    loyalty_points_earned AS reported_points,
+    CAST(floor(transaction_amount / 100) AS INTEGER) IS NOT DISTINCT FROM loyalty_points_earned AS consistent
+  FROM Te WHERE fault NOT IN (2, 3)""",
+        "batch_id_check_edge": w + """SELECT data_type, COUNT(*) AS messages, CAST(SUM(CASE WHEN fault NOT IN (1, 7) THEN 1 ELSE 0 END) AS BIGINT) AS matching
+  FROM Te GROUP BY data_type
+  UNION ALL SELECT data_type, COUNT(*), CAST(SUM(CASE WHEN fault <> 1 THEN 1 ELSE 0 END) AS BIGINT) FROM Ne GROUP BY data_type""",
+        "sensor_unit_edge": w + f"""SELECT sensor_type, {UNITS_CASE} AS expected_unit, COUNT(*) AS readings,
+    CAST(SUM(CASE WHEN fault <> 8 THEN 1 ELSE 0 END) AS BIGINT) AS unit_matches FROM Ne GROUP BY sensor_type""",
+    }
+
+
+ORACLES.update(_edge_oracles())

@@ -13,9 +13,9 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..contracts import conform
+from ..contracts import lossy_flag, split_lossy
+from ..operators import aggregates, bronze, dedup, parse
 from ..sources.messages import stored_topic
-from ..operators import aggregates, bronze, parse
 
 AGGREGATE_TABLES = (
     "transaction_hourly_stats",
@@ -29,6 +29,7 @@ AGGREGATE_TABLES = (
 )
 RAW_TABLES = ("raw_transactions", "raw_activities", "raw_sensors")
 ALL_TABLES = AGGREGATE_TABLES + RAW_TABLES
+QUARANTINE = "_quarantine"
 
 
 class Pipeline:
@@ -46,14 +47,13 @@ class Pipeline:
 
     @classmethod
     def from_messages(cls, spark: SparkSession, messages) -> "Pipeline":
-        """``messages``: a mixed topic DataFrame, or ``kind -> DataFrame``
-        for a topic already split by kind (read only that kind)."""
-        source = messages if callable(messages) else (lambda _kind: messages)
-        return cls(spark, lambda kind: aggregates.prepare(source(kind), kind))
+        """``messages``: a mixed topic DataFrame; every table reads it and
+        routes its kind."""
+        return cls(spark, lambda kind: aggregates.prepare(messages, kind))
 
     @classmethod
     def from_fixtures(cls, spark: SparkSession, sf_dir: str) -> "Pipeline":
-        return cls.from_messages(spark, lambda kind: stored_topic(spark, sf_dir, (kind,)))
+        return cls.from_messages(spark, stored_topic(spark, sf_dir))
 
     @classmethod
     def from_bronze(cls, spark: SparkSession, path: str, days: tuple | None = None) -> "Pipeline":
@@ -66,20 +66,37 @@ class Pipeline:
     def events(self, kind: str) -> DataFrame:
         return self._events_of(kind)
 
-    def table(self, name: str) -> DataFrame:
+    def computed(self, name: str) -> DataFrame:
+        """A table's rows before the contract's casts, at full width."""
         if name not in self._cache:
             if name in aggregates.SPECS:
                 spec = aggregates.SPECS[name]
-                df = aggregates.build(spec, self.events(spec.kind))
+                df = aggregates.build(spec, self.events(spec.kind), conform_output=False)
             elif name in parse.RAW:
-                df = conform(parse.RAW[name](self.events(parse.RAW_KIND[name])), name)
+                df = parse.RAW[name](self.events(parse.RAW_KIND[name]))
             elif name == "hourly_metrics_ext":
-                df = aggregates.hourly_metrics_ext(self.events("transaction"), self.events("sensor"))
+                df = aggregates.hourly_metrics_ext(
+                    self.events("transaction"), self.events("sensor"), conform_output=False
+                )
             else:
                 raise KeyError(name)
             self._cache[name] = df
         return self._cache[name]
 
+    @staticmethod
+    def contract(name: str) -> str:
+        return "hourly_metrics" if name == "hourly_metrics_ext" else name
+
+    def table(self, name: str) -> DataFrame:
+        """Rows that fit the contract; raw tables hold each key once."""
+        good, _ = split_lossy(self.computed(name), self.contract(name))
+        return dedup.first_delivery(good, name) if name in parse.RAW else good
+
+    def quarantined(self, name: str) -> DataFrame:
+        """Rows that lose a value in the contract's casts, or lack a NOT NULL
+        value, as computed."""
+        return split_lossy(self.computed(name), self.contract(name))[1]
+
     def tables(self, names=ALL_TABLES) -> dict[str, DataFrame]:
         return {n: self.table(n) for n in names}
 
@@ -98,27 +115,35 @@ class Pipeline:
         passes through the driver.  With ``by_date`` each table is
         partitioned by the UTC date of its window (raw tables: of their
         event time) and an overwrite replaces only the dates written, so a
-        day-range recompute is incremental and idempotent."""
+        day-range recompute is incremental and idempotent.  Rows that do not
+        fit the contract go to ``<root>/_quarantine/<table>``; they are counted
+        while the table is written, and written only where there are some."""
         from concurrent.futures import ThreadPoolExecutor
 
+        from pyspark.sql import Observation
         from pyspark.sql import functions as F
 
-        def dated(n: str) -> DataFrame:
-            df = self.table(n)
+        def dated(df: DataFrame) -> DataFrame:
             time_col = next(c for c in ("window_start", "hour", "transaction_date", "timestamp") if c in df.columns)
             return df.withColumn("event_date", F.to_date(F.col(time_col)))
 
         def write(n: str) -> None:
-            path = f"{root.rstrip('/')}/{n}"
+            path, contract, seen = f"{root.rstrip('/')}/{n}", self.contract(n), Observation()
+            counted = self.computed(n).observe(seen, F.sum(lossy_flag(contract).cast("int")).alias("lossy"))
+            df = split_lossy(counted, contract)[0]
+            if n in parse.RAW:
+                df = dedup.first_delivery(df, n)
             if by_date:
-                dated(n).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(
+                dated(df).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(
                     "event_date"
                 ).parquet(path)
             else:
-                self.table(n).write.mode(mode).parquet(path)
+                df.write.mode(mode).parquet(path)
+            if seen.get.get("lossy"):
+                self.quarantined(n).write.mode(mode).parquet(f"{root.rstrip('/')}/{QUARANTINE}/{n}")
 
         for n in names:  # build plans on this thread; only execution is parallel
-            self.table(n)
+            self.computed(n)
         with ThreadPoolExecutor(max_workers=max(1, concurrent_jobs)) as pool:
             for f in [pool.submit(write, n) for n in names]:
                 f.result()
@@ -128,13 +153,15 @@ class Pipeline:
 class Tables:
     """Result tables read from storage (parquet folders by table name).
     Folders written by the streaming sink carry a ``micro_batch`` partition
-    column and ``processed_at``; reports never reference either."""
+    column and ``processed_at``; reports never reference either.  Raw tables
+    are appended as delivered and hold each key once when read here."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        df = self.spark.read.parquet(f"{self.root}/{name}")
+        return dedup.first_delivery(df, name) if name in parse.RAW else df
 
 
 class JdbcTables:

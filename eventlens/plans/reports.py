@@ -47,7 +47,7 @@ def rpt_amount_by_category(tables) -> DataFrame:  # D3
 def rpt_top10_users(tables) -> DataFrame:  # D4: top-k, a user may repeat
     return (
         _t(tables, "top_users")
-        .orderBy(F.desc("total_spent"), "window_start", "user_id")
+        .orderBy(F.desc("total_spent"), "window_start", "user_id", "user_name", "user_city")
         .limit(10)
         .select("user_name", "user_city", "total_spent", "transaction_count")
     )
@@ -90,7 +90,7 @@ def rpt_avg_session_monitoring(tables) -> DataFrame:  # D27
 def rpt_latest_anomalies(tables) -> DataFrame:  # D7: latest 20 rows
     return (
         _t(tables, "sensor_anomalies")
-        .orderBy(F.desc("window_start"), "sensor_id", "status")
+        .orderBy(F.desc("window_start"), "sensor_id", "status", "sensor_type", "sensor_location")
         .limit(20)
         .select(
             "sensor_id",

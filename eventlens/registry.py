@@ -50,9 +50,9 @@ def wall_clock(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def _topic(spark, sf_dir, kinds=("transaction", "activity", "sensor")) -> DataFrame:
-    """The stored fixture topic; with ``kinds`` only those kinds' messages."""
-    return stored_topic(spark, sf_dir, tuple(kinds))
+def _topic(spark, sf_dir) -> DataFrame:
+    """The stored fixture topic: messages of all kinds."""
+    return stored_topic(spark, sf_dir)
 
 
 # -- sources and parsing -----------------------------------------------------
@@ -84,13 +84,13 @@ def route_by_type(spark, sf_dir):
 @query("parse_transactions")
 def parse_transactions(spark, sf_dir):
     """Typed transaction fields."""
-    return parse.typed(_topic(spark, sf_dir, ["transaction"]), "transaction")
+    return parse.typed(_topic(spark, sf_dir), "transaction")
 
 
 @query("parse_activities")
 def parse_activities(spark, sf_dir):
     """P4 + P10: typed activity fields; map and struct members by access."""
-    a = parse.typed(_topic(spark, sf_dir, ["activity"]), "activity")
+    a = parse.typed(_topic(spark, sf_dir), "activity")
     return a.select(
         "activity_id",
         "user_id",
@@ -112,14 +112,14 @@ def parse_activities(spark, sf_dir):
 @query("parse_sensors")
 def parse_sensors(spark, sf_dir):
     """P5: typed sensor fields."""
-    return parse.typed(_topic(spark, sf_dir, ["sensor"]), "sensor")
+    return parse.typed(_topic(spark, sf_dir), "sensor")
 
 
 for _raw in parse.RAW:
 
     def _make_raw(name):
         def raw(spark, sf_dir):
-            return parse.raw_from_messages(_topic(spark, sf_dir, [parse.RAW_KIND[name]]), name)
+            return parse.raw_from_messages(_topic(spark, sf_dir), name)
 
         raw.__doc__ = f"P6-P8: {name} before the table contract."
         return raw
@@ -137,7 +137,7 @@ for _raw in parse.RAW:
 
     def _make_dedup(name):
         def dedup_raw(spark, sf_dir):
-            raw = parse.raw_from_messages(replayed_topic(spark, sf_dir, [parse.RAW_KIND[name]]), name)
+            raw = parse.raw_from_messages(replayed_topic(spark, sf_dir), name)
             return conform(dedup.first_delivery(raw, name), name)
 
         dedup_raw.__doc__ = f"S13: {name} over a topic delivered twice, one row per key."
@@ -309,7 +309,7 @@ def severity_order(spark, sf_dir):
 @query("loyalty_check")
 def loyalty_check(spark, sf_dir):
     """Loyalty points floor(amount / 100) against the metadata."""
-    return derived.loyalty_check(parse.typed(_topic(spark, sf_dir, ["transaction"]), "transaction"))
+    return derived.loyalty_check(parse.typed(_topic(spark, sf_dir), "transaction"))
 
 
 @query("batch_id_check")
@@ -321,7 +321,7 @@ def batch_id_check(spark, sf_dir):
 @query("sensor_unit")
 def sensor_unit(spark, sf_dir):
     """Expected unit by sensor type against the reported unit."""
-    return derived.sensor_unit_check(parse.typed(_topic(spark, sf_dir, ["sensor"]), "sensor"))
+    return derived.sensor_unit_check(parse.typed(_topic(spark, sf_dir), "sensor"))
 
 
 @query("quality_report")
@@ -371,7 +371,8 @@ def run_stream_table(spark: SparkSession, sf_dir: str, table_name: str, fmt: str
         raise RuntimeError(str(q.exception()))
     if not any(s == "written" for _, s in sink.stats):
         return _empty_table(spark, table_name)
-    return conform(spark.read.parquet(f"{run}/tables/{table_name}"), table_name)
+    stored = conform(spark.read.parquet(f"{run}/tables/{table_name}"), table_name)
+    return dedup.first_delivery(stored, table_name) if table_name in parse.RAW else stored
 
 
 def _empty_table(spark: SparkSession, table_name: str) -> DataFrame:
@@ -401,7 +402,7 @@ for _raw in parse.RAW:
         def stream_raw(spark, sf_dir):
             return run_stream_table(spark, sf_dir, name, fmt="parquet")
 
-        stream_raw.__doc__ = f"P6-P8 + S13 streamed: {name} de-duplicated within the watermark."
+        stream_raw.__doc__ = f"P6-P8 + S13 streamed: {name} appended without state, each key once when read."
         return stream_raw
 
     query(f"stream_{_raw}")(_make_stream_raw(_raw))
@@ -424,3 +425,87 @@ def stream_hourly_metrics(spark, sf_dir):
         "anomaly_count",
         F.coalesce(within, F.lit(False)).alias("active_users_within_tolerance"),
     )
+
+
+# -- faulty input -------------------------------------------------------------
+
+def _edge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sources.edge import edge_topic
+
+    return edge_topic(spark, sf_dir)
+
+
+@query("encode_events")
+def encode_events(spark, sf_dir):
+    """Events of all kinds as the producer's JSON messages."""
+    from .sources import fixtures, messages
+
+    kinds = [messages.encode_events(view(spark, sf_dir)) for view in fixtures.VIEWS.values()]
+    return kinds[0].unionByName(kinds[1]).unionByName(kinds[2])
+
+
+@query("contract_raw_transactions_edge")
+def contract_raw_transactions_edge(spark, sf_dir):
+    """S12 over faulty input: the rows that fit the contract."""
+    return Pipeline.from_messages(spark, _edge(spark, sf_dir)).table("raw_transactions")
+
+
+@query("batch_payment_method_overflow")
+def batch_payment_method_overflow(spark, sf_dir):
+    """A3 over faulty input: windows whose totals fit the contract."""
+    return Pipeline.from_messages(spark, _edge(spark, sf_dir)).table("payment_method_stats")
+
+
+@query("quarantine_rows")
+def quarantine_rows(spark, sf_dir):
+    """Rows that do not fit their contract, per table, with the wide totals."""
+    p = Pipeline.from_messages(spark, _edge(spark, sf_dir))
+    parts = [
+        p.quarantined(t).agg(
+            F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("quarantined"), F.sum(total).cast("decimal(30,2)").alias("total")
+        )
+        for t, total in (("payment_method_stats", "total_amount"), ("hourly_metrics", "total_amount"), ("raw_transactions", F.lit(0)), ("raw_sensors", F.lit(0)))
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+@query("dedup_raw_transactions_edge")
+def dedup_raw_transactions_edge(spark, sf_dir):
+    """S13 over faulty input delivered twice: one row per id, every row without one."""
+    topic = _edge(spark, sf_dir)
+    again = topic.select("json", (F.col("kafka_timestamp") + F.expr("INTERVAL 1 DAY")).alias("kafka_timestamp"))
+    raw = parse.raw_from_messages(topic.unionByName(again), "raw_transactions")
+    return dedup.first_delivery(raw, "raw_transactions").select("transaction_id", "user_id", "transaction_date", "kafka_timestamp")
+
+
+@query("bronze_relanded_days")
+def bronze_relanded_days(spark, sf_dir):
+    """F7 by date: two landings of the faulty topic, the second landed twice;
+    messages per kind and event day, late, untimed and rejected ones included."""
+    from .operators.bronze import write_bronze
+    from .session import work_dir
+
+    topic, path = _edge(spark, sf_dir), work_dir(spark, "relanded", unique=True)
+    early = F.day("kafka_timestamp") <= 15
+    for landing in (early, ~early, ~early):
+        write_bronze(topic.filter(landing), path, by_date=True)
+    return spark.read.parquet(path).groupBy("data_type", "event_date").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@query("loyalty_check_edge")
+def loyalty_check_edge(spark, sf_dir):
+    """R1 over input with wrong points."""
+    tx = parse.typed(_edge(spark, sf_dir), "transaction").filter("transaction_amount < 1e9")
+    return derived.loyalty_check(tx)
+
+
+@query("batch_id_check_edge")
+def batch_id_check_edge(spark, sf_dir):
+    """R2 over input with wrong batch ids and bad times."""
+    return derived.batch_id_check(_edge(spark, sf_dir))
+
+
+@query("sensor_unit_edge")
+def sensor_unit_edge(spark, sf_dir):
+    """R3 over input with wrong units."""
+    return derived.sensor_unit_check(parse.typed(_edge(spark, sf_dir), "sensor"))

@@ -51,26 +51,29 @@ AVAILABLE_NOW = Trigger(processing_time=None, available_now=True)
 REJECTED_TABLE = "rejected_messages"
 
 
-def table_stream(messages: DataFrame, table: str, dedup_within: str | None = "1 day") -> DataFrame:
-    """Streaming DataFrame for one result table, from JSON messages.
+def table_stream(messages: DataFrame, table: str, dedup_within: str | None = None) -> DataFrame:
+    """Streaming DataFrame for one result table, from JSON messages.  Aggregates
+    keep their full width: the sink casts and quarantines what does not fit.
+    Raw tables are stateless; ``dedup_within`` opts into streaming dedup.
     ``rejected_messages`` (opt-in) keeps messages no route takes: malformed
     JSON, missing or unknown kind, with their raw text."""
     if table == REJECTED_TABLE:
         return parse.rejected(parse.parsed(messages))
     if table in aggregates.SPECS:
-        return aggregates.from_messages(table, messages)
+        spec = aggregates.SPECS[table]
+        return aggregates.build(spec, aggregates.prepare(messages, spec.kind), conform_output=False)
     if table in parse.RAW:
         raw = parse.raw_from_messages(messages, table)
         return dedup.first_delivery(raw, table, dedup_within) if dedup_within else raw
     raise KeyError(table)
 
 
-def table_stream_from_events(events_of, table: str, dedup_within: str | None = "1 day") -> DataFrame:
+def table_stream_from_events(events_of, table: str, dedup_within: str | None = None) -> DataFrame:
     """Streaming DataFrame for one result table, from typed events
     (``events_of(kind)``, e.g. the bronze stream)."""
     if table in aggregates.SPECS:
         spec = aggregates.SPECS[table]
-        return aggregates.build(spec, events_of(spec.kind))
+        return aggregates.build(spec, events_of(spec.kind), conform_output=False)
     if table in parse.RAW:
         raw = parse.RAW[table](events_of(parse.RAW_KIND[table]))
         return dedup.first_delivery(raw, table, dedup_within) if dedup_within else raw
@@ -90,6 +93,10 @@ def start_table_query(
     ``prepared``: the table's streaming DataFrame when already built (e.g.
     from bronze); otherwise it is built from ``messages``."""
     name = f"{name_prefix}{table}"
+    spark = (prepared if prepared is not None else messages).sparkSession
+    # with the FAIR scheduler each query has a pool, so a long batch of one
+    # does not hold up the others
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
     df = prepared if prepared is not None else table_stream(messages, table)
     writer = (
         df.writeStream.queryName(name)
@@ -97,7 +104,10 @@ def start_table_query(
         .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/{name}")
         .foreachBatch(sink)
     )
-    return trigger.apply(writer).start()
+    try:
+        return trigger.apply(writer).start()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
 
 
 def start_pipeline_via_bronze(
@@ -109,6 +119,7 @@ def start_pipeline_via_bronze(
     trigger: Trigger = Trigger(),
     fallback_root: str | None = None,
     quarantine_root: str | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> list[StreamingQuery]:
     """one query parses each message once into bronze (parquet by
     kind, exactly-once file sink); each table query streams its kind's
@@ -123,7 +134,10 @@ def start_pipeline_via_bronze(
     try:
         for t in tables:
             df = table_stream_from_events(
-                lambda kind: bronze.read_kind(spark, bronze_path, kind, streaming=True), t
+                lambda kind: bronze.read_kind(
+                    spark, bronze_path, kind, streaming=True, max_files_per_trigger=max_files_per_trigger
+                ),
+                t,
             )
             sink = ParquetTableSink(out_root, t, fallback_root, quarantine_root)
             queries.append(start_table_query(None, t, sink, checkpoint_root, trigger, prepared=df))

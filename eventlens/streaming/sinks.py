@@ -5,12 +5,15 @@ batch with the same ``batch_id``.  Every sink here is therefore keyed by
 ``batch_id``: the parquet sink overwrites ``<table>/micro_batch=<id>``, so a
 retry replaces its own earlier attempt and never duplicates rows.
 
-Per batch: cache once (the batch is read for the emptiness check, the
-good rows and the quarantined rows), skip empty batches, split rows whose
-contract casts lose a value into a quarantine folder, write the rest.  If
-the write fails the batch goes to the fallback folder (same batch-keyed
-layout); if that fails too the error is raised so the batch is retried
-rather than silently committed.  The cache is released in ``finally``.
+Per batch: cache once (the batch is read for the counts, the good rows and
+the quarantined rows), skip empty batches, write rows whose contract casts
+lose a value to the quarantine folder and the rest to the table.  If any of
+this fails, the whole batch goes to the fallback folder as it came (same
+batch-keyed layout), and what the table got of it is taken back where the
+sink can; if the fallback fails too the error is raised, so the batch is
+retried rather than silently committed.  Both folders lie below the table
+root unless others are named: no row is ever left without a place.  The cache
+is released in ``finally``.
 """
 
 from __future__ import annotations
@@ -37,59 +40,60 @@ class ParquetTableSink:
 
     root: str
     table: str
-    fallback_root: str | None = None
-    quarantine_root: str | None = None
+    fallback_root: str | None = None  # default <root>/_fallback
+    quarantine_root: str | None = None  # default <root>/_quarantine
     # outcome of recent batches (bounded: a stream runs for months)
     stats: deque = field(default_factory=lambda: deque(maxlen=1000))
     processed_at: bool = True
 
+    def __post_init__(self) -> None:
+        self.fallback_root = self.fallback_root or f"{self.root.rstrip('/')}/_fallback"
+        self.quarantine_root = self.quarantine_root or f"{self.root.rstrip('/')}/_quarantine"
+
     def write(self, df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(_batch_path(self.root, self.table, batch_id))
 
+    def take_back(self, df: DataFrame, batch_id: int) -> None:
+        """Empty what a failed batch may have left in the table, so that the
+        fallback is its only place until it is replayed."""
+        spark = df.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_batch_path(self.root, self.table, batch_id))
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
     def _stamp(self, df: DataFrame) -> DataFrame:
         """``processed_at``: write time of the row (not part of any key)."""
         return df.withColumn("processed_at", F.current_timestamp()) if self.processed_at else df
 
+    def _deliver(self, batch_df: DataFrame, batch_id: int) -> str:
+        known = self.table in CONTRACTS
+        # One job over the batch: row count and lossy-row count together
+        # (the batch is computed once and cached for the writes).
+        flag = lossy_flag(self.table).cast("int") if known else F.lit(0)
+        rows, lossy = batch_df.agg(F.count(F.lit(1)), F.coalesce(F.sum(flag), F.lit(0))).first()
+        if rows == 0:
+            log.info("table %s batch %s empty, skipped", self.table, batch_id)
+            return "empty"
+        log.info("table %s batch %s: %s rows, %s quarantined", self.table, batch_id, rows, lossy)
+        if log.isEnabledFor(logging.DEBUG):
+            # bounded preview of the batch (5 rows), as the reference logs
+            log.debug("table %s batch %s preview: %s", self.table, batch_id, batch_df.take(5))
+        good, bad = split_lossy(batch_df, self.table) if known else (batch_df, None)
+        if lossy:
+            bad.write.mode("overwrite").parquet(_batch_path(self.quarantine_root, self.table, batch_id))
+        self.write(self._stamp(good), batch_id)
+        return "written"
+
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         batch_df.persist()
         try:
-            # One job over the batch: row count and lossy-row count together
-            # (the batch is computed once and cached for the writes).
-            if self.table in CONTRACTS:
-                counts = batch_df.agg(
-                    F.count(F.lit(1)).alias("rows"),
-                    F.coalesce(F.sum(lossy_flag(self.table).cast("int")), F.lit(0)).alias("lossy"),
-                ).first()
-            else:
-                counts = batch_df.agg(F.count(F.lit(1)).alias("rows"), F.lit(0).alias("lossy")).first()
-            rows, lossy = counts["rows"], counts["lossy"]
-            if rows == 0:
-                log.info("table %s batch %s empty, skipped", self.table, batch_id)
-                self.stats.append((batch_id, "empty"))
-                return
-            log.info("table %s batch %s: %s rows, %s quarantined", self.table, batch_id, rows, lossy)
-            if log.isEnabledFor(logging.DEBUG):
-                # bounded preview of the batch (5 rows), as the reference logs
-                log.debug("table %s batch %s preview: %s", self.table, batch_id, batch_df.take(5))
-            if self.table in CONTRACTS:
-                good, bad = split_lossy(batch_df, self.table)
-            else:
-                good, bad = batch_df, None
             try:
-                self.write(self._stamp(good), batch_id)
-                if bad is not None and lossy and self.quarantine_root:
-                    bad.write.mode("overwrite").parquet(
-                        _batch_path(self.quarantine_root, self.table, batch_id)
-                    )
-                self.stats.append((batch_id, "written"))
-            except Exception as err:  # noqa: BLE001 - any sink error goes to fallback
-                if not self.fallback_root:
-                    raise
+                status = self._deliver(batch_df, batch_id)
+            except Exception as err:  # noqa: BLE001 - any error goes to fallback
                 log.warning("table %s batch %s failed (%s); writing fallback", self.table, batch_id, err)
-                batch_df.write.mode("overwrite").parquet(
-                    _batch_path(self.fallback_root, self.table, batch_id)
-                )
-                self.stats.append((batch_id, "fallback"))
+                batch_df.write.mode("overwrite").parquet(_batch_path(self.fallback_root, self.table, batch_id))
+                self.take_back(batch_df, batch_id)
+                status = "fallback"
+            self.stats.append((batch_id, status))
         finally:
             batch_df.unpersist()
 
@@ -98,9 +102,12 @@ class ParquetTableSink:
 class JdbcTableSink(ParquetTableSink):
     """Append to a JDBC table (S6), with the contract's column types used
     when the table is created.  Idempotence by key: rows whose key is
-    already in the target (a re-delivered batch) are dropped by a left
-    anti-join against the target's keys in the batch's key range, read
-    with a pushed-down filter."""
+    already in the target (a batch delivered again, or half delivered) are
+    dropped by a null-safe left anti-join against the target's keys.  The
+    keys are read for the batch's range only, bounded on both sides on a time
+    column where the table has one (``range_column``), by pushed-down literal
+    filters.  The target's existence is asked from the database; any other
+    error is raised."""
 
     url: str = ""
     user: str | None = None
@@ -120,27 +127,48 @@ class JdbcTableSink(ParquetTableSink):
             opts["createTableColumnTypes"] = CONTRACTS[self.table].ddl()
         return opts
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        from pyspark.sql import functions as F
+    def take_back(self, df: DataFrame, batch_id: int) -> None:
+        """Rows already appended stay: a replay of the batch skips them by key."""
+
+    @property
+    def range_column(self) -> str | None:
+        """The column that bounds the key read: window start, hour or broker time."""
+        names = CONTRACTS[self.table].names if self.table in CONTRACTS else []
+        return next((c for c in ("window_start", "hour", "kafka_timestamp") if c in names), None)
+
+    def reader_options(self) -> dict[str, str]:
+        return {k: v for k, v in self.options().items() if k != "createTableColumnTypes"}
+
+    def target_exists(self, df: DataFrame) -> bool:
+        spark = df.sparkSession
+        jvm = spark.sparkContext._jvm
+        opts = jvm.org.apache.spark.sql.execution.datasources.jdbc.JdbcOptionsInWrite(
+            jvm.PythonUtils.toScalaMap(self.reader_options())
+        )
+        dialect = jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(self.url)
+        conn = dialect.createConnectionFactory(opts).apply(-1)
+        try:
+            return jvm.org.apache.spark.sql.execution.datasources.jdbc.JdbcUtils.tableExists(conn, opts)
+        finally:
+            conn.close()
+
+    def new_rows(self, df: DataFrame, target: DataFrame) -> DataFrame:
+        """Rows of ``df`` whose key ``target`` does not hold; NULLs are equal."""
+        key, col = list(CONTRACTS[self.table].key), self.range_column
+        if col is not None:
+            lo, hi = df.agg(F.min(col), F.max(col)).first()
+            bound = F.lit(False) if lo is None else F.col(col).between(F.lit(lo), F.lit(hi))
+            target = target.filter(bound | F.col(col).isNull())
+        held = target.select(*[F.col(k).alias(f"_t_{k}") for k in key])
+        same = [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in key]
+        cond = same[0]
+        for c in same[1:]:
+            cond = cond & c
+        return df.join(held, cond, "left_anti")
 
-        key = list(CONTRACTS[self.table].key) if self.table in CONTRACTS else []
+    def write(self, df: DataFrame, batch_id: int) -> None:
         out = df
-        if key:
-            reader = df.sparkSession.read.format("jdbc")
-            for k, v in self.options().items():
-                if k != "createTableColumnTypes":
-                    reader = reader.option(k, v)
-            try:
-                target = reader.load().select(*key)
-                first = key[0]
-                # a literal bound (one value) is pushed into the database's WHERE
-                lo = df.agg(F.min(first)).first()[0]
-                if lo is not None:
-                    target = target.filter(F.col(first) >= F.lit(lo))
-                out = df.join(target, on=key, how="left_anti")
-            except Exception:  # noqa: BLE001 - target table not created yet
-                out = df
-        writer = out.write.format("jdbc").mode("append")
-        for k, v in self.options().items():
-            writer = writer.option(k, v)
-        writer.save()
+        if self.table in CONTRACTS and self.target_exists(df):
+            target = df.sparkSession.read.format("jdbc").options(**self.reader_options()).load()
+            out = self.new_rows(df, target)
+        out.write.format("jdbc").mode("append").options(**self.options()).save()

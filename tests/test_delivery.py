@@ -67,6 +67,38 @@ def test_quarantine_receives_lossy_rows(spark, tmp_dir):
     assert spark.read.parquet(os.path.join(tmp_dir, "t", "device_stats")).count() == 0
 
 
+def test_lossy_rows_have_a_place_by_default(spark, tmp_dir):
+    df = _device_rows(spark).withColumn("window_start", F.lit("junk"))
+    sink = ParquetTableSink(tmp_dir, "device_stats")
+    sink(df, 1)
+    assert list(sink.stats) == [(1, "written")]
+    assert spark.read.parquet(os.path.join(tmp_dir, "_quarantine", "device_stats")).first().window_start == "junk"
+
+
+def test_failed_batch_is_in_the_fallback_only(spark, tmp_dir):
+    class HalfSink(ParquetTableSink):
+        def write(self, df, batch_id):
+            super().write(df, batch_id)
+            raise IOError("lost the target after writing")
+
+    HalfSink(tmp_dir, "device_stats")(_device_rows(spark), 2)
+    assert spark.read.parquet(os.path.join(tmp_dir, "_fallback", "device_stats")).count() == 1
+    assert not os.path.exists(os.path.join(tmp_dir, "device_stats", "micro_batch=2"))
+
+
+def test_jdbc_rows_already_held_are_dropped_null_safe(spark):
+    rows = [("2024-01-01 00:00:00", "2024-01-01 01:00:00", c, k, 1) for c, k in (("a", None), (None, None), ("b", "x"))]
+    cols = "window_start string, window_end string, user_city string, transaction_category string, transaction_count int"
+    df = spark.createDataFrame(rows, cols).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    sink = JdbcTableSink("/unused", "transaction_hourly_stats", url="jdbc:x")
+    assert sink.range_column == "window_start"
+    assert sink.new_rows(df, df.filter("user_city is null or user_city = 'a'")).count() == 1
+    plan = sink.new_rows(df, df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "<=>" in plan and "2024-01-01" in plan  # null-safe keys, literal bounds
+    assert JdbcTableSink("/unused", "raw_sensors", url="jdbc:x").range_column == "kafka_timestamp"
+    assert "metadata TEXT" in JdbcTableSink("/unused", "raw_transactions", url="jdbc:x").options()["createTableColumnTypes"]
+
+
 def test_kafka_source_options():
     src = KafkaSource("broker:9092", "user_transactions")
     assert src.options() == {
@@ -74,9 +106,8 @@ def test_kafka_source_options():
         "subscribe": "user_transactions",
         "startingOffsets": "earliest",
         "failOnDataLoss": "false",
-        "maxOffsetsPerTrigger": "1000",
     }
-    assert "maxOffsetsPerTrigger" not in KafkaSource("b:1", "t", max_offsets_per_trigger=None).options()
+    assert KafkaSource("b:1", "t", max_offsets_per_trigger=1000).options()["maxOffsetsPerTrigger"] == "1000"
 
 
 def test_kafka_writer_encodes_json(spark):

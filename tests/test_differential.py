@@ -3,12 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from eventlens.oracle import ORACLES
+from eventlens.registry import QUERIES
 from tests.conftest import SF_SMALL
 from tests.oracle_compare import compare, duck
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -17,6 +16,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

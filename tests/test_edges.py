@@ -87,7 +87,10 @@ def test_null_event_time_vanishes_from_aggregates_but_not_raw(spark):
     m = msgs(spark, [tx(1), tx(2, transaction_date="junk")])
     a = aggregates.from_messages("transaction_hourly_stats", m).collect()
     assert len(a) == 1 and a[0].transaction_count == 1
-    assert parse.raw_from_messages(m, "raw_transactions").count() == 2
+    raw = parse.raw_from_messages(m, "raw_transactions")
+    good, bad = split_lossy(raw, "raw_transactions")
+    assert [r.transaction_id for r in good.collect()] == ["t1"]
+    assert [(r.transaction_id, r.transaction_date) for r in bad.collect()] == [("t2", "junk")]
 
 
 def test_single_reading_stddev_is_null(spark):

@@ -6,13 +6,12 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
 from eventlens.operators import aggregates
 from eventlens.plans.pipeline import Pipeline
-from eventlens.registry import bronze_dir
+from eventlens.registry import QUERIES, bronze_dir
 from tests.conftest import SF_SMALL
 
-BATCH_KEYS = sorted(k for k in entry.queries() if not k.startswith("stream_"))
+BATCH_KEYS = sorted(k for k in QUERIES if not k.startswith("stream_"))
 
 
 def plan_text(df) -> str:
@@ -21,7 +20,7 @@ def plan_text(df) -> str:
 
 @pytest.mark.parametrize("name", BATCH_KEYS)
 def test_no_cartesian_no_python(spark, name):
-    plan = plan_text(entry.queries()[name](spark, SF_SMALL))
+    plan = plan_text(QUERIES[name](spark, SF_SMALL))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
                 "FlatMapGroupsInPandas", "MapInPandas"):
         assert bad not in plan, f"{name}: {bad}"
@@ -38,6 +37,12 @@ def test_aggregates_combine_before_shuffle(spark, table):
         assert "partial_" in below or "merge_" in below, f"{table}: no map-side combine under\n{lines[i]}"
 
 
+@pytest.mark.parametrize("table", sorted(aggregates.SPECS))
+def test_messages_are_parsed_once(spark, table):
+    plan = Pipeline.from_fixtures(spark, SF_SMALL).table(table)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+
+
 def test_bronze_reads_prune_kind_and_columns(spark):
     df = Pipeline.from_bronze(spark, bronze_dir(spark, SF_SMALL)).table("payment_method_stats")
     plan = plan_text(df)
@@ -50,4 +55,4 @@ def test_bronze_reads_prune_kind_and_columns(spark):
 
 def test_topk_panels_use_take_ordered(spark):
     for name in ("rpt_top10_users", "rpt_latest_anomalies"):
-        assert "TakeOrderedAndProject" in plan_text(entry.queries()[name](spark, SF_SMALL)), name
+        assert "TakeOrderedAndProject" in plan_text(QUERIES[name](spark, SF_SMALL)), name

@@ -8,7 +8,8 @@ import time
 import pytest
 
 from eventlens.sources.files import read_messages
-from eventlens.streaming.runner import AVAILABLE_NOW, Trigger, start_table_query, supervise
+from eventlens.plans.pipeline import Tables
+from eventlens.streaming.runner import AVAILABLE_NOW, Trigger, start_table_query, supervise, table_stream
 from eventlens.streaming.sinks import ParquetTableSink
 from tests.test_edges import sensor, tx
 
@@ -115,15 +116,49 @@ def test_restart_resumes_from_checkpoint_without_duplicates(spark, tmp_dir):
     assert first == 1 and len(rows) == 2 and len(set(keys)) == len(keys)
 
 
-def test_streaming_dedup_keeps_one_row_per_key(spark, tmp_dir):
+def test_raw_stream_holds_each_key_once_when_read(spark, tmp_dir):
     src = os.path.join(tmp_dir, "in")
     write_file(src, "a.json", [tx(1), tx(1), tx(2)])
     stream = read_messages(spark, src, "text", streaming=True)
     sink = ParquetTableSink(os.path.join(tmp_dir, "out"), "raw_transactions")
     q = start_table_query(stream, "raw_transactions", sink, os.path.join(tmp_dir, "ckpt"), AVAILABLE_NOW)
     q.awaitTermination()
-    ids = sorted(r.transaction_id for r in spark.read.parquet(os.path.join(tmp_dir, "out", "raw_transactions")).collect())
-    assert ids == ["t1", "t2"]
+    out = os.path.join(tmp_dir, "out")
+    assert spark.read.parquet(os.path.join(out, "raw_transactions")).count() == 3
+    assert sorted(r.transaction_id for r in Tables(spark, out).table("raw_transactions").collect()) == ["t1", "t2"]
+
+
+def test_raw_stream_loses_no_late_row_and_quarantines_bad_ones(spark, tmp_dir):
+    """Input = written + quarantined + rejected, however late and broken."""
+    src, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    bad = [tx(10, transaction_date="junk"), tx(11, transaction_amount=1e15), tx(None, transaction_id=None), "{broken"]
+
+    def once():
+        for t in ("raw_transactions", "rejected_messages"):
+            stream = read_messages(spark, src, "text", streaming=True)
+            q = start_table_query(stream, t, ParquetTableSink(out, t), os.path.join(tmp_dir, "ckpt"), AVAILABLE_NOW)
+            q.awaitTermination()
+            assert q.exception() is None
+
+    write_file(src, "a.json", [tx(1, transaction_date="2024-06-01T00:00:00"), *bad])
+    once()
+    write_file(src, "b.json", [tx(2, transaction_date="2024-01-01T00:00:00")])  # months late
+    once()
+    written = spark.read.parquet(os.path.join(out, "raw_transactions"))
+    assert sorted(r.transaction_id for r in written.collect()) == ["t1", "t2"]
+    assert spark.read.parquet(os.path.join(out, "_quarantine", "raw_transactions")).count() == 3
+    assert spark.read.parquet(os.path.join(out, "rejected_messages")).count() == 1
+
+
+def test_wide_totals_reach_the_quarantine(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    write_file(src, "a.json", [tx(i, transaction_amount=9e9) for i in range(3)] + [tx(9, payment_method="card", transaction_amount=5.0), tx(8, transaction_date="2024-01-02T00:00:00")])
+    stream = read_messages(spark, src, "text", streaming=True)
+    q = start_table_query(stream, "payment_method_stats", ParquetTableSink(out, "payment_method_stats"), os.path.join(tmp_dir, "ckpt"), AVAILABLE_NOW)
+    q.awaitTermination()
+    assert [str(r.total_amount) for r in spark.read.parquet(os.path.join(out, "payment_method_stats")).collect()] == ["5.00"]
+    bad = spark.read.parquet(os.path.join(out, "_quarantine", "payment_method_stats")).collect()
+    assert [str(r.total_amount) for r in bad] == ["27000000000.00"]
 
 
 def test_supervisor_raises_and_stops_all_on_failure(spark, tmp_dir):
@@ -237,10 +272,12 @@ def test_streaming_dedup_of_a_hot_copy_group(spark, tmp_dir):
     src = os.path.join(tmp_dir, "in")
     for part in range(3):
         write_file(src, f"p{part}.json", [tx(99999) if i % 3 == 0 else tx(1000 * part + i) for i in range(60)])
-    stream = read_messages(spark, src, "text", streaming=True)
+    write_file(src, "none.json", [tx(0, transaction_id=None), tx(0, transaction_id=None)])
+    stream = table_stream(read_messages(spark, src, "text", streaming=True), "raw_transactions", dedup_within="1 day")
     sink = ParquetTableSink(os.path.join(tmp_dir, "out"), "raw_transactions")
-    q = start_table_query(stream, "raw_transactions", sink, os.path.join(tmp_dir, "ckpt"), AVAILABLE_NOW)
+    q = start_table_query(None, "raw_transactions", sink, os.path.join(tmp_dir, "ckpt"), AVAILABLE_NOW, prepared=stream)
     q.awaitTermination()
+    assert spark.read.parquet(os.path.join(tmp_dir, "out", "_quarantine", "raw_transactions")).count() == 2
     ids = [r.transaction_id for r in spark.read.parquet(os.path.join(tmp_dir, "out", "raw_transactions")).collect()]
     assert len(ids) == len(set(ids)) and ids.count("t99999") == 1
     assert len(ids) == 1 + 3 * 40
