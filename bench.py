@@ -67,7 +67,7 @@ def main() -> None:
     names = ALL_TABLES + ("hourly_metrics_ext",)
     timed("tables", lambda: Pipeline.from_bronze(spark, bronze).materialize(tables_root, names))
     stored = Tables(spark, tables_root)
-    timed("reports", lambda: reports.refresh(stored, concurrent_jobs=cpus))
+    timed("reports", lambda: reports.refresh(stored, f"{run}/panels", concurrent_jobs=cpus))
     replay = f"{run}/replay"
     write_messages(stored_topic(spark, sf_dir), replay, "text")
     timed(

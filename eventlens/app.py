@@ -75,8 +75,9 @@ def main(argv=None) -> int:
     s.add_argument("--out", required=True)
     s.add_argument("--checkpoints", required=True)
     s.add_argument("--bronze", default=None, help="parse once into this bronze folder")
-    s.add_argument("--fallback", default=None)
-    s.add_argument("--quarantine", default=None)
+    s.add_argument("--fallback", default=None, help="default: <out>/_fallback")
+    s.add_argument("--quarantine", default=None, help="default: <out>/_quarantine")
+    s.add_argument("--bronze-files-per-trigger", type=int, default=None)
     s.add_argument("--trigger", default="30 seconds")
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--tables", nargs="*", default=list(STREAM_TABLES + tuple(parse.RAW)))
@@ -93,6 +94,7 @@ def main(argv=None) -> int:
     r = sub.add_parser("report", help="run dashboard panels over stored tables")
     r.add_argument("--tables", required=True)
     r.add_argument("--panel", nargs="*", default=None)
+    r.add_argument("--out", default=None, help="write the panels here instead of printing their rows")
 
     args = ap.parse_args(argv)
     spark = build_session(args.master, shuffle_partitions=args.shuffle_partitions)
@@ -103,7 +105,8 @@ def main(argv=None) -> int:
         messages = _source(spark, args, streaming=True)
         if args.bronze:
             queries = start_pipeline_via_bronze(
-                messages, args.bronze, args.out, args.checkpoints, args.tables, trigger, args.fallback, args.quarantine
+                messages, args.bronze, args.out, args.checkpoints, args.tables, trigger, args.fallback, args.quarantine,
+                args.bronze_files_per_trigger,
             )
         else:
             queries = start_pipeline(
@@ -130,9 +133,13 @@ def main(argv=None) -> int:
         return 0
 
     if args.cmd == "report":
-        rows = reports.refresh(Tables(spark, args.tables), args.panel)
-        for name, panel in rows.items():
-            print(json.dumps({"panel": name, "rows": [r.asDict() for r in panel]}, default=str))
+        stored = Tables(spark, args.tables)
+        if args.out:
+            print(json.dumps(reports.refresh(stored, args.out, args.panel)))
+            return 0
+        for name in args.panel or reports.REPORTS:
+            for row in reports.rows(stored, name):
+                print(json.dumps({"panel": name, "row": row.asDict()}, default=str))
         return 0
     return 2
 

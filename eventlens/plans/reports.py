@@ -216,18 +216,25 @@ REPORTS = {
 }
 
 
-def refresh(tables, names=None, concurrent_jobs: int = 8) -> dict[str, list]:
+def refresh(tables, out: str, names=None, concurrent_jobs: int = 8) -> dict[str, str]:
     """Run dashboard panels as concurrent Spark jobs, as a dashboard refresh
-    does, and return each panel's rows.  Panels are aggregates, top-k or
-    per-window series over the result tables, so their results are
-    panel-sized; the work stays in the cluster."""
+    does, and write each to ``<out>/<panel>``; returns the folders.  Some
+    panels are series over all history, so none is gathered on the driver."""
     from concurrent.futures import ThreadPoolExecutor
 
     names = list(names or REPORTS)
+    paths = {n: f"{out.rstrip('/')}/{n}" for n in names}
     plans = {n: REPORTS[n](tables) for n in names}
     with ThreadPoolExecutor(max_workers=max(1, concurrent_jobs)) as pool:
-        futures = {n: pool.submit(df.collect) for n, df in plans.items()}
-        return {n: f.result() for n, f in futures.items()}
+        futures = [pool.submit(plans[n].write.mode("overwrite").parquet, paths[n]) for n in names]
+        for f in futures:
+            f.result()
+    return paths
+
+
+def rows(tables, name: str):
+    """A panel's rows one by one, a partition at a time on the driver."""
+    return REPORTS[name](tables).toLocalIterator()
 
 
 # -- post-processing (K1-K5) -----------------------------------------------

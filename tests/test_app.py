@@ -23,7 +23,10 @@ def test_batch_stream_and_report(spark, tmp_dir):
     with contextlib.redirect_stdout(buf):
         assert app.main(["report", "--tables", f"{tmp_dir}/tables", "--panel", "rpt_device_total"]) == 0
     panel = json.loads(buf.getvalue().strip())
-    batch_total = panel["rows"][0]["total_transactions"]
+    batch_total = panel["row"]["total_transactions"]
+    with contextlib.redirect_stdout(io.StringIO()):
+        assert app.main(["report", "--tables", f"{tmp_dir}/tables", "--out", f"{tmp_dir}/panels", "--panel", "rpt_device_total"]) == 0
+    assert spark.read.parquet(f"{tmp_dir}/panels/rpt_device_total").first().total_transactions == batch_total
     assert batch_total == spark.read.parquet(f"{tmp_dir}/tables/raw_transactions").count()
     streamed = spark.read.parquet(f"{tmp_dir}/st/device_stats").count()
     assert 0 < streamed <= spark.read.parquet(f"{tmp_dir}/tables/device_stats").count()
