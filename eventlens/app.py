@@ -20,7 +20,7 @@ import sys
 from .operators import parse
 from .operators.bronze import write_bronze
 from .plans import reports
-from .plans.pipeline import ALL_TABLES, Pipeline, Tables
+from .plans.pipeline import ALL_TABLES, JdbcTables, Pipeline, Tables
 from .session import build_session
 from .sources.files import read_messages
 from .sources.kafka import KafkaSource
@@ -33,6 +33,7 @@ from .streaming.runner import (
     start_pipeline_via_bronze,
     supervise,
 )
+from .streaming.sinks import JdbcTableSink
 
 
 def _source(spark, args, streaming: bool):
@@ -64,6 +65,30 @@ def _add_source_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--max-files-per-trigger", type=int, default=None)
 
 
+def _add_jdbc_args(p: argparse.ArgumentParser) -> None:
+    p.add_argument("--jdbc-user", default=None)
+    p.add_argument("--jdbc-password-env", default=None, help="environment variable that holds the password")
+    p.add_argument("--jdbc-driver", default=None)
+
+
+def _jdbc_properties(args) -> dict[str, str]:
+    import os
+
+    given = {"user": args.jdbc_user, "driver": args.jdbc_driver}
+    if args.jdbc_password_env:
+        given["password"] = os.environ[args.jdbc_password_env]
+    return {k: v for k, v in given.items() if v is not None}
+
+
+def jdbc_sink_of(args):
+    """Sink per table for --jdbc-url, or None for parquet tables."""
+    if not args.jdbc_url:
+        return None
+    return lambda t: JdbcTableSink(
+        args.out, t, args.fallback, args.quarantine, url=args.jdbc_url, **_jdbc_properties(args)
+    )
+
+
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="eventlens")
     ap.add_argument("--master", default=None)
@@ -77,6 +102,8 @@ def main(argv=None) -> int:
     s.add_argument("--bronze", default=None, help="parse once into this bronze folder")
     s.add_argument("--fallback", default=None, help="default: <out>/_fallback")
     s.add_argument("--quarantine", default=None, help="default: <out>/_quarantine")
+    s.add_argument("--jdbc-url", default=None, help="write the tables to this database; --out keeps fallback and quarantine")
+    _add_jdbc_args(s)
     s.add_argument("--bronze-files-per-trigger", type=int, default=None)
     s.add_argument("--trigger", default="30 seconds")
     s.add_argument("--available-now", action="store_true")
@@ -92,7 +119,10 @@ def main(argv=None) -> int:
                    help="recompute only these UTC days (needs --by-date and --bronze)")
 
     r = sub.add_parser("report", help="run dashboard panels over stored tables")
-    r.add_argument("--tables", required=True)
+    g = r.add_mutually_exclusive_group(required=True)
+    g.add_argument("--tables", help="folder of result tables")
+    g.add_argument("--jdbc-url", help="database of result tables")
+    _add_jdbc_args(r)
     r.add_argument("--panel", nargs="*", default=None)
     r.add_argument("--out", default=None, help="write the panels here instead of printing their rows")
 
@@ -106,11 +136,12 @@ def main(argv=None) -> int:
         if args.bronze:
             queries = start_pipeline_via_bronze(
                 messages, args.bronze, args.out, args.checkpoints, args.tables, trigger, args.fallback, args.quarantine,
-                args.bronze_files_per_trigger,
+                args.bronze_files_per_trigger, jdbc_sink_of(args),
             )
         else:
             queries = start_pipeline(
-                messages, args.out, args.checkpoints, args.tables, trigger, args.fallback, args.quarantine
+                messages, args.out, args.checkpoints, args.tables, trigger, args.fallback, args.quarantine,
+                jdbc_sink_of(args),
             )
         try:
             supervise(spark, queries)
@@ -133,7 +164,7 @@ def main(argv=None) -> int:
         return 0
 
     if args.cmd == "report":
-        stored = Tables(spark, args.tables)
+        stored = JdbcTables(spark, args.jdbc_url, _jdbc_properties(args)) if args.jdbc_url else Tables(spark, args.tables)
         if args.out:
             print(json.dumps(reports.refresh(stored, args.out, args.panel)))
             return 0

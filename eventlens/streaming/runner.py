@@ -120,6 +120,7 @@ def start_pipeline_via_bronze(
     fallback_root: str | None = None,
     quarantine_root: str | None = None,
     max_files_per_trigger: int | None = None,
+    sink_of=None,
 ) -> list[StreamingQuery]:
     """one query parses each message once into bronze (parquet by
     kind, exactly-once file sink); each table query streams its kind's
@@ -139,7 +140,7 @@ def start_pipeline_via_bronze(
                 ),
                 t,
             )
-            sink = ParquetTableSink(out_root, t, fallback_root, quarantine_root)
+            sink = sink_of(t) if sink_of else ParquetTableSink(out_root, t, fallback_root, quarantine_root)
             queries.append(start_table_query(None, t, sink, checkpoint_root, trigger, prepared=df))
     except Exception:
         for q in queries:
@@ -165,11 +166,14 @@ def start_pipeline(
     trigger: Trigger = Trigger(),
     fallback_root: str | None = None,
     quarantine_root: str | None = None,
+    sink_of=None,
 ) -> list[StreamingQuery]:
+    """One query per table, each parsing the topic itself.  ``sink_of(table)``
+    chooses another sink than the parquet table below ``out_root``."""
     queries = []
     try:
         for t in tables:
-            sink = ParquetTableSink(out_root, t, fallback_root, quarantine_root)
+            sink = sink_of(t) if sink_of else ParquetTableSink(out_root, t, fallback_root, quarantine_root)
             queries.append(start_table_query(messages, t, sink, checkpoint_root, trigger))
     except Exception:
         for q in queries:

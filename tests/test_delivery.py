@@ -99,6 +99,20 @@ def test_jdbc_rows_already_held_are_dropped_null_safe(spark):
     assert "metadata TEXT" in JdbcTableSink("/unused", "raw_transactions", url="jdbc:x").options()["createTableColumnTypes"]
 
 
+def test_command_line_chooses_the_jdbc_sink(monkeypatch):
+    from argparse import Namespace
+
+    from eventlens.app import jdbc_sink_of
+
+    monkeypatch.setenv("DB_PASSWORD", "secret")
+    args = Namespace(jdbc_url="jdbc:postgresql://db/x", out="/o", fallback=None, quarantine=None, jdbc_user="u",
+                     jdbc_password_env="DB_PASSWORD", jdbc_driver=None)
+    sink = jdbc_sink_of(args)("device_stats")
+    assert isinstance(sink, JdbcTableSink) and sink.options()["password"] == "secret"
+    assert sink.quarantine_root == "/o/_quarantine"
+    assert jdbc_sink_of(Namespace(jdbc_url=None)) is None
+
+
 def test_kafka_source_options():
     src = KafkaSource("broker:9092", "user_transactions")
     assert src.options() == {
