@@ -101,7 +101,8 @@ def remove_runs(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("t")).withColumn("th", F.xxhash64("t")).alias("d")
     r = by_doc.alias("r")
     same = (F.col("d.th") == F.col("r.th")) & F.col("d.doc_id").eqNullSafe(F.col("r.doc_id"))
-    joined = d.join(r, same, "left").select("d.doc_id", F.split("d.t", "\n", -1).alias("x"), "seqs", "gone", "depth")
+    # the removed lines grow with the corpus: merged at every size, never broadcast
+    joined = d.join(r.hint("merge"), same, "left").select("d.doc_id", F.split("d.t", "\n", -1).alias("x"), "seqs", "gone", "depth")
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("x") - 1), F.coalesce("gone", F.array().cast("array<int>"))), lambda i: F.get("x", i))
     breaks = F.filter(F.transform("seqs", lambda s, k: s - F.coalesce(F.get("seqs", k - 1), F.lit(-2))), lambda g: g != 1)
     return joined.select(
