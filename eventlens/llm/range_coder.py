@@ -9,12 +9,13 @@ from all of them after each step.
 The prediction for the next id mixes three models:
 
 - order 0: adaptive counts over the whole vocabulary;
-- order 1 and 2: for the last one or two ids, two id slots with counts.
+- order 1 and 2: for the last one or two ids, the id that followed most, with
+  a count of its lead.
 
-The weights of the three are learned per confidence class (how often the best
-slots of order 2 and 1 were seen) from how often each order held the id that
-came.  Slots that name the same id add their shares; what is left goes to
-order 0, so every id can be coded.  All arithmetic is on integers: the decoder
+The weights of the three are learned per confidence class (the counts of order
+2 and 1) from how often each order held the id that came.  Orders that name
+the same id add their shares; what is left goes to order 0, so every id can be
+coded.  All arithmetic is on integers: the decoder
 repeats it exactly.
 """
 
@@ -35,41 +36,31 @@ _STEP0 = 24  # order-0 count of one id seen
 _REFRESH = 4  # steps between two order-0 tables
 _ONE = np.uint64(1)
 _U16, _U30, _U48 = np.uint64(16), np.uint64(_TOTAL_BITS), np.uint64(48)
-#: A slot is id << 5 | count.  For the counts of a context's two slots, as
-#: count0 << 5 | count1: each slot's share in 2^16ths, and the confidence level.
+#: A slot is id << 5 | count; counts have confidence levels.
 _MAX_COUNT = 31
-_C0, _C1 = np.divmod(np.arange(1 << 10, dtype=np.int64), 32)
-_SHARE0, _SHARE1 = ((c << 16) // np.maximum(_C0 + _C1, 1) for c in (_C0, _C1))
-_LEVELS = 6
-_LEVEL = np.searchsorted([1, 2, 3, 5, 9], np.maximum(_C0, _C1), side="right")
+_LEVELS = 8
+_LEVEL = np.searchsorted([1, 2, 3, 5, 8, 13, 24], np.arange(32), side="right")
 
 
 class _Slots:
-    """Two id slots with counts for each hashed context of one order."""
+    """The leading id and its count for each hashed context of one order."""
 
     def __init__(self, bits: int):
-        self.table = np.zeros(2 << bits, np.int32)
+        self.table = np.zeros(1 << bits, np.int32)
 
-    def read(self, context: np.ndarray):
-        """Ids of both slots, their shares, and the confidence level."""
-        self.row = context << 1
-        self.e0, self.e1 = self.table.take(self.row), self.table.take(self.row + 1)
-        self.i0, self.i1 = self.e0 >> 5, self.e1 >> 5
-        self.c0, self.c1 = self.e0 & 31, self.e1 & 31
-        both = (self.c0 << 5) | self.c1
-        return _SHARE0.take(both), _SHARE1.take(both), _LEVEL.take(both)
+    def read(self, context: np.ndarray) -> np.ndarray:
+        """Looks the contexts up; returns the confidence levels."""
+        self.row, self.entry = context, self.table.take(context)
+        self.id, self.count = self.entry >> 5, self.entry & 31
+        return _LEVEL.take(self.count)
 
     def learn(self, ids: np.ndarray, n: int) -> np.ndarray:
         """The first ``n`` contexts saw ``ids``; returns which held them.
         Lanes that share a context overwrite each other in lane order."""
-        c0, c1 = self.c0[:n], self.c1[:n]
-        hit0, hit1 = (self.i0[:n] == ids) & (c0 > 0), (self.i1[:n] == ids) & (c1 > 0)
-        hit = hit0 | hit1
-        second = hit1 | (~hit0 & (c1 < c0))
-        old = np.where(second, self.e1[:n], self.e0[:n])
-        count = old & 31
-        new = np.where(hit, old + (count < _MAX_COUNT), np.where(count <= 1, (ids << 5) | 1, old - 1))
-        self.table[self.row[:n] + second] = new
+        entry, count = self.entry[:n], self.count[:n]
+        hit = (self.id[:n] == ids) & (count > 0)
+        missed = np.where(count <= 1, (ids << 5) | 1, entry - 1 - (count >> 2))
+        self.table[self.row[:n]] = np.where(hit, entry + (count < _MAX_COUNT), missed)
         return hit
 
 
@@ -80,71 +71,57 @@ class _Model:
         self.bits1 = max(8, min(16, int(n).bit_length()))
         self.order2, self.order1 = _Slots(self.bits2), _Slots(self.bits1)
         self.counts0 = np.ones(vocabulary, np.int64)
-        self.cum0 = np.arange(vocabulary + 1, dtype=np.int64)
+        self.cum0 = np.arange(vocabulary + 1, dtype=np.uint32)
         self.total0 = vocabulary
         self.weights = np.tile(np.array([[4], [4], [8]], np.int64), _LEVELS * _LEVELS)  # order 2, 1, 0
         self.last, self.before = (np.full(lanes, vocabulary, np.int64) for _ in range(2))
         self.steps = 0
 
     def predict(self) -> None:
-        """The slots' ids and the ends of their intervals; order 0 has the rest."""
+        """The ends of the intervals of order 2's and order 1's id; order 0
+        has the rest."""
         context1 = (self.last if self.bits1 == 16 else self.last * 40503 >> 3) & ((1 << self.bits1) - 1)
         context2 = ((self.last * 0x9E3779B1 + self.before * 0x85EBCA77) >> 7) & ((1 << self.bits2) - 1)
-        share20, share21, level2 = self.order2.read(context2)
-        share10, share11, level1 = self.order1.read(context1)
-        self.kind = level2 * _LEVELS + level1
-        w = self.weights
-        part2, part1 = ((_TOTAL - _TOTAL // 64) * w[:2] // w.sum(axis=0)) >> 16
-        mine2, mine1 = part2.take(self.kind), part1.take(self.kind)
-        m20, m21, m10, m11 = share20 * mine2, share21 * mine2, share10 * mine1, share11 * mine1
         two, one = self.order2, self.order1
-        for i, m in ((two.i0, m20), (two.i1, m21)):
-            x = m10 * (one.i0 == i)  # the same id in both orders: one interval
-            m += x
-            m10 -= x
-            x = m11 * (one.i1 == i)
-            m += x
-            m11 -= x
-        self.ids = (two.i0, two.i1, one.i0, one.i1)
-        self.widths = (m20, m21, m10, m11)
-        end1 = m20 + m21
-        end2 = end1 + m10
-        self.ends = (m20, end1, end2, end2 + m11)
+        self.kind = two.read(context2) * _LEVELS + one.read(context1)
+        w = self.weights.copy()
+        w[0, :_LEVELS] = 0  # contexts never seen name no id
+        w[1, ::_LEVELS] = 0
+        part2, part1 = (_TOTAL - _TOTAL // 64) * w[:2] // w.sum(axis=0)
+        self.end2, mass1 = part2.take(self.kind), part1.take(self.kind)
+        self.end1 = self.end2 + mass1
+        # the same id in both orders: one interval
+        self.end2 += mass1 * (two.id == one.id) * (two.count > 0)
 
     def _order0(self, lanes: np.ndarray, ids: np.ndarray, start: np.ndarray, width: np.ndarray) -> None:
-        used = self.ends[3][lanes]
-        rest = _TOTAL - used
-        first = self.cum0.take(ids) * rest // self.total0
+        used = self.end1[lanes]
+        rest = (_TOTAL - used).astype(np.uint64)
+        # division of unsigned arrays by one number needs no hardware division
+        first = (self.cum0.take(ids) * rest // np.uint64(self.total0)).astype(np.int64)
         start[lanes] = used + first
-        width[lanes] = self.cum0.take(ids + 1) * rest // self.total0 - first
+        width[lanes] = (self.cum0.take(ids + 1) * rest // np.uint64(self.total0)).astype(np.int64) - first
 
     def interval(self, ids: np.ndarray):
-        """Start and width of the lanes' ids.  Of slots with the same id the
-        first holds all the mass (an empty slot names id 0 and may get it)."""
-        start, width = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
-        for i, w, end in zip(reversed(self.ids), reversed(self.widths), reversed(self.ends)):
-            same = i == ids
-            width = np.where(same, w, width)
-            start = np.where(same, end - w, start)
+        """Start and width of the lanes' ids."""
+        two = (self.order2.id == ids) & (self.end2 > 0)
+        one = (self.order1.id == ids) & ~two
+        start = np.where(one, self.end2, 0)
+        width = np.where(two, self.end2, np.where(one, self.end1 - self.end2, 0))
         lanes = np.flatnonzero(width == 0)
         self._order0(lanes, ids[lanes], start, width)
         return start, width
 
     def find(self, at: np.ndarray):
         """The ids whose intervals hold the points ``at``, their starts and widths."""
-        i20, i21, i10, i11 = self.ids
-        m20, m21, m10, m11 = self.widths
-        e1, e2, e3, e4 = self.ends
-        ids, start, width = i11.astype(np.int64), e3, m11
-        for i, w, end, begin in ((i10, m10, e3, e2), (i21, m21, e2, e1)):
-            below = at < end
-            ids, start, width = np.where(below, i, ids), np.where(below, begin, start), np.where(below, w, width)
-        below = at < e1
-        ids, start, width = np.where(below, i20, ids), np.where(below, 0, start), np.where(below, m20, width)
-        lanes = np.flatnonzero(at >= e4)
-        used = e4[lanes]
-        v = ((at[lanes] - used + 1) * self.total0 - 1) // (_TOTAL - used)
-        ids[lanes] = found = np.searchsorted(self.cum0, v, side="right") - 1
+        two = at < self.end2
+        ids = np.where(two, self.order2.id, self.order1.id).astype(np.int64)
+        start = np.where(two, 0, self.end2)
+        width = np.where(two, self.end2, self.end1 - self.end2)
+        lanes = np.flatnonzero(at >= self.end1)
+        used = self.end1[lanes]
+        rest = (_TOTAL - used).astype(np.uint64)
+        v = ((at[lanes] - used + 1).astype(np.uint64) * np.uint64(self.total0) - _ONE) // rest
+        ids[lanes] = found = np.searchsorted(self.cum0, v.astype(np.uint32), side="right") - 1
         self._order0(lanes, found, start, width)
         return ids, start, width
 
@@ -159,7 +136,7 @@ class _Model:
         self.before[:n], self.last[:n] = self.last[:n], ids
         self.steps += 1
         if self.steps % _REFRESH == 0:
-            np.cumsum(self.counts0, out=self.cum0[1:])
+            np.cumsum(self.counts0, dtype=np.uint32, out=self.cum0[1:])
             self.total0 = int(self.cum0[-1])
 
 
