@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import posixpath
 import re
@@ -43,12 +44,29 @@ def folder(spark: SparkSession, name: str) -> str:
     return work_dir(spark, "llm", name, unique=True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, release: bool = False) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: lineage ends there, so
-    a lost executor costs a re-read and never a recomputation."""
-    path = folder(df.sparkSession, name)
+    a lost executor costs a re-read and never a recomputation.  ``release``
+    lets Spark remove the shuffle files of finished steps at once; otherwise
+    they stay until the driver happens to collect its garbage."""
+    spark = df.sparkSession
+    path = folder(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    if release:
+        del df
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` that nothing reads any more."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(t._scratch)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_or_empty(name: str = "text") -> Column:

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import drop, written
 
 LENGTH = 200
 #: Bytes that anchored suffixes must share.
@@ -251,7 +251,7 @@ def _bucket(length: int):
             pad([x[::-1] for x in before], length - LEAD), pad(after, length),
             np.fromiter(map(len, before), np.int64), np.fromiter(map(len, after), np.int64), t["n"].to_numpy(),
         )
-        keep = np.flatnonzero(high >= 0)
+        keep = np.flatnonzero((high >= 0) & (t["n"].to_numpy() == 1))  # classes with copies go in whole
         take = pa.array(keep)
         yield pa.RecordBatch.from_arrays(
             [t["lead"].take(take).combine_chunks(), t["context"].take(take).combine_chunks(), pa.array(low[keep].astype(np.int32)), pa.array(high[keep].astype(np.int32))], ["lead", "context", "low", "high"]
@@ -303,7 +303,7 @@ def _hot_offsets(suffixes: DataFrame, length: int) -> DataFrame:
     strings = written(suffixes.mapInArrow(_strings(length), "w binary, lead long, context long, n long, x int"), "suffix-hot")
     # one string may hold several anchors; with its offset it is counted once
     again = strings.groupBy("w", "x").agg(F.sum("n").alias("k")).where("k > 1").select("w", "x")
-    found = strings.join(again, ["w", "x"]).groupBy("lead", "context").agg(F.min("x").alias("low"), F.max("x").alias("high"))
+    found = strings.where("n = 1").join(again, ["w", "x"]).groupBy("lead", "context").agg(F.min("x").alias("low"), F.max("x").alias("high"))
     return found.select("lead", "context", "low", "high")
 
 
@@ -325,14 +325,16 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         raise ValueError(f"length below {LEAD + 8}")
     found = written(_keyed(docs).where(F.octet_length("t") >= length).mapInArrow(_scan(length), "doc_id long, th long, pos long, right int, lead long, context long"), "suffix-anchors")
     classes = written(
-        found.groupBy("lead", "context").agg(F.count("*").alias("n"), F.min(F.struct("th", "pos", "doc_id")).alias("one")), "suffix-classes"
+        found.groupBy("lead", "context").agg(F.count("*").alias("n"), F.min(F.struct("th", "pos", "doc_id")).alias("one")), "suffix-classes", release=True
     )
     shared = written(classes.groupBy("lead").agg(F.count("*").alias("k")).where("k > 1"), "suffix-leads")
-    wanted = classes.join(shared, "lead").select("one.*", "lead", "context", "n", "k")
-    by_doc = wanted.groupBy("th", "doc_id").agg(F.collect_list(F.struct("pos", "lead", "context", "n", "k")).alias("wanted"))
+    wanted = classes.join(shared, "lead").select("one.*", "lead", "context", "n")
+    by_doc = written(wanted.groupBy("th", "doc_id").agg(F.collect_list(F.struct("pos", "lead", "context", "n")).alias("wanted")), "suffix-wanted", release=True)
+    whole = written(classes.where("n > 1").select("lead", "context"), "suffix-whole")
+    drop(classes)
     d, w = _keyed(docs).where(F.octet_length("t") >= length).alias("d"), by_doc.alias("w")
     # repeated rows fetch the same bytes more than once; one of each is kept
-    suffixes = written(d.join(w, _same_doc("d", "w")).select("d.t", "w.wanted").mapInArrow(_fetch(length), _CLASS).dropDuplicates(["lead", "context"]), "suffix-contexts")
+    suffixes = written(d.join(w, _same_doc("d", "w")).select("d.t", "w.wanted").mapInArrow(_fetch(length), _CLASS).dropDuplicates(["lead", "context"]), "suffix-contexts", release=True)
     hot = written(shared.where(F.col("k") > HOT).select("lead"), "suffix-hot-leads")
     cold = suffixes.join(hot, "lead", "left_anti")
     # sampled splitters over the leading bytes
@@ -340,16 +342,17 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     offsets = buckets.mapInArrow(_bucket(length), _OFFSETS)
     if not hot.isEmpty():
         offsets = offsets.unionByName(_hot_offsets(suffixes.join(hot, "lead", "left_semi").select("lead", "context", "n", "before", "after"), length))
-    partial = written(offsets, "suffix-offsets")
-    whole = classes.where("n > 1").select("lead", "context")
-    single = classes.where("n = 1").select("lead", "context").join(partial, ["lead", "context"])
+    partial = written(offsets, "suffix-offsets", release=True)
+    drop(suffixes, by_doc)
     # of a class with copies every string is repeated: null offsets stand for all
-    marks = single.unionByName(whole.select("lead", "context", F.lit(None).cast("int").alias("low"), F.lit(None).cast("int").alias("high")))
+    marks = partial.unionByName(whole.select("lead", "context", F.lit(None).cast("int").alias("low"), F.lit(None).cast("int").alias("high")))
     left = F.least(F.col("pos"), F.lit(length - LEAD))
     start = F.col("pos") - F.coalesce(F.col("high"), left)
     end = F.col("pos") + F.coalesce(F.lit(length) - F.col("low"), F.col("right"))
     spans = found.join(marks, ["lead", "context"]).select("doc_id", "th", F.struct(start.alias("a"), end.alias("b")).alias("span")).where(F.col("span.b") - F.col("span.a") >= length)
-    return spans.groupBy("doc_id", "th").agg(F.collect_set("span").alias("spans"))
+    out = written(spans.groupBy("doc_id", "th").agg(F.collect_set("span").alias("spans")), "suffix-spans", release=True)
+    drop(found, whole, partial)
+    return out
 
 
 def _cut(keep_text: bool):
@@ -379,7 +382,6 @@ def _cut(keep_text: bool):
 def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_text: bool = True) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked,
     the kept bytes (cuts may fall inside a character)."""
-    spans = written(repeated_spans(docs, length), "suffix-spans")
-    d, s = _keyed(docs).alias("d"), spans.alias("s")
+    d, s = _keyed(docs).alias("d"), repeated_spans(docs, length).alias("s")
     joined = d.join(s, _same_doc("d", "s"), "left").select("d.doc_id", "d.t", "s.spans")
     return joined.mapInArrow(_cut(keep_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
