@@ -14,8 +14,10 @@ Main path: built-in functions only.  A document's shingles leave the row only
 when some item has them, so the shuffles carry hits and not texts.
 
 Defined cases: null or wordless texts have no shingle and match nothing; rows
-that share a doc_id are one document, rows that share an item_id one item; a
-null id is an id of its own; an empty table on either side gives no rows.
+that share doc_id (null or not) and text are one document, rows that share an
+id but not a text are documents of their own; rows that share an item_id are
+one item, a null item_id is an id of its own; an empty table on either side
+gives no rows.
 Other columns are ignored by ``contamination`` and kept by ``decontaminate``.
 """
 
@@ -30,15 +32,17 @@ WORDS_PER_SHINGLE = 5
 THRESHOLD = 0.8
 
 
-def shingles(df: DataFrame, key: str, k: int = WORDS_PER_SHINGLE) -> DataFrame:
-    """(key, s): the shingle hashes of every row's whole text, repeats included."""
+def shingles(df: DataFrame, key: str, k: int = WORDS_PER_SHINGLE, by_text: bool = False) -> DataFrame:
+    """(k, s): the key and the shingle hashes of every row's whole text,
+    repeats included; ``by_text`` adds the text's hash, th."""
+    keys = ["k", "th"] if by_text else ["k"]
     plain = F.trim(F.regexp_replace(F.lower(text_or_empty()), r"[^\p{L}\p{N}]+", " "))
-    w = df.select(F.col(key).alias("k"), plain.alias("t")).select("k", F.when(F.length("t") > 0, F.transform(F.split("t", " "), lambda x: F.xxhash64(x))).alias("w"))
+    w = df.select(F.col(key).alias("k"), F.xxhash64(text_or_empty()).alias("th"), plain.alias("t")).select(*keys, F.when(F.length("t") > 0, F.transform(F.split("t", " "), lambda x: F.xxhash64(x))).alias("w"))
     windows: Column = F.transform(
         F.sequence(F.lit(0), F.greatest(F.size("w") - k, F.lit(0))),
         lambda i: F.xxhash64(*[F.coalesce(F.get("w", i + j), F.lit(0).cast("long")) for j in range(k)]),
     )
-    return w.where("w is not null").select("k", F.explode(windows).alias("s"))
+    return w.where("w is not null").select(*keys, F.explode(windows).alias("s"))
 
 
 def item_shingles(items: DataFrame, k: int = WORDS_PER_SHINGLE) -> DataFrame:
@@ -61,23 +65,29 @@ def sketch_size(n: Column, threshold: float) -> Column:
 def contamination(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, k: int = WORDS_PER_SHINGLE) -> DataFrame:
     """One row per document and item it contains: doc_id, item_id,
     n_item_shingles, n_shared, containment (n_shared / n_item_shingles >= threshold)."""
+    share = F.col("n_shared") / F.col("n")
+    return matches(docs, items, threshold, k).select(F.col("k").alias("doc_id"), "item_id", F.col("n").alias("n_item_shingles"), "n_shared", share.alias("containment"))
+
+
+def matches(docs: DataFrame, items: DataFrame, threshold: float, k: int) -> DataFrame:
+    """(k, th, item_id, n, n_shared): the documents, by doc_id and hash of the
+    text, and the items they contain."""
     item_s = written(item_shingles(items, k), "bench-shingles")
     # Spark broadcasts this side only while its measured size is below
     # autoBroadcastJoinThreshold, and shuffles both sides beyond
     wanted = item_s.select("s").distinct()
-    hits = written(shingles(docs, "doc_id", k).join(wanted, "s", "left_semi").distinct(), "bench-hits")
+    hits = written(shingles(docs, "doc_id", k, by_text=True).join(wanted, "s", "left_semi").distinct(), "bench-hits")
     sketch = item_s.where(F.col("place") <= sketch_size(F.col("n"), threshold)).select("item_id", "s")
-    found = hits.join(sketch, "s").select("k", "item_id").distinct()
+    found = hits.join(sketch, "s").select("k", "th", "item_id").distinct()
     h, i, f = hits.alias("h"), item_s.alias("i"), found.alias("f")
-    pairs = h.join(i, F.col("h.s") == F.col("i.s")).groupBy("h.k", "i.item_id", "i.n").agg(F.count("*").alias("n_shared"))
-    verified = pairs.alias("p").join(f, F.col("p.k").eqNullSafe(F.col("f.k")) & F.col("p.item_id").eqNullSafe(F.col("f.item_id")), "left_semi")
-    share = F.col("n_shared") / F.col("n")
-    return verified.where(F.col("n_shared") >= F.lit(threshold) * F.col("n") - F.lit(1e-9)).select(
-        F.col("k").alias("doc_id"), "item_id", F.col("n").alias("n_item_shingles"), "n_shared", share.alias("containment")
-    )
+    pairs = h.join(i, F.col("h.s") == F.col("i.s")).groupBy("h.k", "h.th", "i.item_id", "i.n").agg(F.count("*").alias("n_shared"))
+    same = F.col("p.k").eqNullSafe(F.col("f.k")) & (F.col("p.th") == F.col("f.th")) & F.col("p.item_id").eqNullSafe(F.col("f.item_id"))
+    verified = pairs.alias("p").join(f, same, "left_semi")
+    return verified.where(F.col("n_shared") >= F.lit(threshold) * F.col("n") - F.lit(1e-9))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, k: int = WORDS_PER_SHINGLE) -> DataFrame:
     """The documents that contain no item."""
-    found = written(contamination(docs, items, threshold, k).select(F.col("doc_id").alias("__leak")).distinct(), "bench-leaks")
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__leak")), "left_anti").select(*docs.columns)
+    found = written(matches(docs, items, threshold, k).select(F.col("k").alias("__leak"), F.col("th").alias("__th")).distinct(), "bench-leaks")
+    leaks = F.col("doc_id").eqNullSafe(F.col("__leak")) & (F.xxhash64(text_or_empty()) == F.col("__th"))
+    return docs.join(found, leaks, "left_anti").select(*docs.columns)

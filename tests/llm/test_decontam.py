@@ -54,6 +54,21 @@ def test_documents_that_hold_items_go(llm):
     assert sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in kept.collect()) == sorted((r[0] is None, r[0] or 0, r[1] or "") for r in rows if r[0] not in leaks)
 
 
+def test_rows_that_share_an_id_are_judged_by_their_texts(llm):
+    """A leak takes its own row, not the rows without id or of the same id;
+    halves of an item in two such rows are no leak."""
+    rng = random.Random(4)
+    items = [(1, prose(rng, 30)), (2, prose(rng, 40))]
+    w = items[1][1].split()
+    clean = [prose(rng, 60) for _ in range(6)]
+    halves = [" ".join(w[:22]), " ".join(w[18:])]
+    rows = [(i, t, "en", "a", 0) for i in (None, 7) for t in [*clean, *halves, prose(rng, 9) + " " + items[0][1], None]]
+    got = decontam.contamination(frame(llm, rows), bench(llm, items)).collect()
+    same_rows([(r.doc_id, r.item_id) for r in got], [(None, 1), (7, 1)])
+    kept = decontam.decontaminate(frame(llm, rows), bench(llm, items)).collect()
+    same_rows([(r.doc_id, r.text) for r in kept], [r[:2] for r in rows if items[0][1] not in (r[1] or "")])
+
+
 def test_sketch_never_misses(llm):
     """The sketch of a partition holds more hashes than a match may miss."""
     df = llm.range(1, 3000).select(F.col("id").alias("n")).withColumn("s", decontam.sketch_size(F.col("n"), 0.8))
