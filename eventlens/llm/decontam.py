@@ -8,7 +8,8 @@ the upper size ``u`` of its partition needs: s = floor((1 - t) u) + 1.  A
 document that holds a share ``t`` of an item's shingles misses at most
 floor((1 - t) n) of them, so it always holds one of the ``s`` smallest: the
 search loses no item at or above the threshold, however long the document.
-Found pairs are verified by counting the item's shingles in the document.
+Found pairs, and no others, are verified by counting the item's shingles in
+the document.
 
 Main path: built-in functions only.  A document's shingles leave the row only
 when some item has them, so the shuffles carry hits and not texts.
@@ -79,10 +80,10 @@ def matches(docs: DataFrame, items: DataFrame, threshold: float, k: int) -> Data
     hits = written(shingles(docs, "doc_id", k, by_text=True).join(wanted, "s", "left_semi").distinct(), "bench-hits")
     sketch = item_s.where(F.col("place") <= sketch_size(F.col("n"), threshold)).select("item_id", "s")
     found = hits.join(sketch, "s").select("k", "th", "item_id").distinct()
-    h, i, f = hits.alias("h"), item_s.alias("i"), found.alias("f")
-    pairs = h.join(i, F.col("h.s") == F.col("i.s")).groupBy("h.k", "h.th", "i.item_id", "i.n").agg(F.count("*").alias("n_shared"))
-    same = F.col("p.k").eqNullSafe(F.col("f.k")) & (F.col("p.th") == F.col("f.th")) & F.col("p.item_id").eqNullSafe(F.col("f.item_id"))
-    verified = pairs.alias("p").join(f, same, "left_semi")
+    # only the candidates' shingles are counted
+    h, c = hits.alias("h"), found.alias("f").join(item_s.alias("i"), F.col("f.item_id").eqNullSafe(F.col("i.item_id"))).select("k", "th", "f.item_id", "n", "s").alias("c")
+    same = F.col("h.k").eqNullSafe(F.col("c.k")) & (F.col("h.th") == F.col("c.th")) & (F.col("h.s") == F.col("c.s"))
+    verified = c.join(h, same).groupBy("c.k", "c.th", "item_id", "n").agg(F.count("*").alias("n_shared"))
     return verified.where(F.col("n_shared") >= F.lit(threshold) * F.col("n") - F.lit(1e-9))
 
 

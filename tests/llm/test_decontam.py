@@ -75,6 +75,20 @@ def test_sketch_never_misses(llm):
     assert df.where("s < floor(0.2 * n + 1e-9) + 1").count() == 0
 
 
+def test_only_what_the_sketch_finds_is_counted(llm, monkeypatch):
+    """With empty sketches nothing is found, and no join goes past them: the
+    shingles of documents meet those of items only for found pairs."""
+    rows, items = cases()
+    docs = frame(llm, rows)
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
+    found = decontam.matches(docs, bench(llm, items), 0.8, 5)
+    pairs = [x for x in plan(found).splitlines() if "Join" in x]
+    # outermost: hits by document, text and shingle with the candidates' shingles
+    assert pairs and pairs[0].count("<=>") == 1 and pairs[0].count(" = ") == 2, pairs
+    monkeypatch.setattr(decontam, "sketch_size", lambda n, t: F.lit(0))
+    assert decontam.contamination(docs, bench(llm, items)).collect() == []
+
+
 def test_nothing(llm, nothing):
     rows, items = cases()
     assert decontam.contamination(nothing, bench(llm, items)).collect() == []
