@@ -21,9 +21,12 @@ def _ready(spark: SparkSession) -> None:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without letters belong to no language and go."""
+    """Texts without letters, or far from every language for their length,
+    belong to no language and go."""
     _ready(spark)
-    return langid.reject(docs, langid.train(langid.training_part(docs)))
+    labelled = langid.training_part(docs)
+    model = langid.train(labelled)
+    return langid.reject(docs, model, least=langid.least_scores(labelled, model))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

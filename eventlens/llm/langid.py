@@ -12,6 +12,12 @@ Training is one pass: tasks add up prototypes locally and the sums are added
 as integers, so the result does not depend on the order of tasks.  The model
 is (languages) x (dimensions) numbers; ``MAX_LANGUAGES`` bounds it.
 
+A short text has few grams and a low cosine even in its own language, so the
+least score of a known language is learned by length: texts of 2^c to
+2^(c + 1) - 1 characters need ``SHARE`` of the median score of all labelled
+training rows of that length.  A median holds while under half of the rows of
+a length are junk, and a small share of it keeps clean texts.
+
 Defined cases: a null text, or one without letters, is ``und`` with score 0;
 training ignores rows without text or language; with no training rows all are
 ``und``; ties go to the first language by name; long texts are read whole, in
@@ -29,6 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from .common import text_or_empty
+
 DIMENSIONS = 512
 MAX_LANGUAGES = 2000
 SEED = 20240607
@@ -36,6 +44,9 @@ UNKNOWN = "und"
 #: Characters handled at a time, and documents at a time.
 PIECE, GROUP = 1 << 20, 512
 _SCALE = float(1 << 24)
+#: Share of the median training score that a text of a known language needs.
+SHARE = 0.2
+_CLASSES, _STEPS = 32, 1000  # length classes; steps of the score, for medians
 
 
 @dataclass(frozen=True)
@@ -202,7 +213,33 @@ def held_out():
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def reject(docs: DataFrame, model: Model, min_score: float = 0.0) -> DataFrame:
-    """Documents in a known language; texts without letters go."""
+def _length_class():
+    """c where the text has 2^c to 2^(c + 1) - 1 characters."""
+    return F.floor(F.log2(F.greatest(F.length(text_or_empty()), F.lit(1)).cast("double"))).cast("int")
+
+
+def least_scores(docs: DataFrame, model: Model, share: float = SHARE) -> tuple[float, ...]:
+    """Per length class, ``share`` of the median score of all rows of (text,
+    lang) with both present and a letter in the text.  Only counts by class
+    and score step are gathered."""
+    rows = docs.where("text is not null and lang is not null").select(F.col("text").cast("string").alias("text"))
+    judged = predict(rows, model).where(F.col("__lang") != UNKNOWN)
+    step = F.floor(F.col("__score") * _STEPS).cast("int")
+    cells = judged.groupBy(_length_class().alias("c"), step.alias("s")).agg(F.count("*").alias("n")).collect()
+    counts = np.zeros((_CLASSES, _STEPS + 1), np.int64)
+    for r in cells:
+        counts[r.c, r.s] = r.n
+    out, least = [], 0.0
+    for row in counts:
+        if row.any():
+            least = share * int(np.searchsorted(np.cumsum(row), (row.sum() + 1) // 2)) / _STEPS
+        out.append(least)
+    return tuple(out)
+
+
+def reject(docs: DataFrame, model: Model, min_score: float = 0.0, least: tuple[float, ...] = (0.0,) * _CLASSES) -> DataFrame:
+    """Documents in a known language; texts without letters go, and texts that
+    score below ``min_score`` or below the ``least`` score of their length."""
     judged = predict(docs, model)
-    return judged.where((F.col("__lang") != UNKNOWN) & (F.col("__score") >= min_score)).select(*docs.columns)
+    need = F.greatest(F.lit(min_score), F.get(F.array(*[F.lit(float(x)) for x in least]), _length_class()))
+    return judged.where((F.col("__lang") != UNKNOWN) & (F.col("__score") >= need)).select(*docs.columns)

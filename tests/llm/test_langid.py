@@ -1,5 +1,10 @@
+import random
+import string
+
 import numpy as np
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from eventlens.llm import langid
 from tests.llm.conftest import frame
 
@@ -70,3 +75,36 @@ def test_no_training_rows_and_nothing(llm, nothing):
     one = langid.predict(frame(llm, [(1, "abc", None, None, 1)]), model).first()
     assert (one["__lang"], one["__score"]) == ("und", 0.0)
     assert langid.predict(nothing, model).collect() == []
+
+
+FOREIGN_AND_JUNK = [
+    "Все люди рождаются свободными и равными в своем достоинстве и правах. " * 6,
+    "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+    "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel bírván. ",
+    "".join(random.Random(1).choice("0123456789abcdef") for _ in range(3000)),
+    "".join(random.Random(2).choice(string.ascii_letters + string.digits + "+/") for _ in range(3000)),
+    "z" * 3000,
+]
+
+
+def test_foreign_and_junk_texts_go(llm):
+    """Planted texts leave the language stage whatever label they carry, also
+    from the training rows; clean documents stay."""
+    docs = llm.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    planted = [(10**9 + i, t, "en", "web", len(t)) for i, t in enumerate(FOREIGN_AND_JUNK * 3)]
+    kept = corpus_pipeline.language_id(llm, docs.unionByName(frame(llm, planted)), "")
+    assert kept.columns == docs.columns
+    assert kept.where(F.col("doc_id") >= 10**9).collect() == []
+    assert kept.count() == docs.count()
+
+
+def test_least_scores_by_length(llm, nothing):
+    docs = llm.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.train(docs)
+    least = langid.least_scores(docs, model)
+    rows = [(len(r.text).bit_length() - 1, r["__score"]) for r in langid.predict(docs.select("text"), model).collect()]
+    for c in {c for c, _ in rows}:
+        scores = sorted(s for k, s in rows if k == c)
+        assert abs(least[c] - langid.SHARE * scores[(len(scores) - 1) // 2]) < 1e-3
+    assert least[-1] == least[max(c for c, _ in rows)] and least[0] == 0
+    assert set(langid.least_scores(nothing, langid.train(nothing))) == {0.0}
