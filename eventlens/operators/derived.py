@@ -14,13 +14,14 @@ from . import parse
 
 
 def loyalty_check(tx: DataFrame) -> DataFrame:
-    """Expected points int(amount / 100) vs metadata's reported points."""
-    expected = F.floor(F.col("transaction_amount") / 100).cast("int")
-    reported = F.get_json_object("metadata", "$.loyalty_points_earned").try_cast("int")
+    """Expected points int(amount / 100) vs metadata's reported points.
+    Points beyond an int are NULL; they are compared before they are narrowed."""
+    expected = F.floor(F.col("transaction_amount") / 100)
+    reported = F.get_json_object("metadata", "$.loyalty_points_earned").try_cast("long")
     return tx.select(
         "transaction_id",
-        expected.alias("expected_points"),
-        reported.alias("reported_points"),
+        expected.try_cast("int").alias("expected_points"),
+        reported.try_cast("int").alias("reported_points"),
         expected.eqNullSafe(reported).alias("consistent"),
     )
 

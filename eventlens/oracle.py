@@ -685,6 +685,11 @@ def _edge_oracles() -> dict[str, str]:
     loyalty_points_earned AS reported_points,
     CAST(floor(transaction_amount / 100) AS INTEGER) IS NOT DISTINCT FROM loyalty_points_earned AS consistent
   FROM Te WHERE fault NOT IN (2, 3)""",
+        "loyalty_check_overflow": w + """SELECT transaction_id,
+    TRY_CAST(CASE fault WHEN 2 THEN 90000000 WHEN 3 THEN 10000000000000 ELSE floor(transaction_amount / 100) END AS INTEGER) AS expected_points,
+    loyalty_points_earned AS reported_points,
+    fault NOT IN (2, 3) AND CAST(floor(transaction_amount / 100) AS INTEGER) IS NOT DISTINCT FROM loyalty_points_earned AS consistent
+  FROM Te""",
         "batch_id_check_edge": w + """SELECT data_type, COUNT(*) AS messages, CAST(SUM(CASE WHEN fault NOT IN (1, 7) THEN 1 ELSE 0 END) AS BIGINT) AS matching
   FROM Te GROUP BY data_type
   UNION ALL SELECT data_type, COUNT(*), CAST(SUM(CASE WHEN fault <> 1 THEN 1 ELSE 0 END) AS BIGINT) FROM Ne GROUP BY data_type""",

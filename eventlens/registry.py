@@ -499,6 +499,12 @@ def loyalty_check_edge(spark, sf_dir):
     return derived.loyalty_check(tx)
 
 
+@query("loyalty_check_overflow")
+def loyalty_check_overflow(spark, sf_dir):
+    """R1 over all faulty input, amounts included whose points overflow."""
+    return derived.loyalty_check(parse.typed(_edge(spark, sf_dir), "transaction"))
+
+
 @query("batch_id_check_edge")
 def batch_id_check_edge(spark, sf_dir):
     """R2 over input with wrong batch ids and bad times."""

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from eventlens.contracts import CONTRACTS, split_lossy
-from eventlens.operators import aggregates, bronze, parse
+from eventlens.operators import aggregates, bronze, derived, parse
 from eventlens.sources.messages import encode_events
 
 T0 = dt.datetime(2024, 1, 1, 0, 0, 0)
@@ -194,3 +194,13 @@ def test_number_in_a_string_field_keeps_its_text(spark):
     m = msgs(spark, [tx(1, user_name=12345, merchant=1.5)])
     r = parse.typed(m, "transaction").collect()[0]
     assert r.user_name == "12345" and r.merchant == "1.5"
+
+
+def test_points_beyond_an_int_are_null_and_never_consistent(spark):
+    amounts = [150.5, 9e9, 2.1e11, 3e11, 1e15, 1e300, None]
+    m = msgs(spark, [tx(i, transaction_amount=a) for i, a in enumerate(amounts)])
+    got = {r.transaction_id: (r.expected_points, r.reported_points, r.consistent) for r in derived.loyalty_check(parse.typed(m, "transaction")).collect()}
+    points = [1, 90_000_000, 2_100_000_000, None, None, None, None]
+    assert got == {f"t{i}": (p, 1, p == 1) for i, p in enumerate(points)}
+    huge = tx(0, transaction_amount=1e15, metadata={"items_count": 2, "discount_applied": True, "loyalty_points_earned": None})
+    assert [r.consistent for r in derived.loyalty_check(parse.typed(msgs(spark, [huge]), "transaction")).collect()] == [False]
