@@ -28,10 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import text_or_empty, written
 from .components import connected_components
 
 SHINGLE_WORDS = 3
@@ -88,15 +88,15 @@ def fingerprint(text: bytes | None, k: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, k: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp) with the fingerprint as a signed long."""
+    """(doc_id, th, fp): the hash of the text, and the fingerprint as a signed long."""
 
     def run(batches):
         for b in batches:
-            fps = np.fromiter((fingerprint(t, k) for t in b.column(1).to_pylist()), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            fps = np.fromiter((fingerprint(t, k) for t in b.column(2).to_pylist()), np.uint64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))], ["doc_id", "th", "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("t"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("th"), F.col("text").cast("string").cast("binary").alias("t"))
+    return rows.mapInArrow(run, "doc_id long, th long, fp long")
 
 
 def covering_masks(positions: list[int], radius: int) -> list[int]:
@@ -183,12 +183,18 @@ def _most_free(free: int, radius: int) -> int:
     return free - min(m.bit_count() for m in covering_masks(list(range(free)), radius))
 
 
-def components(docs: DataFrame, k: int = SHINGLE_WORDS, radius: int = MAX_BITS) -> DataFrame:
-    """doc_id, fp (signed long), component_id (smallest doc_id reachable)."""
-    prints = written(fingerprints(docs, k), "simhash-prints")
+def _roots(prints: DataFrame, radius: int) -> DataFrame:
+    """(fp, id, root) of every distinct fingerprint: its smallest doc_id, and
+    the fingerprint that names its component."""
     nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("id")), "simhash-nodes")
     roots = connected_components(links(nodes, radius))
-    named = nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "id", F.coalesce("root", "fp").alias("root"))
+    return nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "id", F.coalesce("root", "fp").alias("root"))
+
+
+def components(docs: DataFrame, k: int = SHINGLE_WORDS, radius: int = MAX_BITS) -> DataFrame:
+    """doc_id, fp (signed long), component_id (smallest doc_id reachable)."""
+    prints = written(fingerprints(docs, k).drop("th"), "simhash-prints")
+    named = _roots(prints, radius)
     ids = named.groupBy("root").agg(F.min("id").alias("component_id"))
     classes = named.join(ids, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
@@ -200,21 +206,13 @@ def fingerprint_text(fp) -> "F.Column":
 
 
 def dedup(docs: DataFrame, k: int = SHINGLE_WORDS, radius: int = MAX_BITS) -> DataFrame:
-    """One document of each component: the one with the smallest doc_id.
-    Rows that share a doc_id count as one document.  Rows without an id go if
-    their component has one, and stay if it has none."""
-    classes = written(components(docs, k, radius), "simhash-components")
-    keep = classes.where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    once = Window.partitionBy("__keep").orderBy(F.xxhash64("text"))
-    named = docs.join(keep, F.col("doc_id") == F.col("__keep")).withColumn("__nth", F.row_number().over(once)).where("__nth = 1")
-    # rows without an id: matched by text, as nothing else names them
-    bare = fingerprints_of_bare(docs, classes, k)
-    return named.select(*docs.columns).unionByName(bare.select(*docs.columns))
-
-
-def fingerprints_of_bare(docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
-    """Rows without doc_id whose component has no id."""
-    loose = classes.where("component_id is null").select("fp").distinct()
-    one = F.pandas_udf(lambda s: s.map(lambda t: int(np.uint64(fingerprint(t, k)).astype(np.int64))), "long")
-    bare = docs.where("doc_id is null").withColumn("__fp", one(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")))
-    return bare.join(loose.withColumnRenamed("fp", "__loose"), F.col("__fp") == F.col("__loose"), "left_semi")
+    """One row of each component: the one with the smallest doc_id (a row
+    without id only where no row has one), then the smallest hash of the text."""
+    prints = written(fingerprints(docs, k), "simhash-prints")
+    by_fp = _roots(prints, radius).select("fp", "root")
+    order = F.struct(F.col("doc_id").isNull().alias("bare"), F.col("doc_id").alias("id"), "th")
+    kept = prints.join(by_fp, "fp").groupBy("root").agg(F.min(order).alias("x")).select(F.col("x.id").alias("__keep"), F.col("x.th").alias("__th"))
+    one = written(kept, "simhash-kept")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__keep")) & (F.xxhash64(text_or_empty()) == F.col("__th"))
+    # rows that share id and text: any of them, chosen by a combining aggregate
+    return docs.join(one, same).dropDuplicates(["__keep", "__th"]).select(*docs.columns)

@@ -105,5 +105,14 @@ def test_one_document_of_each_group_stays(llm, hard):
     assert sorted((r.doc_id is None, r.text) for r in bare) == [(False, "q r s t"), (True, "a b c d")]
 
 
+def test_exactly_one_row_of_each_component_stays(llm):
+    """Rows that share an id lie in different components; copies have no id."""
+    rng = random.Random(6)
+    a, b, c, d = (prose(rng, 40) for _ in range(4))
+    rows = [(1, a), (1, b), (2, b), (3, a), *[(None, c)] * 50, (None, b), (4, d), (4, d), (None, d), (None, None), (None, "")]
+    kept = simhash.dedup(frame(llm, [(*r, "en", "a", 0) for r in rows])).collect()
+    same_rows([(r.doc_id, r.text or "") for r in kept], [(1, a), (1, b), (None, c), (4, d), (None, "")])
+
+
 def test_nothing(nothing):
     assert simhash.components(nothing).collect() == [] and simhash.dedup(nothing).collect() == []
