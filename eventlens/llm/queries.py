@@ -203,3 +203,15 @@ def op9_line_runs(table):
 
     left = remove_runs(table("documents"))
     return left.select("doc_id", "n_lines", "n_removed", "n_runs", "longest_repeat", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_exact_dedup", r"""
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
+g AS (SELECT t, min(doc_id) AS keep_id, count(*)::BIGINT AS group_size FROM n GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM n JOIN g USING (t)
+""")
+def op11_exact_dedup(table):
+    """Every document with the copy that stays in its place."""
+    from .exact_dedup import exact_groups
+
+    return exact_groups(table("documents"))
