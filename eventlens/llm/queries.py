@@ -215,3 +215,37 @@ def op11_exact_dedup(table):
     from .exact_dedup import exact_groups
 
     return exact_groups(table("documents"))
+
+
+@query("op12_conversation_trie", r"""
+WITH bits AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(range(8), lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i) AS v FROM range(256) r(i))),
+turns AS (
+  SELECT conv_id, turn, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS x, length(coalesce(text, '')) AS n
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id AS c, list({'x': x, 'n': n} ORDER BY turn NULLS FIRST, x) AS s FROM turns GROUP BY conv_id),
+shares AS (
+  SELECT c, s, c - c % 100 AS base,
+    xor(list_reduce(list_transform(string_split(c::VARCHAR, ''), lambda y: ascii(y)::BIGINT), lambda a, y: xor(t[(xor(a, y) & 255) + 1], a >> 8), 4294967295), 4294967295) % 6 AS h
+  FROM own, bits),
+built AS (SELECT a.c, list_concat(coalesce(b.s[1:a.h], []), a.s[a.h + 1:]) AS s FROM shares a LEFT JOIN own b ON b.c = a.base),
+m AS (
+  SELECT c, d, md5(array_to_string(list_transform(s[1:d], lambda y: y.x), ',')) AS k, md5(array_to_string(list_transform(s[1:d - 1], lambda y: y.x), ',')) AS p,
+    CASE WHEN d > 0 THEN s[d].n ELSE 0 END AS chars, len(s) = d AS ends
+  FROM (SELECT c, s, unnest(generate_series(0, len(s))) AS d FROM built)),
+nodes AS (
+  SELECT d, k, min(p) AS p, min(c) AS c, count(*) AS n_convs, min(chars) AS chars, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM m GROUP BY d, k),
+kids AS (SELECT d - 1 AS d, p AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+totals AS (
+  SELECT m.d, m.k, count(*) FILTER (kids.n IS NULL) AS n_leaves, sum((nodes.n_convs - 1) * nodes.chars)::BIGINT AS saved_tokens
+  FROM nodes LEFT JOIN kids USING (d, k) JOIN m ON m.c = nodes.c AND m.d <= nodes.d GROUP BY m.d, m.k)
+SELECT nodes.c AS conv_id, nodes.d AS depth, up.c AS parent_conv_id, nodes.n_convs, coalesce(kids.n, 0) AS n_children, n_leaves, saved_tokens, nodes.ends_sha256
+FROM nodes JOIN totals USING (d, k) LEFT JOIN kids USING (d, k) LEFT JOIN nodes up ON up.d = nodes.d - 1 AND up.k = nodes.p AND nodes.d > 0
+""")
+def op12_conversation_trie(table):
+    """Every node of the trie of rebuilt conversations with its subtree's totals."""
+    from .conversation_trie import prefix_trie
+
+    return prefix_trie(table("conversations"))
