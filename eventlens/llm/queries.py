@@ -249,3 +249,11 @@ def op12_conversation_trie(table):
     from .conversation_trie import prefix_trie
 
     return prefix_trie(table("conversations"))
+
+
+@query("op13_conversation_repair")
+def op13_conversation_repair(table):
+    """Faults, cheapest edits and repaired hash of every damaged conversation."""
+    from .conversation_repair import repair
+
+    return repair(table("conversations"))

@@ -3,7 +3,7 @@
 import pytest
 
 from eventlens.llm.queries import QUERIES
-from tests.llm import test_simhash, test_suffix_dedup, test_token_ids, test_url_filter
+from tests.llm import test_conversation_repair, test_simhash, test_suffix_dedup, test_token_ids, test_url_filter
 from tests.llm.conftest import same_rows
 
 SMALL = "/root/testdata/sf0.001"
@@ -12,6 +12,7 @@ COLUMNS = {
     "op2": "page_id bigint, host string, path string, rule string, verdict string",
     "op4": "doc_id bigint, fingerprint string, component_id bigint",
     "op6": "doc_id bigint, held_out boolean, lang_pred string, score double",
+    "op13": "conv_id bigint, gaps bigint, blank bigint, duplicate bigint, truncated bigint, illegal bigint, cost bigint, audit string, repaired_sha256 string",
     "op7": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
 }
 
@@ -61,3 +62,8 @@ def test_op6(llm, docs):
 
 def test_op7(llm, docs):
     same_rows(run(llm, 7), test_suffix_dedup.brute(docs))
+
+
+def test_op13(llm):
+    rows = [tuple(r) for r in llm.read.parquet(f"{SMALL}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    same_rows(run(llm, 13), test_conversation_repair.brute(rows))
