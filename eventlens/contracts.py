@@ -248,10 +248,10 @@ def _cast(col: Column, dtype: str) -> Column:
     return col.try_cast(dtype)
 
 
-def conform(df: DataFrame, contract: Contract | str) -> DataFrame:
+def conform(df: DataFrame, contract: Contract | str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Select the contract's columns in order, cast to the declared types."""
     c = CONTRACTS[contract] if isinstance(contract, str) else contract
-    return df.select([_cast(F.col(name), dtype).alias(name) for name, dtype in c.columns])
+    return df.select([_cast(F.col(name), dtype).alias(name) for name, dtype in c.columns] + [F.col(k) for k in keep])
 
 
 def lossy_flag(contract: Contract | str) -> Column:
@@ -265,10 +265,11 @@ def lossy_flag(contract: Contract | str) -> Column:
     return F.greatest(*[x.cast("int") for x in lost]) > 0
 
 
-def split_lossy(df: DataFrame, contract: Contract | str) -> tuple[DataFrame, DataFrame]:
-    """(good, quarantined) rows by ``lossy_flag``; good rows conformed."""
+def split_lossy(df: DataFrame, contract: Contract | str, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """(good, quarantined) rows by ``lossy_flag``; good rows conformed, with
+    the columns ``keep`` behind those of the contract."""
     c = CONTRACTS[contract] if isinstance(contract, str) else contract
     flagged = df.withColumn("_lossy", lossy_flag(c))
-    good = conform(flagged.filter(~F.col("_lossy")), c)
+    good = conform(flagged.filter(~F.col("_lossy")), c, keep)
     bad = flagged.filter(F.col("_lossy")).drop("_lossy")
     return good, bad

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..functions.time import parse_event_time
 from ..schemas import BY_TYPE, UNION
 from . import parse
@@ -48,19 +49,44 @@ def bronze_rows(messages: DataFrame, by_date: bool = False) -> DataFrame:
     )
 
 
-def write_bronze(messages: DataFrame, path: str, mode: str = "overwrite", by_date: bool = False) -> None:
+def write_bronze(
+    messages: DataFrame, path: str, mode: str = "overwrite", by_date: bool = False, partial: bool = False
+) -> None:
     """Write bronze partitioned by kind.  With ``by_date`` it is partitioned by
-    kind, landing (broker) date and event date, and an overwrite replaces only
-    the partitions present in ``messages`` (dynamic partition overwrite).  A
-    message lands on one broker date, so landing a day again replaces that
-    landing and nothing else: late events of a day, and the untimed and
-    rejected messages of each landing, stand beside those of other landings.
-    ``messages`` should hold whole broker days."""
-    cols = [PARTITION, LANDING, DATE] if by_date else [PARTITION]
-    w = bronze_rows(messages, by_date).write.mode(mode).partitionBy(*cols)
-    if by_date:
-        w = w.option("partitionOverwriteMode", "dynamic")
-    w.parquet(path)
+    landing (broker) date, kind and event date, and a landing date in
+    ``messages`` replaces everything that it landed before, of all kinds and
+    event dates: a message whose event date was corrected leaves its old one.
+    Late events of a day, and the untimed and rejected messages of each
+    landing, stand beside those of other landings.
+
+    ``messages`` must hold whole broker days.  A delivery that reaches less far
+    than the stored landing of a day (by first and last broker time) is refused,
+    as it would drop the rest of that day; ``partial`` replaces it all the same."""
+    if not by_date:
+        bronze_rows(messages).write.mode(mode).partitionBy(PARTITION).parquet(path)
+        return
+    path, columns = path.rstrip("/"), [LANDING, PARTITION, DATE]
+    rows = bronze_rows(messages, by_date)
+    if mode != "overwrite":
+        rows.write.mode(mode).partitionBy(*columns).parquet(path)
+        return
+    spark = messages.sparkSession
+    staged = storage.stage(rows, path, columns)
+    if not partial:
+        old, new = _landed(spark, path), _landed(spark, staged)
+        short = sorted(str(d) for d in old.keys() & new.keys() if new[d][0] > old[d][0] or new[d][1] < old[d][1])
+        if short:
+            storage.delete(spark, staged)
+            raise ValueError(f"landing of {', '.join(short[:5])} covers less than the one stored; pass partial=True to replace it")
+    storage.swap(spark, staged, path, LANDING)
+
+
+def _landed(spark: SparkSession, path: str) -> dict:
+    """First and last broker time by landing date: one small row per date."""
+    if not storage.partitions(spark, path, LANDING):
+        return {}
+    rows = spark.read.parquet(path).where(F.col("kafka_timestamp").isNotNull()).groupBy(F.col(LANDING).cast("string").alias("d"))
+    return {r.d: (r.first, r.last) for r in rows.agg(F.min("kafka_timestamp").alias("first"), F.max("kafka_timestamp").alias("last")).collect()}
 
 
 def start_bronze_stream(messages: DataFrame, path: str, checkpoint: str, trigger=None, name: str = "bronze"):
@@ -92,7 +118,9 @@ def read_kind(
     """Typed events of one kind from bronze (declared fields, event_time,
     kafka_timestamp, data_type).  ``days=(first, last)`` (inclusive, UTC)
     on a date-partitioned bronze reads only those event days' partitions, of all
-    landings.  ``max_files_per_trigger`` bounds a streaming batch."""
+    landings, and of the landings of those days the rows without a valid event
+    time, which have no other day.  ``max_files_per_trigger`` bounds a
+    streaming batch."""
     if streaming:
         reader = spark.readStream.schema(bronze_schema(spark, by_date=days is not None))
         if max_files_per_trigger:
@@ -102,6 +130,8 @@ def read_kind(
         df = spark.read.parquet(path)
     df = df.filter(F.col(PARTITION) == kind)
     if days is not None:
-        df = df.filter(F.col(DATE).between(F.to_date(F.lit(str(days[0]))), F.to_date(F.lit(str(days[1])))))
+        first, last = (F.lit(str(d)).cast("date") for d in days)
+        untimed = F.col(DATE).isNull() & F.col(LANDING).between(first, last)
+        df = df.filter(F.col(DATE).between(first, last) | untimed)
     cols = [f.name for f in BY_TYPE[kind].fields]
     return df.select(*cols, "event_time", "kafka_timestamp")

@@ -680,6 +680,22 @@ def _edge_oracles() -> dict[str, str]:
     SELECT data_type, CAST(event_time AS DATE) AS event_date FROM Te
     UNION ALL SELECT data_type, CASE WHEN fault <> 1 THEN CAST(event_time AS DATE) END FROM Ne
     UNION ALL SELECT '__rejected__', NULL FROM Tx WHERE CAST(substr(transaction_id, 4) AS BIGINT) % 50 = 5)
+  GROUP BY ALL""",
+        "quarantine_after_day_ranges": w + """SELECT transaction_id, user_id, transaction_date,
+    CASE fault WHEN 3 THEN 1e15::DOUBLE ELSE transaction_amount END AS transaction_amount, kafka_timestamp,
+    CAST(coalesce(event_time, kafka_timestamp) AS DATE) AS event_date
+  FROM Te WHERE fault IN (1, 3, 4)""",
+        "untimed_rows_day_range": w + """SELECT table_name, place, event_date, COUNT(*) AS n_rows FROM (
+    SELECT 'raw_transactions' AS table_name, CASE WHEN fault IN (1, 3, 4) THEN 'quarantine' ELSE 'table' END AS place,
+      CAST(coalesce(event_time, kafka_timestamp) AS DATE) AS event_date FROM Te
+    UNION ALL SELECT 'raw_sensors', CASE WHEN fault = 1 THEN 'quarantine' ELSE 'table' END,
+      CAST(CASE WHEN fault = 1 THEN kafka_timestamp ELSE event_time END AS DATE) FROM Ne)
+  WHERE event_date BETWEEN DATE '2024-01-02' AND DATE '2024-01-10' GROUP BY ALL""",
+        "bronze_corrected_landing": w + """SELECT data_type, event_date, late_landing, COUNT(*) AS messages FROM (
+    SELECT data_type, day(kafka_timestamp) > 15 AS late_landing,
+      CAST(CASE WHEN day(kafka_timestamp) > 15 AND day(event_time) <= 8 THEN event_time + INTERVAL 1 DAY ELSE event_time END AS DATE) AS event_date FROM Te
+    UNION ALL SELECT data_type, day(kafka_timestamp) > 15, CASE WHEN fault <> 1 THEN CAST(event_time AS DATE) END FROM Ne
+    UNION ALL SELECT '__rejected__', day(kafka_timestamp) > 15, NULL FROM Tx WHERE CAST(substr(transaction_id, 4) AS BIGINT) % 50 = 5)
   GROUP BY ALL""",
         "loyalty_check_edge": w + """SELECT transaction_id, CAST(floor(transaction_amount / 100) AS INTEGER) AS expected_points,
     loyalty_points_earned AS reported_points,

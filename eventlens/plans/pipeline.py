@@ -13,8 +13,12 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import storage
 from ..contracts import lossy_flag, split_lossy
+from ..functions.time import parse_event_time
 from ..operators import aggregates, bronze, dedup, parse
+from ..operators.bronze import DATE
+from ..schemas import EVENT_TIME_FIELD
 from ..sources.messages import stored_topic
 
 AGGREGATE_TABLES = (
@@ -40,8 +44,8 @@ class Pipeline:
     bronze layer (parsed once, columnar, pruned by kind and column).
     """
 
-    def __init__(self, spark: SparkSession, events_of: Callable[[str], DataFrame]):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, events_of: Callable[[str], DataFrame], days: tuple | None = None):
+        self.spark, self.days = spark, days
         self._events_of = events_of
         self._cache: dict[str, DataFrame] = {}
 
@@ -58,10 +62,10 @@ class Pipeline:
     @classmethod
     def from_bronze(cls, spark: SparkSession, path: str, days: tuple | None = None) -> "Pipeline":
         """From bronze; ``days=(first, last)`` limits a date-partitioned
-        bronze to those UTC days (partition pruning).  Windows of 10, 30 and
-        60 minutes never cross a UTC day boundary, so whole days give whole
-        windows."""
-        return cls(spark, lambda kind: bronze.read_kind(spark, path, kind, days=days))
+        bronze to those UTC days (partition pruning), and to the untimed rows
+        that landed on them.  Windows of 10, 30 and 60 minutes never cross a
+        UTC day boundary, so whole days give whole windows."""
+        return cls(spark, lambda kind: bronze.read_kind(spark, path, kind, days=days), days)
 
     def events(self, kind: str) -> DataFrame:
         return self._events_of(kind)
@@ -83,6 +87,17 @@ class Pipeline:
             self._cache[name] = df
         return self._cache[name]
 
+    @staticmethod
+    def date_of(name: str):
+        """The UTC date a row of a table belongs to: of its window, or of the
+        event time its bronze date was made from; without one, of its landing."""
+        from pyspark.sql import functions as F
+
+        if name in parse.RAW:
+            event = parse_event_time(F.col(EVENT_TIME_FIELD[parse.RAW_KIND[name]]))
+            return F.coalesce(F.to_date(event), F.to_date("kafka_timestamp"))
+        return F.to_date("hour" if name.startswith("hourly_metrics") else "window_start")
+
     @staticmethod
     def contract(name: str) -> str:
         return "hourly_metrics" if name == "hourly_metrics_ext" else name
@@ -112,35 +127,50 @@ class Pipeline:
 
         The tables are independent jobs, submitted from a few driver threads
         so their stages share the executors instead of queuing; no data
-        passes through the driver.  With ``by_date`` each table is
-        partitioned by the UTC date of its window (raw tables: of their
-        event time) and an overwrite replaces only the dates written, so a
-        day-range recompute is incremental and idempotent.  Rows that do not
-        fit the contract go to ``<root>/_quarantine/<table>``; they are counted
-        while the table is written, and written only where there are some."""
+        passes through the driver.  Rows that do not fit the contract go to
+        ``<root>/_quarantine/<table>``; they are counted while the table is
+        written, and computed again only where there are some.
+
+        With ``by_date`` tables and quarantine are partitioned by the UTC date
+        of the row's window or event time; raw rows without a valid time
+        belong to the day they landed on.  An overwrite replaces the dates
+        written and removes those of the pipeline's ``days`` that have become
+        empty, in the table and in the quarantine alike, and leaves all other
+        dates: a day-range recompute is incremental and idempotent."""
         from concurrent.futures import ThreadPoolExecutor
 
         from pyspark.sql import Observation
         from pyspark.sql import functions as F
 
-        def dated(df: DataFrame) -> DataFrame:
-            time_col = next(c for c in ("window_start", "hour", "transaction_date", "timestamp") if c in df.columns)
-            return df.withColumn("event_date", F.to_date(F.col(time_col)))
+        covers = storage.within(self.days)
 
         def write(n: str) -> None:
             path, contract, seen = f"{root.rstrip('/')}/{n}", self.contract(n), Observation()
-            counted = self.computed(n).observe(seen, F.sum(lossy_flag(contract).cast("int")).alias("lossy"))
-            df = split_lossy(counted, contract)[0]
+            aside = f"{root.rstrip('/')}/{QUARANTINE}/{n}"
+            rows = self.computed(n)
+            if by_date:
+                rows = rows.withColumn(DATE, self.date_of(n))
+            keep = (DATE,) if by_date else ()
+            counted = rows.observe(seen, F.sum(lossy_flag(contract).cast("int")).alias("lossy"))
+            df = split_lossy(counted, contract, keep)[0]
             if n in parse.RAW:
                 df = dedup.first_delivery(df, n)
-            if by_date:
-                dated(df).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(
-                    "event_date"
-                ).parquet(path)
+            if by_date and mode == "overwrite":
+                storage.replace_partitions(df, path, [DATE], covers)
             else:
-                df.write.mode(mode).parquet(path)
+                df.write.mode(mode).partitionBy(*keep).parquet(path)
             if seen.get.get("lossy"):
-                self.quarantined(n).write.mode(mode).parquet(f"{root.rstrip('/')}/{QUARANTINE}/{n}")
+                bad = split_lossy(rows, contract)[1]
+                if by_date and mode == "overwrite":
+                    storage.replace_partitions(bad, aside, [DATE], covers)
+                else:
+                    bad.write.mode(mode).partitionBy(*keep).parquet(aside)
+            elif mode == "overwrite":
+                for value, folder in storage.partitions(self.spark, aside, DATE).items():
+                    if by_date and covers(value):
+                        storage.delete(self.spark, f"{aside}/{folder}")
+                if not by_date:
+                    storage.delete(self.spark, aside)
 
         for n in names:  # build plans on this thread; only execution is parallel
             self.computed(n)

@@ -492,6 +492,70 @@ def bronze_relanded_days(spark, sf_dir):
     return spark.read.parquet(path).groupBy("data_type", "event_date").agg(F.count(F.lit(1)).alias("messages"))
 
 
+def _edge_bronze(spark: SparkSession, sf_dir: str) -> str:
+    from .operators.bronze import write_bronze
+    from .session import work_dir
+
+    path = work_dir(spark, "edge_bronze", unique=True) + "/events"
+    write_bronze(_edge(spark, sf_dir), path, by_date=True)
+    return path
+
+
+@query("quarantine_after_day_ranges")
+def quarantine_after_day_ranges(spark, sf_dir):
+    """S12/2.7: quarantined raw transactions after day ranges were computed one
+    by one, the first of them twice; none of the other ranges is lost."""
+    from .plans.pipeline import QUARANTINE
+
+    path, table_name = _edge_bronze(spark, sf_dir), "raw_transactions"
+    root = path + "_tables"
+    first, second, rest = ("2024-01-01", "2024-01-01"), ("2024-01-02", "2024-01-15"), ("2024-01-16", "2024-12-31")
+    for days in (first, second, rest, first):
+        Pipeline.from_bronze(spark, path, days=days).materialize(root, (table_name,), by_date=True)
+    rows = spark.read.parquet(f"{root}/{QUARANTINE}/{table_name}")
+    return rows.select("transaction_id", "user_id", "transaction_date", "transaction_amount", "kafka_timestamp", "event_date")
+
+
+@query("untimed_rows_day_range")
+def untimed_rows_day_range(spark, sf_dir):
+    """2.7: a day range with the rows that landed on its days without a valid
+    time, in the table or in quarantine: every one has its place."""
+    from .plans.pipeline import QUARANTINE
+
+    path = _edge_bronze(spark, sf_dir)
+    root, tables = path + "_tables", ("raw_transactions", "raw_sensors")
+    Pipeline.from_bronze(spark, path, days=("2024-01-02", "2024-01-10")).materialize(root, tables, by_date=True)
+    parts = []
+    for t in tables:
+        for place, folder in (("table", f"{root}/{t}"), ("quarantine", f"{root}/{QUARANTINE}/{t}")):
+            from .storage import folders
+
+            if folders(spark, folder):
+                parts.append(spark.read.parquet(folder).select(F.lit(t).alias("table_name"), F.lit(place).alias("place"), "event_date"))
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    return rows.groupBy("table_name", "place", "event_date").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("bronze_corrected_landing")
+def bronze_corrected_landing(spark, sf_dir):
+    """F7 by date: landings after the 15th landed again with their transactions
+    a day later; messages per kind, event date and landing half."""
+    from .operators.bronze import write_bronze
+    from .session import work_dir
+
+    topic, path = _edge(spark, sf_dir), work_dir(spark, "corrected", unique=True) + "/events"
+    write_bronze(topic, path, by_date=True)
+    day = F.regexp_extract("json", '"transaction_date":"2024-01-(0[1-8])T', 1)
+    later = F.concat(F.lit('"transaction_date":"2024-01-'), F.lpad((day.cast("int") + 1).cast("string"), 2, "0"), F.lit("T"))
+    corrected = F.when(day != "", F.regexp_replace("json", F.lit('"transaction_date":"2024-01-0[1-8]T'), later)).otherwise(F.col("json"))
+    again = topic.filter(F.day("kafka_timestamp") > 15).select(corrected.alias("json"), "kafka_timestamp")
+    write_bronze(again, path, by_date=True)
+    late = (F.day("landing_date") > 15).alias("late_landing")
+    return spark.read.parquet(path).groupBy("data_type", "event_date", late).agg(F.count(F.lit(1)).alias("messages"))
+
+
 @query("loyalty_check_edge")
 def loyalty_check_edge(spark, sf_dir):
     """R1 over input with wrong points."""
