@@ -20,6 +20,7 @@ from ..operators import aggregates, bronze, dedup, parse
 from ..operators.bronze import DATE
 from ..schemas import EVENT_TIME_FIELD
 from ..sources.messages import stored_topic
+from ..streaming import store
 
 AGGREGATE_TABLES = (
     "transaction_hourly_stats",
@@ -182,15 +183,18 @@ class Pipeline:
 
 class Tables:
     """Result tables read from storage (parquet folders by table name).
-    Folders written by the streaming sink carry a ``micro_batch`` partition
-    column and ``processed_at``; reports never reference either.  Raw tables
-    are appended as delivered and hold each key once when read here."""
+    Tables of the streaming sink are read by their manifest and carry
+    ``processed_at``, which reports never reference.  Raw tables are appended
+    as delivered and hold each key once when read here."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.root}/{name}")
+        if store.has_manifest(self.spark, self.root, name):
+            df = store.stored(self.spark, self.root, name)
+        else:
+            df = self.spark.read.parquet(f"{self.root}/{name}")
         return dedup.first_delivery(df, name) if name in parse.RAW else df
 
 

@@ -40,6 +40,13 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def delete_empty(spark: SparkSession, path: str) -> None:
+    """Delete a folder that holds nothing."""
+    fs, p = _hadoop(spark, path)
+    if fs.exists(p) and not len(fs.listStatus(p)):
+        fs.delete(p, False)
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     fs, s = _hadoop(spark, source)
     t = _hadoop(spark, target)[1]

@@ -1,19 +1,21 @@
-"""Micro-batch sinks for ``foreachBatch``.
+"""Micro-batch sinks for ``foreachBatch``.
 
 ``foreachBatch`` is at-least-once: after a failure Spark re-runs the last
-batch with the same ``batch_id``.  Every sink here is therefore keyed by
-``batch_id``: the parquet sink overwrites ``<table>/micro_batch=<id>``, so a
-retry replaces its own earlier attempt and never duplicates rows.
-
-Per batch: cache once (the batch is read for the counts, the good rows and
-the quarantined rows), skip empty batches, write rows whose contract casts
-lose a value to the quarantine folder and the rest to the table.  If any of
-this fails, the whole batch goes to the fallback folder as it came (same
-batch-keyed layout), and what the table got of it is taken back where the
-sink can; if the fallback fails too the error is raised, so the batch is
-retried rather than silently committed.  Both folders lie below the table
-root unless others are named: no row is ever left without a place.  The cache
-is released in ``finally``.
+batch with the same ``batch_id``.  Every sink here is therefore keyed by run
+and ``batch_id`` (``streaming.store``): the parquet sink overwrites
+``<table>/micro_batch=<run>-<id>``, so a retry replaces its own earlier
+attempt and never duplicates rows, and a query with a new checkpoint, whose
+ids count from 0 again, has folders of its own.
+
+Per batch: one pass writes the rows that fit the contract and observes how
+many rows came and how many lose a value in its casts; only if there are some
+are they computed again, for the quarantine folder.  Empty batches leave
+nothing.  What is written is then committed to the table's manifest.  If any
+of this fails, the whole batch goes to the fallback folder as it came (same
+layout), and what the table got of it is taken back where the sink can; if the
+fallback fails too the error is raised, so the batch is retried rather than
+silently committed.  Both folders lie below the table root unless others are
+named: no row is ever left without a place.
 """
 
 from __future__ import annotations
@@ -22,16 +24,20 @@ import logging
 from collections import deque
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..contracts import CONTRACTS, lossy_flag, split_lossy
+from . import store
 
 log = logging.getLogger(__name__)
 
 
-def _batch_path(root: str, table: str, batch_id: int) -> str:
-    return f"{root.rstrip('/')}/{table}/micro_batch={int(batch_id)}"
+def run_of(df: DataFrame) -> str | None:
+    """Id of the streaming query whose batch ``df`` is: it belongs to the
+    checkpoint and stays over restarts.  None outside a query."""
+    return df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
 @dataclass
@@ -50,52 +56,56 @@ class ParquetTableSink:
         self.fallback_root = self.fallback_root or f"{self.root.rstrip('/')}/_fallback"
         self.quarantine_root = self.quarantine_root or f"{self.root.rstrip('/')}/_quarantine"
 
+    def path(self, root: str, df: DataFrame, batch_id: int) -> str:
+        return f"{root.rstrip('/')}/{store.batch_path(self.table, run_of(df), batch_id)}"
+
     def write(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(_batch_path(self.root, self.table, batch_id))
+        df.write.mode("overwrite").parquet(self.path(self.root, df, batch_id))
 
     def take_back(self, df: DataFrame, batch_id: int) -> None:
         """Empty what a failed batch may have left in the table, so that the
         fallback is its only place until it is replayed."""
-        spark = df.sparkSession
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_batch_path(self.root, self.table, batch_id))
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        storage.delete(df.sparkSession, self.path(self.root, df, batch_id))
+
+    def committed(self, df: DataFrame, batch_id: int, rows: int, lossy: int) -> None:
+        run = run_of(df)
+        entry = {"kind": "batch", "run": run, "batch": int(batch_id), "path": store.batch_path(self.table, run, batch_id), "rows": rows - lossy, "lossy": lossy, "replaces": []}
+        store.commit(df.sparkSession, self.root, self.table, entry)
 
     def _stamp(self, df: DataFrame) -> DataFrame:
         """``processed_at``: write time of the row (not part of any key)."""
         return df.withColumn("processed_at", F.current_timestamp()) if self.processed_at else df
 
     def _deliver(self, batch_df: DataFrame, batch_id: int) -> str:
-        known = self.table in CONTRACTS
-        # One job over the batch: row count and lossy-row count together
-        # (the batch is computed once and cached for the writes).
+        known, seen = self.table in CONTRACTS, Observation()
         flag = lossy_flag(self.table).cast("int") if known else F.lit(0)
-        rows, lossy = batch_df.agg(F.count(F.lit(1)), F.coalesce(F.sum(flag), F.lit(0))).first()
+        counted = batch_df.observe(seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(flag), F.lit(0)).alias("lossy"))
+        good = split_lossy(counted, self.table)[0] if known else counted
+        self.write(self._stamp(good), batch_id)
+        rows, lossy = int(seen.get["rows"]), int(seen.get["lossy"])
         if rows == 0:
+            self.take_back(batch_df, batch_id)
+            storage.delete_empty(batch_df.sparkSession, f"{self.root.rstrip('/')}/{self.table}")
             log.info("table %s batch %s empty, skipped", self.table, batch_id)
             return "empty"
         log.info("table %s batch %s: %s rows, %s quarantined", self.table, batch_id, rows, lossy)
         if log.isEnabledFor(logging.DEBUG):
             # bounded preview of the batch (5 rows), as the reference logs
             log.debug("table %s batch %s preview: %s", self.table, batch_id, batch_df.take(5))
-        good, bad = split_lossy(batch_df, self.table) if known else (batch_df, None)
         if lossy:
-            bad.write.mode("overwrite").parquet(_batch_path(self.quarantine_root, self.table, batch_id))
-        self.write(self._stamp(good), batch_id)
+            split_lossy(batch_df, self.table)[1].write.mode("overwrite").parquet(self.path(self.quarantine_root, batch_df, batch_id))
+        self.committed(batch_df, batch_id, rows, lossy)
         return "written"
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        batch_df.persist()
         try:
-            try:
-                status = self._deliver(batch_df, batch_id)
-            except Exception as err:  # noqa: BLE001 - any error goes to fallback
-                log.warning("table %s batch %s failed (%s); writing fallback", self.table, batch_id, err)
-                batch_df.write.mode("overwrite").parquet(_batch_path(self.fallback_root, self.table, batch_id))
-                self.take_back(batch_df, batch_id)
-                status = "fallback"
-            self.stats.append((batch_id, status))
-        finally:
-            batch_df.unpersist()
+            status = self._deliver(batch_df, batch_id)
+        except Exception as err:  # noqa: BLE001 - any error goes to fallback
+            log.warning("table %s batch %s failed (%s); writing fallback", self.table, batch_id, err)
+            batch_df.write.mode("overwrite").parquet(self.path(self.fallback_root, batch_df, batch_id))
+            self.take_back(batch_df, batch_id)
+            status = "fallback"
+        self.stats.append((batch_id, status))
 
 
 @dataclass
@@ -130,6 +140,18 @@ class JdbcTableSink(ParquetTableSink):
     def take_back(self, df: DataFrame, batch_id: int) -> None:
         """Rows already appended stay: a replay of the batch skips them by key."""
 
+    def committed(self, df: DataFrame, batch_id: int, rows: int, lossy: int) -> None:
+        """The database commits its own rows."""
+
+    def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        """The batch is read twice, for the range of its keys and to be
+        written, so it is cached."""
+        batch_df.persist()
+        try:
+            super().__call__(batch_df, batch_id)
+        finally:
+            batch_df.unpersist()
+
     @property
     def range_column(self) -> str | None:
         """The column that bounds the key read: window start, hour or broker time."""
