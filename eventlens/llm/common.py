@@ -69,6 +69,22 @@ def drop(*tables: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def aside(df: DataFrame):
+    """``df`` with its columns that begin with two underscores, the names that
+    operators give their own, under other names; and the function that gives
+    such names back."""
+    names, taken = {}, {c.lower() for c in df.columns}
+    for c in df.columns:
+        if c.startswith("__"):
+            new = f"kept_{len(names)}"
+            while new in taken:
+                new += "_"
+            names[c] = new
+            taken.add(new)
+    back = {new: c for c, new in names.items()}
+    return df.withColumnsRenamed(names), lambda out: out.withColumnsRenamed(back)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

@@ -17,8 +17,8 @@ when some item has them, so the shuffles carry hits and not texts.
 Defined cases: null or wordless texts have no shingle and match nothing; rows
 that share doc_id (null or not) and text are one document, rows that share an
 id but not a text are documents of their own; rows that share an item_id are
-one item, a null item_id is an id of its own; an empty table on either side
-gives no rows.
+one item, rows without one are one item per text; an empty table on either
+side gives no rows.
 Other columns are ignored by ``contamination`` and kept by ``decontaminate``.
 """
 
@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, written
+from .common import aside, text_or_empty, written
 
 WORDS_PER_SHINGLE = 5
 THRESHOLD = 0.8
@@ -47,14 +47,15 @@ def shingles(df: DataFrame, key: str, k: int = WORDS_PER_SHINGLE, by_text: bool
 
 
 def item_shingles(items: DataFrame, k: int = WORDS_PER_SHINGLE) -> DataFrame:
-    """(item_id, s, n, place): an item's distinct shingles, their number, and
-    each one's place in the item's hash order."""
+    """(item_id, tag, s, n, place): an item's distinct shingles, their number,
+    and each one's place in the item's hash order.  Items without id are told
+    apart by ``tag``, the hash of their text."""
     from pyspark.sql import Window
 
-    s = shingles(items, "item_id", k).distinct()
-    by_item = Window.partitionBy("k")  # one benchmark item's shingles
+    s = shingles(items, "item_id", k, by_text=True).select(F.col("k").alias("item_id"), F.when(F.col("k").isNull(), F.col("th")).otherwise(0).alias("tag"), "s").distinct()
+    by_item = Window.partitionBy("item_id", "tag")  # one benchmark item's shingles
     order = F.row_number().over(by_item.orderBy("s"))
-    return s.select(F.col("k").alias("item_id"), "s", F.count("*").over(by_item).alias("n"), order.alias("place"))
+    return s.select("item_id", "tag", "s", F.count("*").over(by_item).alias("n"), order.alias("place"))
 
 
 def sketch_size(n: Column, threshold: float) -> Column:
@@ -71,24 +72,25 @@ def contamination(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
 
 
 def matches(docs: DataFrame, items: DataFrame, threshold: float, k: int) -> DataFrame:
-    """(k, th, item_id, n, n_shared): the documents, by doc_id and hash of the
+    """(k, th, item_id, tag, n, n_shared): the documents, by doc_id and hash of the
     text, and the items they contain."""
     item_s = written(item_shingles(items, k), "bench-shingles")
     # Spark broadcasts this side only while its measured size is below
     # autoBroadcastJoinThreshold, and shuffles both sides beyond
     wanted = item_s.select("s").distinct()
     hits = written(shingles(docs, "doc_id", k, by_text=True).join(wanted, "s", "left_semi").distinct(), "bench-hits")
-    sketch = item_s.where(F.col("place") <= sketch_size(F.col("n"), threshold)).select("item_id", "s")
-    found = hits.join(sketch, "s").select("k", "th", "item_id").distinct()
+    sketch = item_s.where(F.col("place") <= sketch_size(F.col("n"), threshold)).select("item_id", "tag", "s")
+    found = hits.join(sketch, "s").select("k", "th", "item_id", "tag").distinct()
     # only the candidates' shingles are counted
-    h, c = hits.alias("h"), found.alias("f").join(item_s.alias("i"), F.col("f.item_id").eqNullSafe(F.col("i.item_id"))).select("k", "th", "f.item_id", "n", "s").alias("c")
+    h, c = hits.alias("h"), found.alias("f").join(item_s.alias("i"), F.col("f.item_id").eqNullSafe(F.col("i.item_id")) & (F.col("f.tag") == F.col("i.tag"))).select("k", "th", "f.item_id", "f.tag", "n", "s").alias("c")
     same = F.col("h.k").eqNullSafe(F.col("c.k")) & (F.col("h.th") == F.col("c.th")) & (F.col("h.s") == F.col("c.s"))
-    verified = c.join(h, same).groupBy("c.k", "c.th", "item_id", "n").agg(F.count("*").alias("n_shared"))
+    verified = c.join(h, same).groupBy("c.k", "c.th", "item_id", "tag", "n").agg(F.count("*").alias("n_shared"))
     return verified.where(F.col("n_shared") >= F.lit(threshold) * F.col("n") - F.lit(1e-9))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, k: int = WORDS_PER_SHINGLE) -> DataFrame:
     """The documents that contain no item."""
     found = written(matches(docs, items, threshold, k).select(F.col("k").alias("__leak"), F.col("th").alias("__th")).distinct(), "bench-leaks")
+    docs, back = aside(docs)
     leaks = F.col("doc_id").eqNullSafe(F.col("__leak")) & (F.xxhash64(text_or_empty()) == F.col("__th"))
-    return docs.join(found, leaks, "left_anti").select(*docs.columns)
+    return back(docs.join(found, leaks, "left_anti").select(*docs.columns))

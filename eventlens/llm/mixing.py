@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, global_rank, text_or_empty, written
+from .common import WORD, aside, global_rank, text_or_empty, written
 
 
 def draw(seed: int, doc_id: Column) -> Column:
@@ -92,8 +92,9 @@ def mix(docs: DataFrame, **params) -> DataFrame:
         F.col("source").alias("__source"),
         F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("__rate"),
     )
+    docs, back = aside(docs)
     d = docs.join(rates, F.col("source").cast("string").eqNullSafe(F.col("__source")))
     whole = F.floor("__rate")
     copies = (whole + F.when(draw(seed, F.col("doc_id")) < F.col("__rate") - whole, 1).otherwise(0)).cast("int")
     kept = d.withColumn("__copies", copies).where("__copies > 0")
-    return kept.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    return back(kept.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__copies")))).select(*docs.columns))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, written
+from .common import aside, text_or_empty, written
 from .components import connected_components
 
 SHINGLE_WORDS = 3
@@ -213,6 +213,7 @@ def dedup(docs: DataFrame, k: int = SHINGLE_WORDS, radius: int = MAX_BITS) -> Da
     order = F.struct(F.col("doc_id").isNull().alias("bare"), F.col("doc_id").alias("id"), "th")
     kept = prints.join(by_fp, "fp").groupBy("root").agg(F.min(order).alias("x")).select(F.col("x.id").alias("__keep"), F.col("x.th").alias("__th"))
     one = written(kept, "simhash-kept")
+    docs, back = aside(docs)
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__keep")) & (F.xxhash64(text_or_empty()) == F.col("__th"))
     # rows that share id and text: any of them, chosen by a combining aggregate
-    return docs.join(one, same).dropDuplicates(["__keep", "__th"]).select(*docs.columns)
+    return back(docs.join(one, same).dropDuplicates(["__keep", "__th"]).select(*docs.columns))

@@ -27,7 +27,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, written
+from .common import ascii_lower, aside, written
 
 #: Distinct labelled URLs that the trees are fitted on, at most (in expectation).
 MAX_TRAINING = 20_000
@@ -97,7 +97,13 @@ def lexical(df: DataFrame, url: str, host: str, path: str) -> DataFrame:
 
 
 def judge(pages: DataFrame, rules, max_training: int = MAX_TRAINING) -> DataFrame:
-    """The input with __host, __path, __rule and __verdict."""
+    """The input with __host, __path, __rule and __verdict, in place of any
+    columns it has by these names."""
+    pages, back = aside(pages.drop("__host", "__path", "__rule", "__verdict"))
+    return back(_judged(pages, rules, max_training))
+
+
+def _judged(pages: DataFrame, rules, max_training: int) -> DataFrame:
     parts = pages.withColumn("__host", host_of(F.col("url").cast("string"))).withColumn("__path", path_of(F.col("url").cast("string")))
     rule, verdict = match_rules(rules, F.col("__host"), F.col("__path"))
     ruled = parts.withColumn("__rule", rule).withColumn("__ruled", verdict)
