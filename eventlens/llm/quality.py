@@ -6,8 +6,8 @@ over those bits, so verdicts under another policy, and what each rule alone
 removes, need only bitwise operations on the ledger and never the texts.
 
 Main path: built-in functions only.  Repeated three-word windows are found
-inside the row: windows are hashed, packed as (hash, position) into longs,
-sorted, and equal neighbours are compared word hash by word hash.
+inside the row: windows are hashed to 64 bits and sorted by hash and position,
+so equal windows are neighbours, at any length of the text.
 
 Defined cases: a null or blank text has no words and fails ``few_words``;
 repeated rows are judged alike; texts of any length are read whole; an empty
@@ -24,8 +24,6 @@ from pyspark.sql import functions as F
 
 from .common import WORD, text_or_empty
 
-#: Position bits of a packed window; texts with more words sort structs instead.
-POSITION_BITS = 24
 SYMBOLS = "#*$%&|<>"
 
 
@@ -73,35 +71,18 @@ def measurements(docs: DataFrame) -> DataFrame:
 
 def _repeat_words(w: Column, n: Column) -> Column:
     """Words covered by three-word windows that occur twice or more."""
-    low = (1 << POSITION_BITS) - 1
     starts = F.sequence(F.lit(0), (n - 3).cast("int"))
     window_hash = lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
     empty = F.array().cast("array<bigint>")
-
-    def same(x: Column, y: Column) -> Column:
-        """Both windows hold the same three words."""
-        i, j = x.bitwiseAND(F.lit(low)).cast("int"), y.bitwiseAND(F.lit(low)).cast("int")
-        equal = F.shiftright(x, POSITION_BITS) == F.shiftright(y, POSITION_BITS)
-        for k in range(3):
-            equal = equal & (F.get(w, i + k) == F.get(w, j + k))
-        return F.coalesce(equal, F.lit(False))
-
-    packed = F.sort_array(F.transform(starts, lambda i: F.shiftleft(F.shiftright(window_hash(i), POSITION_BITS), POSITION_BITS).bitwiseOR(i.cast("long"))))
+    # by hash, then place: equal windows are neighbours whatever their number
+    pairs = F.sort_array(F.transform(starts, lambda i: F.struct(window_hash(i).alias("h"), i.cast("long").alias("i"))))
 
     def repeated(sorted_: Column) -> Column:
-        # two neighbours on either side: a single other window with the same
-        # leading hash bits cannot hide a pair
-        near = lambda x, k: same(x, F.get(sorted_, k - 1)) | same(x, F.get(sorted_, k + 1)) | same(x, F.get(sorted_, k - 2)) | same(x, F.get(sorted_, k + 2))
-        return F.transform(F.filter(sorted_, near), lambda x: x.bitwiseAND(F.lit(low)))
-
-    pairs = F.array_sort(F.transform(starts, lambda i: F.struct(window_hash(i).alias("h"), i.cast("long").alias("i"))))
-
-    def repeated_pairs(sorted_: Column) -> Column:
-        near = lambda x, k: F.coalesce(x["h"] == F.get(sorted_, k - 1)["h"], F.lit(False)) | F.coalesce(x["h"] == F.get(sorted_, k + 1)["h"], F.lit(False))
-        return F.transform(F.filter(sorted_, near), lambda x: x["i"])
+        same = lambda x, k: F.coalesce(x["h"] == F.get(sorted_, k)["h"], F.lit(False))
+        return F.transform(F.filter(sorted_, lambda x, k: same(x, k - 1) | same(x, k + 1)), lambda x: x["i"])
 
     let = lambda value, body: F.get(F.transform(F.array(value), body), F.lit(0))
-    found = F.when(n < 3, empty).when(n < F.lit(1 << POSITION_BITS), let(packed, repeated)).otherwise(let(pairs, repeated_pairs))
+    found = F.when(n < 3, empty).otherwise(let(pairs, repeated))
     covered = lambda at: F.aggregate(F.transform(at, lambda i, k: F.least(F.lit(3).cast("long"), F.coalesce(F.get(at, k + 1) - i, F.lit(3).cast("long")))), F.lit(0).cast("long"), lambda a, b: a + b)
     return let(F.sort_array(found), covered)
 

@@ -35,8 +35,7 @@ def test_ledger_against_brute_force(llm):
     same_rows(got, [(r[0], *(m := measure(r[1])), bits(*m)) for r in rows])
 
 
-def test_texts_beyond_the_position_bits(llm, monkeypatch):
-    monkeypatch.setattr(quality, "POSITION_BITS", 4)
+def test_repeated_windows(llm):
     rows = rows_()[:-4]
     got = quality.ledger(frame(llm, rows)).select("doc_id", "n_repeat_words").collect()
     same_rows(got, [(r[0], measure(r[1])[-1]) for r in rows])
