@@ -9,7 +9,7 @@ failing the whole batch.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -240,6 +240,9 @@ CONTRACTS: dict[str, Contract] = {
     ]
 }
 
+# the same table with the real anomaly count
+CONTRACTS["hourly_metrics_ext"] = replace(CONTRACTS["hourly_metrics"], name="hourly_metrics_ext")
+
 
 def _cast(col: Column, dtype: str) -> Column:
     """ANSI-safe cast: a value that does not fit, or a text that is no time,

@@ -715,3 +715,53 @@ def _edge_oracles() -> dict[str, str]:
 
 
 ORACLES.update(_edge_oracles())
+
+
+# -- deliveries that go wrong ---------------------------------------------------
+
+def _delivery_oracles() -> dict[str, str]:
+    eid = "CAST(substr(transaction_id, 4) AS BIGINT)"
+    mixed = "SELECT event_time FROM Tx UNION ALL SELECT event_time FROM Nx WHERE status IN ('warning', 'critical')"
+    ext = with_tables(
+        f"""SELECT h.hour, h.total_transactions, h.total_amount, h.avg_transaction_amount,
+    CAST(COALESCE(a.anomalies, 0) AS INTEGER) AS anomaly_count, TRUE AS active_users_within_tolerance
+  FROM hourly_metrics h LEFT JOIN (
+    SELECT {bucket('event_time', 3600)} AS hour, COUNT(*) AS anomalies
+    FROM Nx WHERE status IN ('warning', 'critical') GROUP BY 1) a ON a.hour = h.hour
+  WHERE h.hour + INTERVAL 1 HOUR <= (SELECT MAX(event_time) FROM ({mixed})) - INTERVAL 1 HOUR""",
+        "hourly_metrics",
+    )
+    return {
+        "late_rows_payment_method_stats": fixtures_only(
+            f"""SELECT transaction_id, payment_method, event_time FROM Tx
+  WHERE {eid} % 97 = 5 AND {bucket('event_time', 1800)} + INTERVAL 30 MINUTE
+    <= (SELECT MAX(event_time) FROM Tx WHERE {eid} % 97 <> 5) - INTERVAL 30 MINUTE"""
+        ),
+        "late_corrected_payment_method_stats": ORACLES["stream_payment_method_stats"],
+        "replayed_raw_transactions": ORACLES["contract_raw_transactions"],
+        "replayed_quarantine": f"WITH {EDGE}\n" + """SELECT transaction_id,
+    CASE fault WHEN 3 THEN CAST(9000000000 AS DECIMAL(12,2)) ELSE amt END AS transaction_amount,
+    coalesce(event_time, date_trunc('second', kafka_timestamp)) AS transaction_date, kafka_timestamp
+  FROM Te WHERE fault <> 4""",
+        "merged_raw_transactions": ORACLES["contract_raw_transactions"],
+        "batch_hourly_metrics_mixed": ORACLES["batch_hourly_metrics_ext"],
+        "stream_hourly_metrics_ext": ext,
+        "users_by_day_from_sketches": fixtures_only(
+            """SELECT date_trunc('day', event_time) AS period, COUNT(DISTINCT date_trunc('hour', event_time)) AS hours,
+    COUNT(DISTINCT user_id) AS exact_users, TRUE AS within_bound FROM Tx GROUP BY 1"""
+        ).replace("date_trunc('day', event_time) AS period", "CAST(date_trunc('day', event_time) AS TIMESTAMP) AS period"),
+        "rescued_transaction_fields": fixtures_only(
+            f"""SELECT transaction_id, 'user_age' AS field, CAST(user_age AS VARCHAR) || ' years' AS raw FROM Tx WHERE {eid} % 50 = 10
+  UNION ALL SELECT transaction_id, 'transaction_amount', 'lost ' || substr(transaction_id, 4) FROM Tx WHERE {eid} % 50 = 11
+  UNION ALL SELECT transaction_id, 'coupon', 'C' || substr(transaction_id, 4) FROM Tx WHERE {eid} % 50 = 12"""
+        ),
+        "parse_transactions_mistyped": fixtures_only(
+            f"""SELECT transaction_id, CASE WHEN {eid} % 50 <> 10 THEN user_age END AS user_age,
+    CASE WHEN {eid} % 50 <> 11 THEN transaction_amount END AS transaction_amount, payment_method,
+    CASE WHEN {eid} % 50 IN (10, 11, 12) THEN 1 ELSE 0 END AS n_rescued FROM Tx"""
+        ),
+        "range_last_24h_stored": ORACLES["range_last_24h"],
+    }
+
+
+ORACLES.update(_delivery_oracles())

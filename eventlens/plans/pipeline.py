@@ -9,6 +9,7 @@ the written tables, which also cuts the lineage.
 
 from __future__ import annotations
 
+from datetime import timedelta
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import storage
 from ..contracts import lossy_flag, split_lossy
 from ..functions.time import parse_event_time
-from ..operators import aggregates, bronze, dedup, parse
+from ..operators import aggregates, bronze, dedup, merge, parse
 from ..operators.bronze import DATE
 from ..schemas import EVENT_TIME_FIELD
 from ..sources.messages import stored_topic
@@ -191,6 +192,8 @@ class Tables:
         self.spark, self.root = spark, root.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
+        if merge.is_merged(self.spark, self.root, name):
+            return self.spark.read.parquet(f"{self.root}/{name}")  # each key once as stored
         if store.has_manifest(self.spark, self.root, name):
             df = store.stored(self.spark, self.root, name)
         else:
@@ -198,6 +201,33 @@ class Tables:
         return dedup.first_delivery(df, name) if name in parse.RAW else df
 
 
+class RecentTables(Tables):
+    """Date-partitioned tables cut to their last hours (K4).
+
+    The anchor is the greatest time in the newest date partition, which is
+    found by listing folders; only that partition is read for it, and the
+    tables are then read from the first date needed (partition filter)."""
+
+    def __init__(self, spark: SparkSession, root: str, hours: int):
+        super().__init__(spark, root)
+        self.hours = hours
+
+    def table(self, name: str) -> DataFrame:
+        from pyspark.sql import functions as F
+
+        df, path = super().table(name), f"{self.root}/{name}"
+        time = next(c for c in ("window_start", "hour", "transaction_date", "timestamp") if c in df.columns)
+        anchor = None
+        for newest in sorted((d for d in storage.partitions(self.spark, path, DATE) if d is not None), reverse=True):
+            anchor = df.filter(F.col(DATE) == F.lit(newest).cast("date")).agg(F.max(time)).first()[0]
+            if anchor is not None:
+                break
+        if anchor is None:
+            return df
+        start = anchor - timedelta(hours=self.hours)
+        return df.filter((F.col(DATE) >= F.lit(start.date())) & (F.col(time) > F.lit(start)))
+
+
 class JdbcTables:
     """Result tables read over JDBC (S14).  Reports select few columns and
     Spark pushes column pruning and filters into the database query; a

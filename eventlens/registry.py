@@ -579,3 +579,6 @@ def batch_id_check_edge(spark, sf_dir):
 def sensor_unit_edge(spark, sf_dir):
     """R3 over input with wrong units."""
     return derived.sensor_unit_check(parse.typed(_edge(spark, sf_dir), "sensor"))
+
+
+from . import delivery_queries  # noqa: E402, F401 - registers its queries

@@ -57,3 +57,29 @@ def edge_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = [c for c in t.columns if c not in ("_eid", "kafka_timestamp")]
     text = F.when(_is(F.col("_eid"), MALFORMED), F.lit('{"data_type": "transaction", "user')).otherwise(F.to_json(F.struct(*payload)))
     return t.select(text.alias("json"), "kafka_timestamp").select(*encoded).unionByName(encode_events(edge_sensors(spark, sf_dir)))
+
+
+#: remainder of the event id by EVERY -> a field of the wrong type, or unknown
+AGE_TEXT, AMOUNT_TEXT, UNDECLARED, NAME_NUMBER = 10, 11, 12, 13
+
+
+def mistyped_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(json, kafka_timestamp): the fixture transactions with ages and amounts
+    as text, a field that no schema declares, and a number as a name (which
+    reads as text and is not lost)."""
+    topic = encode_events(fixtures.transactions(spark, sf_dir))
+    number = F.regexp_extract("json", '"transaction_id":"tx_([0-9]+)"', 1)
+    eid, text = number.cast("long"), F.col("json")
+
+    def field(name: str, pattern: str, value: Column) -> Column:
+        return F.regexp_replace(text, F.lit(f'"{name}":{pattern}'), F.concat(F.lit(f'"{name}":'), value))
+
+    age = F.regexp_extract("json", '"user_age":([0-9]+)', 1)
+    wrong = (
+        F.when(_is(eid, AGE_TEXT), field("user_age", "[0-9]+", F.concat(F.lit('"'), age, F.lit(' years"'))))
+        .when(_is(eid, AMOUNT_TEXT), field("transaction_amount", "[0-9.E]+", F.concat(F.lit('"lost '), number, F.lit('"'))))
+        .when(_is(eid, UNDECLARED), F.concat(F.lit('{"coupon":"C'), number, F.lit('",'), F.substring(text, 2, 1 << 30)))
+        .when(_is(eid, NAME_NUMBER), field("user_name", '"[^"]*"', number))
+        .otherwise(text)
+    )
+    return topic.select(wrong.alias("json"), "kafka_timestamp")

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import aggregates, bronze, dedup, parse
+from .late import LateRows
 from .sinks import ParquetTableSink
 
 log = logging.getLogger(__name__)
@@ -49,6 +50,8 @@ AVAILABLE_NOW = Trigger(processing_time=None, available_now=True)
 
 
 REJECTED_TABLE = "rejected_messages"
+#: hourly metrics with the anomaly count of the sensors (opt-in)
+EXTENDED_TABLE = "hourly_metrics_ext"
 
 
 def table_stream(messages: DataFrame, table: str, dedup_within: str | None = None) -> DataFrame:
@@ -59,6 +62,8 @@ def table_stream(messages: DataFrame, table: str, dedup_within: str | None = Non
     JSON, missing or unknown kind, with their raw text."""
     if table == REJECTED_TABLE:
         return parse.rejected(parse.parsed(messages))
+    if table == EXTENDED_TABLE:
+        return aggregates.hourly_metrics_mixed(aggregates.mixed_from_messages(messages), conform_output=False)
     if table in aggregates.SPECS:
         spec = aggregates.SPECS[table]
         return aggregates.build(spec, aggregates.prepare(messages, spec.kind), conform_output=False)
@@ -71,6 +76,9 @@ def table_stream(messages: DataFrame, table: str, dedup_within: str | None = Non
 def table_stream_from_events(events_of, table: str, dedup_within: str | None = None) -> DataFrame:
     """Streaming DataFrame for one result table, from typed events
     (``events_of(kind)``, e.g. the bronze stream)."""
+    if table == EXTENDED_TABLE:
+        rows = aggregates.mixed_from_events(events_of("transaction"), events_of("sensor"))
+        return aggregates.hourly_metrics_mixed(rows, conform_output=False)
     if table in aggregates.SPECS:
         spec = aggregates.SPECS[table]
         return aggregates.build(spec, events_of(spec.kind), conform_output=False)
@@ -110,6 +118,26 @@ def start_table_query(
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
 
 
+def start_late_query(
+    events: DataFrame,
+    table: str,
+    root: str,
+    checkpoint_root: str,
+    trigger: Trigger = Trigger(),
+    through: bool = True,
+    name_prefix: str = "",
+) -> StreamingQuery:
+    """The late-row side output of one aggregate, over its typed events."""
+    name = f"{name_prefix}late_{table}"
+    writer = (
+        events.writeStream.queryName(name)
+        .outputMode("append")
+        .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/{name}")
+        .foreachBatch(LateRows(root, table, through))
+    )
+    return trigger.apply(writer).start()
+
+
 def start_pipeline_via_bronze(
     messages: DataFrame,
     bronze_path: str,

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from .. import storage
 from ..contracts import CONTRACTS, lossy_flag, split_lossy
+from ..operators import merge
 from . import store
 
 log = logging.getLogger(__name__)
@@ -108,6 +109,23 @@ class ParquetTableSink:
         self.stats.append((batch_id, status))
 
 
+@dataclass
+class MergedTableSink(ParquetTableSink):
+    """Merges the batches of a raw table into its dates (``operators.merge``):
+    each key is stored once, and a batch that runs again changes nothing."""
+
+    processed_at: bool = False
+
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        merge.merge(df, self.root, self.table)
+
+    def take_back(self, df: DataFrame, batch_id: int) -> None:
+        """Rows already merged stay: merging them again changes nothing."""
+
+    def committed(self, df: DataFrame, batch_id: int, rows: int, lossy: int) -> None:
+        """The dates are swapped in whole; there are no batch folders."""
+
+
 @dataclass
 class JdbcTableSink(ParquetTableSink):
     """Append to a JDBC table (S6), with the contract's column types used
