@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import struct
 import uuid
 import zlib
@@ -34,23 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import range_coder
+from . import range_coder, word_cutter
 from .common import child, open_fs, written
 
 END_ID = 2
 MAGIC = b"TOKIDS01"
 _FOOTER = "<QQQ8s"  # offset of the document table, documents, ids, magic
-#: Words remembered by a worker, dropped together when there are more.
-_REMEMBERED = 1_600_000
-#: The byte-level pre-tokenizer's words, for texts of the characters below.
-_WORDS = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-#: How byte-level vocabularies spell bytes: printable ones as themselves, the
-#: others by the characters from 256 on, in order.
-_OTHERS = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
-_SPELLING = {b: 256 + i for i, b in enumerate(_OTHERS)}
-#: Anything but printable ASCII, tab, line ends and Latin letters and signs
-#: whose classes are beyond doubt; superscripts and fractions are digits to some.
-_OTHER = re.compile("[^\t\n\r -~\u00a1-\u00b1\u00b4\u00b6-\u00b8\u00ba\u00bb\u00bf-\u017f]")
+#: Characters encoded at a time.
+_CHARACTERS = 1 << 19
 
 
 class _Encoder:
@@ -58,8 +48,8 @@ class _Encoder:
 
     A byte-level tokenizer encodes the words of its pre-tokenizer one by one.
     For such a tokenizer, texts in common characters are cut into these words
-    here, and the tokenizer's model is asked once per distinct word.  All
-    other texts go to the tokenizer as they are.
+    here (``word_cutter``), and the tokenizer's model is asked for words that
+    are new.  All other texts go to the tokenizer as they are.
     """
 
     def __init__(self, path: str):
@@ -72,7 +62,7 @@ class _Encoder:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
-        self.words: dict[str, bytes] = {}
+        self.words = word_cutter.Words(self.tokenizer.model.tokenize)
         self.by_word = (
             not spec.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
             and not any(c.isspace() for t in self.added for c in t)
@@ -81,21 +71,29 @@ class _Encoder:
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[str]) -> None:
-        pieces = self.tokenizer.model.tokenize
-        for w in new:
-            spelt = w.encode().decode("latin-1").translate(_SPELLING)
-            self.words[w] = array("I", [x.id for x in pieces(spelt)]).tobytes()
-
     def encode(self, texts: list[str]) -> list[bytes]:
-        whole = [not self.by_word or _OTHER.search(t) is not None or any(x in t for x in self.added) for t in texts]
-        direct = iter(self._ids([t for t, w in zip(texts, whole) if w]))
-        cut = [None if w else _WORDS.findall(t) for t, w in zip(texts, whole)]
-        if len(self.words) > _REMEMBERED:
-            self.words.clear()
-        self._learn(list(set().union(*[c for c in cut if c is not None]).difference(self.words)))
-        of = self.words.__getitem__
-        return [next(direct) if c is None else b"".join(map(of, c)) for c in cut]
+        out: list[list[bytes]] = [[] for _ in texts]
+        held, of, size = [], [], 0
+
+        def flush() -> None:
+            nonlocal held, of, size
+            ids = self.words.encode(held) if held else []
+            for d, x in zip(of, self._ids(held) if ids is None else ids):
+                out[d].append(bytes(x.data) if isinstance(x, np.ndarray) else x)
+            held, of, size = [], [], 0
+
+        for d, t in enumerate(texts):
+            if not self.by_word or word_cutter.UNCOMMON.search(t) or any(x in t for x in self.added):
+                out[d] += self._ids([t])
+                continue
+            for p in word_cutter.pieces(t):
+                held.append(p)
+                of.append(d)
+                size += len(p)
+                if size >= _CHARACTERS:
+                    flush()
+        flush()
+        return [b"".join(x) for x in out]
 
 
 @lru_cache(maxsize=2)
