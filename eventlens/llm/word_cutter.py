@@ -8,8 +8,9 @@ word of the pre-tokenizer
 begins.  Words of at most ``LONGEST`` characters are packed into three
 integers, which tell them apart exactly, so distinct words of a batch are found
 by sorting.  Their ids come from a table kept between batches, also sorted
-arrays; the tokenizer's model is asked for the words that are not in it.  The
-table is dropped when it holds over ``MOST`` words.
+arrays; the tokenizer's model is asked for the words that are not in it.  When
+the table holds over ``MOST`` words, those that no batch asked for again since
+the last time are dropped, or all if that is not half of them.
 """
 
 from __future__ import annotations
@@ -24,13 +25,14 @@ import numpy as np
 #: others by the characters from 256 on, in order.
 _OTHERS = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
 _SPELLING = {b: 256 + i for i, b in enumerate(_OTHERS)}
-_SPACE = chr(_SPELLING[32])
 #: Anything but printable ASCII, tab, line ends and Latin letters and signs
 #: whose classes are beyond doubt; superscripts and fractions are digits to some.
 UNCOMMON = re.compile("[^\t\n\r -~¡-±´¶-¸º»¿-ſ]")
 _CHARACTERS, _BITS, _PER = 0x180, 9, 7
 LONGEST, MOST, RECENT = 3 * _PER, 700_000, 40_000
 _BREAK, _WHITE, _LETTER, _DIGIT, _SIGN = range(5)
+#: How the vocabulary spells common characters.
+_SPELT = {chr(c): chr(c).encode().decode("latin-1").translate(_SPELLING) for c in range(_CHARACTERS)}
 _CLASS = np.array(
     [_BREAK] + [_WHITE if chr(c).isspace() else _LETTER if re.match(r"[^\W\d_]", chr(c)) else _DIGIT if re.match(r"\d", chr(c)) else _SIGN for c in range(1, _CHARACTERS)], np.uint8
 )
@@ -66,27 +68,38 @@ class Words:
         self.clear()
 
     def clear(self) -> None:
-        none = tuple(np.zeros(0, np.uint64) for _ in range(4)) + (np.zeros(0, np.int64), np.zeros(0, np.int32))
-        self.tables = [none, none]  # all, recent: hash, three parts, place and number of ids
+        none = tuple(np.zeros(0, np.uint64) for _ in range(4)) + (np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, bool))
+        self.tables = [none, none]  # all, recent: hash, three parts, place and number of ids, asked for again
         self.pool, self.filled = np.zeros(1 << 16, np.uint32), 0
 
+    def _forget(self) -> None:
+        kept = tuple(a[self.tables[0][6]] for a in self.tables[0])
+        if 2 * len(kept[0]) > MOST:
+            self.clear()
+            return
+        size = kept[5]
+        at = np.cumsum(size) - size
+        ids = self.pool[np.arange(size.sum()) + np.repeat(kept[4] - at, size)]
+        self.clear()
+        self._hold(ids)
+        self.tables[0] = (*kept[:4], at.astype(np.int64), size, np.zeros(len(size), bool))
+
+    def _hold(self, ids: np.ndarray) -> None:
+        need = self.filled + len(ids)
+        if need > len(self.pool):
+            self.pool = np.concatenate([self.pool[: self.filled], np.zeros(max(need, len(self.pool)), np.uint32)])
+        self.pool[self.filled : need] = ids
+        self.filled = need
+
     def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        flat, sizes = array("I"), []
+        flat, sizes, spelt = array("I"), [], _SPELT.__getitem__
         for w in words:
-            if w.isascii() and w[1:].isalpha():
-                w = _SPACE + w[1:] if w[0] == " " else w if w[0].isalpha() else w.translate(_SPELLING)
-            else:
-                w = w.encode().decode("latin-1").translate(_SPELLING)
-            ids = [x.id for x in self.tokenize(w)]
+            ids = [x.id for x in self.tokenize("".join(map(spelt, w)))]
             flat.extend(ids)
             sizes.append(len(ids))
-        need = self.filled + len(flat)
-        if need > len(self.pool):
-            self.pool = np.concatenate([self.pool[: self.filled], np.zeros(max(need, len(self.pool)), np.uint32)])
-        self.pool[self.filled : need] = np.frombuffer(flat, np.uint32) if flat else 0
         size = np.array(sizes, np.int32)
         place = self.filled + np.cumsum(size) - size
-        self.filled = need
+        self._hold(np.array(flat, np.uint32))
         return place.astype(np.int64), size
 
     def _add(self, rows: tuple) -> None:
@@ -100,8 +113,8 @@ class Words:
     def ids(self, joined: str, codes: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of all words in order and their number per word; None if two
         words of the batch have one hash."""
-        if len(self.tables[0][0]) > MOST:
-            self.clear()
+        if len(self.tables[0][0]) > MOST:  # the recent words go as well
+            self._forget()
         parts = np.zeros((3, len(start)), np.uint64)
         live = np.arange(len(start))
         for k in range(LONGEST):
@@ -124,12 +137,13 @@ class Words:
                 at = np.minimum(np.searchsorted(table[0], distinct), len(table[0]) - 1)
                 hit = (table[0][at] == distinct) & (table[1][at] == mine[0]) & (table[2][at] == mine[1]) & (table[3][at] == mine[2])
                 place[hit], size[hit] = table[4][at[hit]], table[5][at[hit]]
+                table[6][at[hit]] = True
         new = np.flatnonzero(place < 0)
         if len(new):
             words = [joined[a : a + n] for a, n in zip(start[first[new]].tolist(), length[first[new]].tolist())]
             place[new], size[new] = self._learn(words)
             keep = new[mine[0][new] >> np.uint64(63) == 0]
-            self._add((distinct[keep], mine[0][keep], mine[1][keep], mine[2][keep], place[keep], size[keep]))
+            self._add((distinct[keep], mine[0][keep], mine[1][keep], mine[2][keep], place[keep], size[keep], np.zeros(len(keep), bool)))
         number = size[which]
         total = np.cumsum(number)
         flat = np.arange(total[-1] if len(total) else 0) + np.repeat(place[which] - total + number, number)
