@@ -6,6 +6,8 @@
   python -m eventlens.app batch --files /landing/topic --out /shared/tables [--bronze /shared/bronze]
       [--by-date [--days 2024-01-05 2024-01-06]]
   python -m eventlens.app report --tables /shared/tables [--panel rpt_amount_by_city ...]
+  python -m eventlens.app compact --tables /shared/tables [--name raw_transactions ...] [--full]
+  python -m eventlens.app replay --tables /shared/tables [--source fallback|quarantine]
 
 Paths should be shared storage on a cluster.  Every streaming query is
 named and checkpointed below ``--checkpoints``, so a restart resumes.
@@ -24,6 +26,7 @@ from .plans.pipeline import ALL_TABLES, JdbcTables, Pipeline, Tables
 from .session import build_session
 from .sources.files import read_messages
 from .sources.kafka import KafkaSource
+from .streaming import replay, store
 from .streaming.runner import (
     AVAILABLE_NOW,
     STREAM_TABLES,
@@ -31,6 +34,7 @@ from .streaming.runner import (
     Trigger,
     start_pipeline,
     start_pipeline_via_bronze,
+    start_shared_pipeline,
     supervise,
 )
 from .streaming.sinks import JdbcTableSink
@@ -108,6 +112,17 @@ def main(argv=None) -> int:
     s.add_argument("--trigger", default="30 seconds")
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--tables", nargs="*", default=list(STREAM_TABLES + tuple(parse.RAW)))
+    s.add_argument("--shared", action="store_true", help="aggregates of one kind and window share a query (without --bronze)")
+
+    k = sub.add_parser("compact", help="merge the committed batches of streamed tables into date partitions")
+    k.add_argument("--tables", required=True, help="folder of result tables")
+    k.add_argument("--name", nargs="*", default=list(STREAM_TABLES + tuple(parse.RAW)))
+    k.add_argument("--full", action="store_true", help="merge earlier compactions as well")
+
+    y = sub.add_parser("replay", help="take fallback or quarantine back into the tables")
+    y.add_argument("--tables", required=True, help="folder of result tables")
+    y.add_argument("--name", nargs="*", default=list(STREAM_TABLES + tuple(parse.RAW)))
+    y.add_argument("--source", choices=["fallback", "quarantine"], default="fallback")
 
     b = sub.add_parser("batch", help="backfill all result tables from stored messages")
     _add_source_args(b)
@@ -123,6 +138,7 @@ def main(argv=None) -> int:
     g.add_argument("--tables", help="folder of result tables")
     g.add_argument("--jdbc-url", help="database of result tables")
     _add_jdbc_args(r)
+    r.add_argument("--jdbc-partitions", type=int, default=8, help="tasks that share the read of a database table")
     r.add_argument("--panel", nargs="*", default=None)
     r.add_argument("--out", default=None, help="write the panels here instead of printing their rows")
 
@@ -139,7 +155,7 @@ def main(argv=None) -> int:
                 args.bronze_files_per_trigger, jdbc_sink_of(args),
             )
         else:
-            queries = start_pipeline(
+            queries = (start_shared_pipeline if args.shared else start_pipeline)(
                 messages, args.out, args.checkpoints, args.tables, trigger, args.fallback, args.quarantine,
                 jdbc_sink_of(args),
             )
@@ -150,6 +166,18 @@ def main(argv=None) -> int:
             progress.detach(spark)
         return 0
 
+    if args.cmd == "compact":
+        for name in args.name:
+            if store.has_manifest(spark, args.tables, name):
+                entry = store.compact(spark, args.tables, name, full=args.full)
+                print(json.dumps({"table": name, "rows": entry and entry["rows"]}))
+        return 0
+
+    if args.cmd == "replay":
+        for name in args.name:
+            print(json.dumps({"table": name, "taken": replay.replay(spark, args.tables, name, f"_{args.source}")}))
+        return 0
+
     if args.cmd == "batch":
         messages = _source(spark, args, streaming=False)
         if args.days and not (args.by_date and args.bronze):
@@ -164,7 +192,7 @@ def main(argv=None) -> int:
         return 0
 
     if args.cmd == "report":
-        stored = JdbcTables(spark, args.jdbc_url, _jdbc_properties(args)) if args.jdbc_url else Tables(spark, args.tables)
+        stored = JdbcTables(spark, args.jdbc_url, _jdbc_properties(args), partitions=args.jdbc_partitions) if args.jdbc_url else Tables(spark, args.tables)
         if args.out:
             print(json.dumps(reports.refresh(stored, args.out, args.panel)))
             return 0

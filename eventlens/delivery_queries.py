@@ -10,16 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .contracts import conform
-from .operators import aggregates, bronze, rescue, sketches
+from .operators import aggregates, bronze, parse, rescue, sketches
 from .plans import reports
 from .plans.pipeline import Pipeline, RecentTables
-from .registry import active_users_exact, bronze_dir, query, run_stream_table
+from .registry import active_users_exact, bronze_dir, query, replay_dir, run_stream_table
 from .session import work_dir
 from .sources.edge import edge_topic, mistyped_topic
 from .sources.files import read_messages
 from .sources.messages import stored_topic
 from .streaming import late, replay, store
-from .streaming.runner import AVAILABLE_NOW, start_late_query, start_table_query
+from .streaming.runner import AVAILABLE_NOW, STREAM_TABLES, start_late_query, start_shared_pipeline, start_table_query, supervise
 from .streaming.sinks import MergedTableSink, ParquetTableSink
 
 #: Transactions whose id leaves this remainder arrive after all others.
@@ -149,6 +149,24 @@ def stream_hourly_metrics_ext(spark, sf_dir):
     )
 
 
+@query("stream_shared_tables")
+def stream_shared_tables(spark, sf_dir):
+    """All tables by the shared queries: rows and, where the table has
+    one, total of what each wrote."""
+    base, prefix = work_dir(spark, "shared", unique=True), f"q{uuid.uuid4().hex[:8]}_"
+    messages = read_messages(spark, replay_dir(spark, sf_dir, "parquet"), "parquet", streaming=True)
+    supervise(spark, start_shared_pipeline(messages, f"{base}/tables", f"{base}/checkpoints", trigger=AVAILABLE_NOW, name_prefix=prefix))
+    totals = {"transaction_hourly_stats": "total_amount", "top_users": "total_spent", "payment_method_stats": "total_amount", "hourly_metrics": "total_amount", "raw_transactions": "transaction_amount"}
+    parts = []
+    for t in STREAM_TABLES + tuple(parse.RAW):
+        total = F.sum(totals[t]) if t in totals else F.lit(None)
+        parts.append(store.stored(spark, f"{base}/tables", t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), total.cast("decimal(30,2)").alias("total")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 @query("users_by_day_from_sketches")
 def users_by_day_from_sketches(spark, sf_dir):
     """Daily users as the union of stored hourly sketches, against the

@@ -265,6 +265,63 @@ def hourly_metrics_ext(transactions: DataFrame, sensors: DataFrame, conform_outp
     return conform(joined, "hourly_metrics") if conform_output else joined.drop("anomalies")
 
 
+def shared_groups(names) -> list[tuple[str, ...]]:
+    """Specs that one stateful query can compute: same kind, window, delay and
+    filter.  Sketch buffers would be kept for every group of the others, so a
+    spec with one stays alone."""
+    groups: dict[tuple, list[str]] = {}
+    for n in names:
+        s = SPECS[n]
+        alone = n if any(fn is _active_users for _, fn in s.aggs) else None
+        groups.setdefault((s.kind, s.window, s.delay, s.pre_filter, alone), []).append(n)
+    return [tuple(g) for g in groups.values()]
+
+
+def _grouping_sets(specs) -> list[tuple]:
+    sets: list[tuple] = []
+    for s in specs:
+        if (keys := tuple(src for src, _ in s.keys)) not in sets:
+            sets.append(keys)
+    return sets
+
+
+def build_shared(names, events: DataFrame) -> DataFrame:
+    """Several aggregates of one kind and window in one pass: every event is
+    expanded to one row per distinct set of grouping columns (at most one per
+    spec), and one aggregate computes each function of any spec once.
+    ``split_shared`` takes a table out of the result."""
+    specs = [SPECS[n] for n in names]
+    sets, streaming = _grouping_sets(specs), events.isStreaming
+    functions = list(dict.fromkeys(fn for s in specs for _, fn in s.aggs))
+    df = events if specs[0].pre_filter is None else events.filter(specs[0].pre_filter())
+    if streaming:
+        df = df.withWatermark("event_time", specs[0].delay)
+    width = max(len(k) for k in sets)
+    members = [
+        F.struct(F.lit(i).alias("_set"), *[(F.col(keys[j]) if j < len(keys) else F.lit(None)).cast("string").alias(f"_k{j}") for j in range(width)])
+        for i, keys in enumerate(sets)
+    ]
+    df = df.withColumn("_member", F.explode(F.array(*members)))
+    groups = [F.window("event_time", specs[0].window).alias("window"), F.col("_member._set").alias("_set")]
+    groups += [F.col(f"_member._k{j}").alias(f"_k{j}") for j in range(width)]
+    return df.groupBy(*groups).agg(*[fn(streaming).alias(f"_a{i}") for i, fn in enumerate(functions)])
+
+
+def split_shared(names, shared: DataFrame, name: str) -> DataFrame:
+    """One table of ``build_shared``, before the contract's casts."""
+    specs, spec = [SPECS[n] for n in names], SPECS[name]
+    functions = list(dict.fromkeys(fn for s in specs for _, fn in s.aggs))
+    number = _grouping_sets(specs).index(tuple(src for src, _ in spec.keys))
+    start, end = to_wall_clock(F.col("window.start")), to_wall_clock(F.col("window.end"))
+    win = [start.alias("hour")] if spec.window_output == ("hour",) else [start.alias("window_start"), end.alias("window_end")]
+    return shared.filter(F.col("_set") == number).select(
+        *win,
+        *[F.col(f"_k{j}").alias(out) for j, (_, out) in enumerate(spec.keys)],
+        *[F.col(f"_a{functions.index(fn)}").alias(out) for out, fn in spec.aggs],
+        *[F.lit(v).alias(n) for n, v in spec.constants],
+    )
+
+
 def mixed_from_messages(messages: DataFrame) -> DataFrame:
     """Rows of both kinds that hourly metrics count, from one parse of the
     mixed topic: transactions, and anomalous sensor readings."""

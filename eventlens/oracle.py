@@ -764,4 +764,25 @@ def _delivery_oracles() -> dict[str, str]:
     }
 
 
+def _shared_oracle() -> str:
+    totals = {"transaction_hourly_stats": "total_amount", "top_users": "total_spent", "payment_method_stats": "total_amount", "raw_transactions": "transaction_amount"}
+    parts = []
+    for name, (src, secs, where) in STREAM_CLOSE.items():
+        total = f"CAST(SUM({totals[name]}) AS DECIMAL(30,2))" if name in totals else "CAST(NULL AS DECIMAL(30,2))"
+        parts.append(
+            f"""SELECT '{name}' AS table_name, COUNT(*) AS n_rows, {total} AS total FROM {name}
+  WHERE window_end <= (SELECT MAX(event_time) FROM {src} {where}) - INTERVAL {secs} SECOND"""
+        )
+    parts.append(
+        """SELECT 'hourly_metrics', COUNT(*), CAST(SUM(total_amount) AS DECIMAL(30,2)) FROM hourly_metrics
+  WHERE hour + INTERVAL 1 HOUR <= (SELECT MAX(event_time) FROM Tx) - INTERVAL 1 HOUR"""
+    )
+    for raw in ("raw_transactions", "raw_activities", "raw_sensors"):
+        total = f"CAST(SUM({totals[raw]}) AS DECIMAL(30,2))" if raw in totals else "CAST(NULL AS DECIMAL(30,2))"
+        parts.append(f"SELECT '{raw}', COUNT(*), {total} FROM {raw}")
+    names = [*STREAM_CLOSE, "hourly_metrics", "raw_transactions", "raw_activities", "raw_sensors"]
+    return with_tables("\n  UNION ALL ".join(parts), *names)
+
+
 ORACLES.update(_delivery_oracles())
+ORACLES["stream_shared_tables"] = _shared_oracle()

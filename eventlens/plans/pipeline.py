@@ -15,7 +15,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import storage
-from ..contracts import lossy_flag, split_lossy
+from ..contracts import CONTRACTS, lossy_flag, split_lossy
 from ..functions.time import parse_event_time
 from ..operators import aggregates, bronze, dedup, merge, parse
 from ..operators.bronze import DATE
@@ -230,25 +230,42 @@ class RecentTables(Tables):
 
 class JdbcTables:
     """Result tables read over JDBC (S14).  Reports select few columns and
-    Spark pushes column pruning and filters into the database query; a
-    ``partition_column`` with bounds splits a large table read across tasks."""
+    Spark pushes column pruning and filters into the database query.  A read
+    is split over ``partitions`` tasks by the table's time column, between the
+    bounds that one aggregate query in the database gives; ``partitioning``
+    names another column and bounds for a table."""
 
     def __init__(self, spark: SparkSession, url: str, properties: dict[str, str] | None = None,
-                 partitioning: dict[str, dict] | None = None):
+                 partitioning: dict[str, dict] | None = None, partitions: int = 8):
         self.spark, self.url = spark, url
         self.properties = dict(properties or {})
         self.partitioning = partitioning or {}
+        self.partitions = partitions
 
-    def table(self, name: str) -> DataFrame:
+    @staticmethod
+    def time_column(name: str) -> str | None:
+        """The window or hour, of raw tables the broker time; rows without one
+        are read by the first task."""
+        names = CONTRACTS[name].names if name in CONTRACTS else ()
+        return next((c for c in ("window_start", "hour", "kafka_timestamp") if c in names), None)
+
+    def bounds(self, name: str, column: str) -> tuple:
+        query = f"SELECT min({column}) AS lo, max({column}) AS hi FROM {name}"
+        row = self.spark.read.format("jdbc").options(url=self.url, query=query, **self.properties).load().first()
+        return row[0], row[1]
+
+    def split(self, name: str) -> dict | None:
+        """Arguments that split a table's read; None: one task reads it."""
         part = self.partitioning.get(name)
         if part:
-            return self.spark.read.jdbc(
-                self.url,
-                name,
-                column=part["column"],
-                lowerBound=part["lower"],
-                upperBound=part["upper"],
-                numPartitions=part.get("partitions", 8),
-                properties=self.properties,
-            )
-        return self.spark.read.jdbc(self.url, name, properties=self.properties)
+            return {"column": part["column"], "lowerBound": part["lower"], "upperBound": part["upper"], "numPartitions": part.get("partitions", self.partitions)}
+        column = self.time_column(name)
+        if column is None or self.partitions < 2:
+            return None
+        low, high = self.bounds(name, column)
+        if low is None or low == high:
+            return None
+        return {"column": column, "lowerBound": str(low), "upperBound": str(high), "numPartitions": self.partitions}
+
+    def table(self, name: str) -> DataFrame:
+        return self.spark.read.jdbc(self.url, name, **(self.split(name) or {}), properties=self.properties)

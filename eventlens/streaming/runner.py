@@ -12,11 +12,13 @@ import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import aggregates, bronze, dedup, parse
+from ..schemas import BY_TYPE
 from .late import LateRows
-from .sinks import ParquetTableSink
+from .sinks import ParquetTableSink, SharedSink
 
 log = logging.getLogger(__name__)
 
@@ -210,6 +212,60 @@ def start_pipeline(
     return queries
 
 
+def start_shared_pipeline(
+    messages: DataFrame,
+    out_root: str,
+    checkpoint_root: str,
+    tables=STREAM_TABLES + tuple(parse.RAW),
+    trigger: Trigger = Trigger(),
+    fallback_root: str | None = None,
+    quarantine_root: str | None = None,
+    sink_of=None,
+    name_prefix: str = "",
+) -> list[StreamingQuery]:
+    """The same tables with fewer scans of the topic: aggregates of one kind
+    and window share a stateful query, and the raw tables one stateless query
+    that parses each message once.  Closing rules are those of the single
+    queries, as tables of different windows, and so delays, do not share."""
+    spark, queries = messages.sparkSession, []
+
+    def sink(t):
+        return sink_of(t) if sink_of else ParquetTableSink(out_root, t, fallback_root, quarantine_root)
+
+    def start(name: str, df: DataFrame, handler) -> None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        try:
+            writer = df.writeStream.queryName(name).outputMode("append").option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/{name}")
+            queries.append(trigger.apply(writer.foreachBatch(handler)).start())
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    def raw_rows(table: str):
+        kind = parse.RAW_KIND[table]
+        fields = [f.name for f in BY_TYPE[kind].fields]
+        return lambda batch: parse.RAW[table](batch.filter(F.col(bronze.PARTITION) == kind).select(*fields, "kafka_timestamp"))
+
+    try:
+        for group in aggregates.shared_groups([t for t in tables if t in aggregates.SPECS]):
+            if len(group) == 1:
+                queries.append(start_table_query(messages, group[0], sink(group[0]), checkpoint_root, trigger, name_prefix))
+                continue
+            df = aggregates.build_shared(group, aggregates.prepare(messages, aggregates.SPECS[group[0]].kind))
+            split = {t: (lambda batch, t=t, group=group: aggregates.split_shared(group, batch, t)) for t in group}
+            start(f"{name_prefix}{'+'.join(group)}", df, SharedSink(split, {t: sink(t) for t in group}))
+        raws = [t for t in tables if t in parse.RAW]
+        if raws:
+            start(f"{name_prefix}{'+'.join(raws)}", bronze.bronze_rows(messages), SharedSink({t: raw_rows(t) for t in raws}, {t: sink(t) for t in raws}))
+        for t in tables:
+            if t not in aggregates.SPECS and t not in parse.RAW:
+                queries.append(start_table_query(messages, t, sink(t), checkpoint_root, trigger, name_prefix))
+    except Exception:
+        for q in queries:
+            q.stop()
+        raise
+    return queries
+
+
 def supervise(spark: SparkSession, queries: list[StreamingQuery], timeout: float | None = None) -> None:
     """Wait until any query ends.  A failure stops all queries and is
     raised naming the failed query; with ``availableNow`` every query ends

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import logging
 from collections import deque
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation
@@ -109,6 +110,24 @@ class ParquetTableSink:
         self.stats.append((batch_id, status))
 
 
+@dataclass
+class SharedSink:
+    """Gives the tables of one shared query's batch to their sinks.  The batch
+    is computed once and cached for them; each sink writes, falls back and
+    commits for itself, so one table's failure is no other's."""
+
+    tables: dict[str, Callable[[DataFrame], DataFrame]]  # table -> its rows of a batch
+    sinks: dict[str, Callable[[DataFrame, int], None]]
+
+    def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        batch_df.persist()
+        try:
+            for table, rows in self.tables.items():
+                self.sinks[table](rows(batch_df), batch_id)
+        finally:
+            batch_df.unpersist()
+
+
 @dataclass
 class MergedTableSink(ParquetTableSink):
     """Merges the batches of a raw table into its dates (``operators.merge``):
@@ -179,26 +198,28 @@ class JdbcTableSink(ParquetTableSink):
     def reader_options(self) -> dict[str, str]:
         return {k: v for k, v in self.options().items() if k != "createTableColumnTypes"}
 
+    def catalog_query(self) -> str:
+        """Whether the target is there, asked from the standard catalog view."""
+        name = (self.dbtable or self.table).replace('"', "").split(".")
+        names = [n.lower().replace("'", "''") for n in name]
+        where = f"lower(table_name) = '{names[-1]}'"
+        if len(names) > 1:
+            where += f" AND lower(table_schema) = '{names[-2]}'"
+        return f"SELECT count(*) AS n FROM information_schema.tables WHERE {where}"
+
     def target_exists(self, df: DataFrame) -> bool:
-        spark = df.sparkSession
-        jvm = spark.sparkContext._jvm
-        opts = jvm.org.apache.spark.sql.execution.datasources.jdbc.JdbcOptionsInWrite(
-            jvm.PythonUtils.toScalaMap(self.reader_options())
-        )
-        dialect = jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(self.url)
-        conn = dialect.createConnectionFactory(opts).apply(-1)
-        try:
-            return jvm.org.apache.spark.sql.execution.datasources.jdbc.JdbcUtils.tableExists(conn, opts)
-        finally:
-            conn.close()
+        options = {k: v for k, v in self.reader_options().items() if k != "dbtable"}
+        return df.sparkSession.read.format("jdbc").options(**options, query=self.catalog_query()).load().first()[0] > 0
 
     def new_rows(self, df: DataFrame, target: DataFrame) -> DataFrame:
-        """Rows of ``df`` whose key ``target`` does not hold; NULLs are equal."""
+        """Rows of ``df`` whose key ``target`` does not hold; NULLs are equal.
+        The target's rows without a time are read only for a batch that has
+        such rows."""
         key, col = list(CONTRACTS[self.table].key), self.range_column
         if col is not None:
-            lo, hi = df.agg(F.min(col), F.max(col)).first()
+            lo, hi, nulls = df.agg(F.min(col), F.max(col), F.count_if(F.col(col).isNull())).first()
             bound = F.lit(False) if lo is None else F.col(col).between(F.lit(lo), F.lit(hi))
-            target = target.filter(bound | F.col(col).isNull())
+            target = target.filter(bound | F.col(col).isNull() if nulls else bound)
         held = target.select(*[F.col(k).alias(f"_t_{k}") for k in key])
         same = [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in key]
         cond = same[0]

@@ -103,3 +103,63 @@ def test_a_compaction_cut_before_its_entry_changes_nothing(spark, tmp_dir, monke
     assert content(store.stored(spark, out, table)) == before
     assert store.compact(spark, out, table)["batch"] == 1
     assert content(store.stored(spark, out, table)) == before
+
+
+def test_shared_queries_give_the_tables_of_single_ones(spark, tmp_dir):
+    from eventlens.operators import aggregates, parse
+    from eventlens.streaming.runner import STREAM_TABLES, start_pipeline, start_shared_pipeline, supervise
+
+    path = f"{tmp_dir}/topic"
+    stored_topic(spark, SF_SMALL).repartitionByRange(2, "kafka_timestamp").write.parquet(path)
+    source = lambda: read_messages(spark, path, "parquet", streaming=True, max_files_per_trigger=1)
+    shared = start_shared_pipeline(source(), f"{tmp_dir}/a", f"{tmp_dir}/ca", trigger=AVAILABLE_NOW, name_prefix="s_")
+    assert len(shared) == 6  # of 11 tables
+    supervise(spark, shared)
+    names = STREAM_TABLES + tuple(parse.RAW)
+    supervise(spark, start_pipeline(source(), f"{tmp_dir}/b", f"{tmp_dir}/cb", trigger=AVAILABLE_NOW))
+    for t in names:
+        a, b = content(store.stored(spark, f"{tmp_dir}/a", t)), content(store.stored(spark, f"{tmp_dir}/b", t))
+        assert a == b and (a or t.startswith("sensor_anomalies")), t
+    assert ("sensor_anomalies", "sensor_anomalies_ext") in aggregates.shared_groups(STREAM_TABLES)
+
+
+def test_a_failing_table_of_a_shared_query_fails_alone(spark, tmp_dir):
+    from eventlens.streaming.sinks import SharedSink
+
+    class Broken(ParquetTableSink):
+        def write(self, df, batch_id):
+            raise OSError("target lost")
+
+    df = spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:00' window_start, timestamp_ntz'2024-01-01 00:30:00' window_end, 'm' device_type, 3 transaction_count, 1.5D success_rate")
+    sinks = {"a": Broken(f"{tmp_dir}/a", "device_stats"), "b": ParquetTableSink(f"{tmp_dir}/b", "device_stats")}
+    SharedSink({t: (lambda batch: batch) for t in sinks}, sinks)(df, 0)
+    assert [s.stats[-1][1] for s in sinks.values()] == ["fallback", "written"]
+    assert spark.read.parquet(f"{tmp_dir}/a/_fallback/device_stats").count() == 1
+
+
+def test_command_line_compacts_and_replays(spark, tmp_dir, capsys):
+    import json
+
+    from eventlens import app
+
+    run(spark, f"{tmp_dir}/t", f"{tmp_dir}/c", "raw_sensors")
+    n = store.stored(spark, f"{tmp_dir}/t", "raw_sensors").count()
+    assert app.main(["compact", "--tables", f"{tmp_dir}/t", "--name", "raw_sensors", "device_stats"]) == 0
+    assert app.main(["replay", "--tables", f"{tmp_dir}/t", "--name", "raw_sensors"]) == 0
+    lines = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert lines == [{"table": "raw_sensors", "rows": n}, {"table": "raw_sensors", "taken": 0}]
+
+
+def test_jdbc_reads_are_split_by_time(monkeypatch):
+    from eventlens.plans.pipeline import JdbcTables
+    from eventlens.streaming.sinks import JdbcTableSink
+
+    tables = JdbcTables(None, "jdbc:x", partitions=4)
+    monkeypatch.setattr(JdbcTables, "bounds", lambda self, name, column: ("2024-01-01", "2024-02-01"))
+    assert tables.split("device_stats") == {"column": "window_start", "lowerBound": "2024-01-01", "upperBound": "2024-02-01", "numPartitions": 4}
+    assert tables.split("hourly_metrics")["column"] == "hour"
+    assert tables.split("raw_sensors")["column"] == "kafka_timestamp"
+    monkeypatch.setattr(JdbcTables, "bounds", lambda self, name, column: (None, None))
+    assert tables.split("device_stats") is None
+    query = JdbcTableSink("/unused", "device_stats", url="jdbc:x", dbtable='public."Device_Stats"').catalog_query()
+    assert query == "SELECT count(*) AS n FROM information_schema.tables WHERE lower(table_name) = 'device_stats' AND lower(table_schema) = 'public'"
