@@ -558,9 +558,8 @@ def bronze_corrected_landing(spark, sf_dir):
 
 @query("loyalty_check_edge")
 def loyalty_check_edge(spark, sf_dir):
-    """R1 over input with wrong points."""
-    tx = parse.typed(_edge(spark, sf_dir), "transaction").filter("transaction_amount < 1e9")
-    return derived.loyalty_check(tx)
+    """R1 over all faulty input: wrong points, and amounts beyond any."""
+    return derived.loyalty_check(parse.typed(_edge(spark, sf_dir), "transaction"))
 
 
 @query("loyalty_check_overflow")
