@@ -32,7 +32,8 @@ def query(name: str, sql: str | None = None):
 
 @query("op5_mixing", r"""
 WITH sizes AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    md5('17:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS tie FROM documents),
 totals AS (SELECT source, sum(size)::BIGINT AS source_size FROM sizes GROUP BY source),
 weights AS (
   SELECT *, [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1) % 3 + 1)::INT]::DOUBLE AS weight, 2.0::DOUBLE * source_size AS cap FROM totals),
@@ -44,10 +45,13 @@ ranked AS (
   FROM weights),
 level AS (SELECT arg_min((all_words - before_cap) / open_weight, ratio) FILTER (WHERE (all_words - before_cap) / open_weight <= ratio) AS level FROM ranked),
 targets AS (SELECT source, source_size, least(cap, weight * level) AS target FROM ranked, level),
-rates AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM targets)
+rates AS (
+  SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+    ('0x' || substr(md5('17:' || coalesce(source, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS start FROM targets),
+placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY size, tie) AS place FROM sizes)
 SELECT doc_id, size, source_size, target,
-  (size * (floor(rate)::BIGINT + CASE WHEN ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM sizes JOIN rates ON sizes.source IS NOT DISTINCT FROM rates.source
+  (size * (floor(rate) + floor((rate - floor(rate)) * place + start) - floor((rate - floor(rate)) * (place - 1) + start)))::BIGINT AS taken
+FROM placed JOIN rates ON placed.source IS NOT DISTINCT FROM rates.source
 """)
 def op5_mixing(table):
     """Words that the mix takes of every document."""
