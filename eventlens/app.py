@@ -6,6 +6,7 @@
   python -m eventlens.app batch --files /landing/topic --out /shared/tables [--bronze /shared/bronze]
       [--by-date [--days 2024-01-05 2024-01-06]]
   python -m eventlens.app report --tables /shared/tables [--panel rpt_amount_by_city ...]
+  python -m eventlens.app correct --tables /shared/tables --bronze /shared/bronze
   python -m eventlens.app compact --tables /shared/tables [--name raw_transactions ...] [--full]
   python -m eventlens.app replay --tables /shared/tables [--source fallback|quarantine]
 
@@ -19,25 +20,26 @@ import argparse
 import json
 import sys
 
-from .operators import parse
-from .operators.bronze import write_bronze
+from .operators import aggregates, parse
+from .operators.bronze import read_kind, write_bronze
 from .plans import reports
 from .plans.pipeline import ALL_TABLES, JdbcTables, Pipeline, Tables
 from .session import build_session
 from .sources.files import read_messages
 from .sources.kafka import KafkaSource
-from .streaming import replay, store
+from .streaming import late, replay, store
 from .streaming.runner import (
     AVAILABLE_NOW,
     STREAM_TABLES,
     ProgressLog,
     Trigger,
+    start_late_pipeline,
     start_pipeline,
     start_pipeline_via_bronze,
     start_shared_pipeline,
     supervise,
 )
-from .streaming.sinks import JdbcTableSink
+from .streaming.sinks import JdbcTableSink, MergedTableSink, ParquetTableSink
 
 
 def _source(spark, args, streaming: bool):
@@ -84,6 +86,13 @@ def _jdbc_properties(args) -> dict[str, str]:
     return {k: v for k, v in given.items() if v is not None}
 
 
+def sink_of(args):
+    """Sink per table for --jdbc-url or --merge-raw, or None for parquet tables."""
+    if args.jdbc_url or not args.merge_raw:
+        return jdbc_sink_of(args)
+    return lambda t: (MergedTableSink if t in parse.RAW else ParquetTableSink)(args.out, t, args.fallback, args.quarantine)
+
+
 def jdbc_sink_of(args):
     """Sink per table for --jdbc-url, or None for parquet tables."""
     if not args.jdbc_url:
@@ -114,6 +123,14 @@ def main(argv=None) -> int:
     s.add_argument("--tables", nargs="*", default=list(STREAM_TABLES + tuple(parse.RAW)))
     s.add_argument("--shared", action="store_true", help="aggregates of one kind and window share a query (without --bronze)")
 
+    s.add_argument("--late", action="store_true", help="keep late rows of the aggregates, for `correct`")
+    s.add_argument("--merge-raw", action="store_true", help="merge raw tables into their dates, each key stored once")
+
+    c = sub.add_parser("correct", help="compute windows touched by late rows again from bronze by date")
+    c.add_argument("--tables", required=True, help="folder of result tables")
+    c.add_argument("--bronze", required=True, help="bronze by date that holds the late rows' days")
+    c.add_argument("--name", nargs="*", default=list(STREAM_TABLES))
+
     k = sub.add_parser("compact", help="merge the committed batches of streamed tables into date partitions")
     k.add_argument("--tables", required=True, help="folder of result tables")
     k.add_argument("--name", nargs="*", default=list(STREAM_TABLES + tuple(parse.RAW)))
@@ -152,13 +169,15 @@ def main(argv=None) -> int:
         if args.bronze:
             queries = start_pipeline_via_bronze(
                 messages, args.bronze, args.out, args.checkpoints, args.tables, trigger, args.fallback, args.quarantine,
-                args.bronze_files_per_trigger, jdbc_sink_of(args),
+                args.bronze_files_per_trigger, sink_of(args),
             )
         else:
             queries = (start_shared_pipeline if args.shared else start_pipeline)(
                 messages, args.out, args.checkpoints, args.tables, trigger, args.fallback, args.quarantine,
-                jdbc_sink_of(args),
+                sink_of(args),
             )
+        if args.late:
+            queries += start_late_pipeline(lambda kind: aggregates.prepare(messages, kind), args.out, args.checkpoints, args.tables, trigger)
         try:
             supervise(spark, queries)
         finally:
@@ -166,6 +185,13 @@ def main(argv=None) -> int:
             progress.detach(spark)
         return 0
 
+    if args.cmd == "correct":
+        for name in args.name:
+            kind = aggregates.SPECS[name].kind
+            windows = late.correct(spark, args.tables, name, lambda days, kind=kind: read_kind(spark, args.bronze, kind, days=days))
+            print(json.dumps({"table": name, "windows": windows}))
+        return 0
+
     if args.cmd == "compact":
         for name in args.name:
             if store.has_manifest(spark, args.tables, name):

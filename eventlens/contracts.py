@@ -34,6 +34,7 @@ class Contract:
 def _jdbc_type(spark_type: str) -> str:
     return {
         "string": "TEXT",
+        "binary": "BYTEA",
         "int": "INTEGER",
         "bigint": "BIGINT",
         "timestamp_ntz": "TIMESTAMP",
@@ -240,6 +241,10 @@ CONTRACTS: dict[str, Contract] = {
     ]
 }
 
+# mergeable sketches of an hour's users, for counts over any range
+CONTRACTS["hourly_user_sketches"] = Contract(
+    "hourly_user_sketches", (("hour", "timestamp_ntz"), ("users", "binary"), ("events", "bigint")), key=("hour",), not_null=("hour",)
+)
 # the same table with the real anomaly count
 CONTRACTS["hourly_metrics_ext"] = replace(CONTRACTS["hourly_metrics"], name="hourly_metrics_ext")
 

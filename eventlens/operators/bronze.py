@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .. import storage
 from ..functions.time import parse_event_time
 from ..schemas import BY_TYPE, UNION
-from . import parse
+from . import parse, rescue
 
 REJECTED = "__rejected__"
 PARTITION = "data_type"
@@ -25,10 +25,12 @@ DATE = "event_date"
 LANDING = "landing_date"
 
 
-def bronze_rows(messages: DataFrame, by_date: bool = False) -> DataFrame:
+def bronze_rows(messages: DataFrame, by_date: bool = False, rescued: bool = False) -> DataFrame:
     """messages -> one row per message: union fields, event time, broker time
-    (and the UTC broker and event dates when the layout is partitioned by date)."""
+    (and the UTC broker and event dates when the layout is partitioned by date).
+    ``rescued`` adds the map of fields that the typed ones lost."""
     p = parse.parsed(messages)
+    extra = [rescue.lost_fields(rescue.raw_fields("json"), "data", UNION).alias(rescue.RESCUED)] if rescued else []
     dtype = F.col("data.data_type")
     known = dtype.isin(*BY_TYPE)
     event_text = F.when(dtype == "transaction", F.col("data.transaction_date")).otherwise(
@@ -37,6 +39,7 @@ def bronze_rows(messages: DataFrame, by_date: bool = False) -> DataFrame:
     fields = [F.col(f"data.{f.name}").alias(f.name) for f in UNION.fields if f.name != PARTITION]
     return p.select(
         *fields,
+        *extra,
         parse_event_time(event_text).alias("event_time"),
         "kafka_timestamp",
         F.when(known, F.lit(None).cast("string")).otherwise(F.col("json")).alias("rejected_json"),
@@ -50,7 +53,7 @@ def bronze_rows(messages: DataFrame, by_date: bool = False) -> DataFrame:
 
 
 def write_bronze(
-    messages: DataFrame, path: str, mode: str = "overwrite", by_date: bool = False, partial: bool = False
+    messages: DataFrame, path: str, mode: str = "overwrite", by_date: bool = False, partial: bool = False, rescued: bool = False
 ) -> None:
     """Write bronze partitioned by kind.  With ``by_date`` it is partitioned by
     landing (broker) date, kind and event date, and a landing date in
@@ -63,10 +66,10 @@ def write_bronze(
     than the stored landing of a day (by first and last broker time) is refused,
     as it would drop the rest of that day; ``partial`` replaces it all the same."""
     if not by_date:
-        bronze_rows(messages).write.mode(mode).partitionBy(PARTITION).parquet(path)
+        bronze_rows(messages, rescued=rescued).write.mode(mode).partitionBy(PARTITION).parquet(path)
         return
     path, columns = path.rstrip("/"), [LANDING, PARTITION, DATE]
-    rows = bronze_rows(messages, by_date)
+    rows = bronze_rows(messages, by_date, rescued)
     if mode != "overwrite":
         rows.write.mode(mode).partitionBy(*columns).parquet(path)
         return

@@ -10,8 +10,9 @@ row is kept, as text, in the map ``rescued``.  The typed columns are those of
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..schemas import BY_TYPE
 
@@ -22,15 +23,23 @@ def typed_with_rescue(messages: DataFrame, kind: str) -> DataFrame:
     """The typed events of one kind, broker time, and ``rescued``: map of field
     to raw text, empty where nothing was lost."""
     schema = BY_TYPE[kind]
-    names = [f.name for f in schema.fields]
-    raw = F.try_variant_get(F.try_parse_json("json"), "$", "map<string,string>").alias("_raw")
     # the generator keeps the two parses below the filters, as in parse.typed
-    data = messages.select(F.inline(F.array(F.struct(F.from_json("json", schema).alias("data"), raw))), "kafka_timestamp")
+    data = messages.select(F.inline(F.array(F.struct(F.from_json("json", schema).alias("data"), raw_fields("json").alias("_raw")))), "kafka_timestamp")
     data = data.filter(F.col("data.data_type") == F.lit(kind))
-    read = F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*[F.col(f"data.{n}").isNotNull() for n in names]))
-    lost = F.map_filter("_raw", lambda field, value: value.isNotNull() & ~F.coalesce(F.element_at(read, field), F.lit(False)))
-    empty = F.create_map().cast("map<string,string>")
-    return data.select("data.*", "kafka_timestamp", F.coalesce(lost, empty).alias(RESCUED))
+    return data.select("data.*", "kafka_timestamp", lost_fields(F.col("_raw"), "data", schema).alias(RESCUED))
+
+
+def raw_fields(json: str) -> Column:
+    """The fields of a message as text, from one VARIANT parse; NULL for no object."""
+    return F.try_variant_get(F.try_parse_json(json), "$", "map<string,string>")
+
+
+def lost_fields(raw: Column, data: str, schema: StructType) -> Column:
+    """Those of ``raw`` that have no value in the typed struct ``data``."""
+    names = [f.name for f in schema.fields]
+    read = F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*[F.col(f"{data}.{n}").isNotNull() for n in names]))
+    lost = F.map_filter(raw, lambda field, value: value.isNotNull() & ~F.coalesce(F.element_at(read, field), F.lit(False)))
+    return F.coalesce(lost, F.create_map().cast("map<string,string>"))
 
 
 def rescued_fields(messages: DataFrame, kind: str, key: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import to_wall_clock
 
+TABLE = "hourly_user_sketches"
 REGISTERS_LOG2 = 12
 #: Bound of the tests: three standard errors.
 RELATIVE_BOUND = 0.05

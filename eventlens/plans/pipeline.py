@@ -17,11 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import storage
 from ..contracts import CONTRACTS, lossy_flag, split_lossy
 from ..functions.time import parse_event_time
-from ..operators import aggregates, bronze, dedup, merge, parse
+from ..operators import aggregates, bronze, dedup, merge, parse, sketches
 from ..operators.bronze import DATE
 from ..schemas import EVENT_TIME_FIELD
 from ..sources.messages import stored_topic
-from ..streaming import store
+from ..streaming import late, store
 
 AGGREGATE_TABLES = (
     "transaction_hourly_stats",
@@ -84,6 +84,8 @@ class Pipeline:
                 df = aggregates.hourly_metrics_ext(
                     self.events("transaction"), self.events("sensor"), conform_output=False
                 )
+            elif name == sketches.TABLE:
+                df = sketches.hourly_user_sketches(self.events("transaction"))
             else:
                 raise KeyError(name)
             self._cache[name] = df
@@ -98,7 +100,7 @@ class Pipeline:
         if name in parse.RAW:
             event = parse_event_time(F.col(EVENT_TIME_FIELD[parse.RAW_KIND[name]]))
             return F.coalesce(F.to_date(event), F.to_date("kafka_timestamp"))
-        return F.to_date("hour" if name.startswith("hourly_metrics") else "window_start")
+        return F.to_date("hour" if name.startswith("hourly_") else "window_start")
 
     @staticmethod
     def contract(name: str) -> str:
@@ -185,8 +187,9 @@ class Pipeline:
 class Tables:
     """Result tables read from storage (parquet folders by table name).
     Tables of the streaming sink are read by their manifest and carry
-    ``processed_at``, which reports never reference.  Raw tables are appended
-    as delivered and hold each key once when read here."""
+    ``processed_at``, which reports never reference; windows that late rows
+    changed are read as corrected.  Raw tables are appended as delivered and
+    hold each key once when read here."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -194,6 +197,8 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         if merge.is_merged(self.spark, self.root, name):
             return self.spark.read.parquet(f"{self.root}/{name}")  # each key once as stored
+        if name in aggregates.SPECS and late.is_corrected(self.spark, self.root, name):
+            return late.corrected(self.spark, self.root, name)
         if store.has_manifest(self.spark, self.root, name):
             df = store.stored(self.spark, self.root, name)
         else:

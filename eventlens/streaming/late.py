@@ -86,6 +86,21 @@ class LateRows:
             spark.range(1).select(F.lit(after).alias("seen")).write.mode("overwrite").parquet(f"{self._folder(SEEN)}/{name}")
 
 
+@dataclass
+class LateRowsOfKind:
+    """The late rows of several tables of one kind, from one pass over a batch."""
+
+    handlers: tuple[LateRows, ...]
+
+    def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        batch_df.persist()
+        try:
+            for handler in self.handlers:
+                handler(batch_df, batch_id)
+        finally:
+            batch_df.unpersist()
+
+
 def _number(folder: str) -> int:
     return int(folder.rsplit("=", 1)[1].rsplit("-", 1)[-1])
 
@@ -149,6 +164,10 @@ def _runs(days: list) -> list[tuple]:
     return out
 
 
+def is_corrected(spark: SparkSession, root: str, table: str) -> bool:
+    return storage.exists(spark, f"{root.rstrip('/')}/{CORRECTIONS}/{table}")
+
+
 def corrected(spark: SparkSession, root: str, table: str) -> DataFrame:
     """The stored table with its corrections, conformed to the contract."""
     root, spec = root.rstrip("/"), aggregates.SPECS[table]

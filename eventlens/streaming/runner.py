@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import aggregates, bronze, dedup, parse
+from ..operators import aggregates, bronze, dedup, parse, sketches
 from ..schemas import BY_TYPE
-from .late import LateRows
+from .late import LateRows, LateRowsOfKind
 from .sinks import ParquetTableSink, SharedSink
 
 log = logging.getLogger(__name__)
@@ -66,6 +66,8 @@ def table_stream(messages: DataFrame, table: str, dedup_within: str | None = Non
         return parse.rejected(parse.parsed(messages))
     if table == EXTENDED_TABLE:
         return aggregates.hourly_metrics_mixed(aggregates.mixed_from_messages(messages), conform_output=False)
+    if table == sketches.TABLE:
+        return sketches.hourly_user_sketches(aggregates.prepare(messages, "transaction"))
     if table in aggregates.SPECS:
         spec = aggregates.SPECS[table]
         return aggregates.build(spec, aggregates.prepare(messages, spec.kind), conform_output=False)
@@ -81,6 +83,8 @@ def table_stream_from_events(events_of, table: str, dedup_within: str | None = N
     if table == EXTENDED_TABLE:
         rows = aggregates.mixed_from_events(events_of("transaction"), events_of("sensor"))
         return aggregates.hourly_metrics_mixed(rows, conform_output=False)
+    if table == sketches.TABLE:
+        return sketches.hourly_user_sketches(events_of("transaction"))
     if table in aggregates.SPECS:
         spec = aggregates.SPECS[table]
         return aggregates.build(spec, events_of(spec.kind), conform_output=False)
@@ -140,6 +144,33 @@ def start_late_query(
     return trigger.apply(writer).start()
 
 
+def start_late_pipeline(
+    events_of,
+    root: str,
+    checkpoint_root: str,
+    tables=STREAM_TABLES,
+    trigger: Trigger = Trigger(),
+    through: bool = True,
+    name_prefix: str = "",
+) -> list[StreamingQuery]:
+    """Late rows of all aggregates, one query per kind over ``events_of(kind)``."""
+    queries, kinds = [], {}
+    for t in tables:
+        if t in aggregates.SPECS:
+            kinds.setdefault(aggregates.SPECS[t].kind, []).append(t)
+    try:
+        for kind, names in kinds.items():
+            name = f"{name_prefix}late_{kind}"
+            handler = LateRowsOfKind(tuple(LateRows(root, t, through) for t in names))
+            writer = events_of(kind).writeStream.queryName(name).outputMode("append").option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/{name}")
+            queries.append(trigger.apply(writer.foreachBatch(handler)).start())
+    except Exception:
+        for q in queries:
+            q.stop()
+        raise
+    return queries
+
+
 def start_pipeline_via_bronze(
     messages: DataFrame,
     bronze_path: str,

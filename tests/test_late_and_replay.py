@@ -231,3 +231,51 @@ def test_recent_tables_read_the_last_dates(spark, tmp_dir):
     assert [str(r.window_start) for r in recent.collect()] == ["2024-01-09 12:00:00"]
     assert RecentTables(spark, tmp_dir, 25).table("device_stats").count() == 2
     assert not storage.folders(spark, f"{tmp_dir}/none")
+
+
+def test_bronze_keeps_rescued_fields(spark, tmp_dir):
+    from eventlens.operators.bronze import read_kind, write_bronze
+
+    rows = ['{"data_type":"sensor","sensor_id":"s","value":"hot","extra":1}', '{"data_type":"sensor","sensor_id":"t","value":1.5}']
+    df = spark.createDataFrame([(r,) for r in rows], "json string").withColumn("kafka_timestamp", F.lit("2024-01-01").cast("timestamp"))
+    write_bronze(df, f"{tmp_dir}/b/events", by_date=True, rescued=True)
+    got = {r.sensor_id: r.rescued for r in spark.read.parquet(f"{tmp_dir}/b/events").collect()}
+    assert got == {"s": {"value": "hot", "extra": "1"}, "t": {}}
+    assert read_kind(spark, f"{tmp_dir}/b/events", "sensor", days=("2024-01-01", "2024-01-01")).count() == 2
+
+
+def test_command_line_with_late_rows_and_merged_raw_tables(spark, tmp_dir, capsys):
+    """Two deliveries, the second late: streamed, corrected and read, the
+    aggregates of closed windows are those of a batch over all events."""
+    from eventlens import app
+    from eventlens.operators import aggregates
+    from eventlens.operators.bronze import write_bronze
+
+    def message(i, t):
+        return json.dumps({"data_type": "transaction", "transaction_id": f"t{i}", "payment_method": "cash", "transaction_amount": 1.0 + i, "transaction_date": t})
+
+    deliveries = [[message(i, f"2024-01-01T{h:02d}:05:00") for i, h in enumerate(range(8, 14))], [message(20, "2024-01-01T08:10:00"), message(21, "2024-01-01T09:40:00"), message(0, "2024-01-01T08:05:00")]]
+    every = []
+    for n, lines in enumerate(deliveries):
+        os.makedirs(f"{tmp_dir}/in", exist_ok=True)
+        with open(f"{tmp_dir}/in/{n}.json", "w") as f:
+            f.write("\n".join(lines))
+        every += lines
+        args = ["stream", "--files", f"{tmp_dir}/in", "--out", f"{tmp_dir}/t", "--checkpoints", f"{tmp_dir}/c", "--available-now", "--late", "--merge-raw"]
+        assert app.main([*args, "--tables", TABLE, "raw_transactions"]) == 0
+    df = spark.createDataFrame([(x,) for x in every[:-1]], "json string").withColumn("kafka_timestamp", F.lit("2024-01-02").cast("timestamp"))
+    write_bronze(df, f"{tmp_dir}/b/events", by_date=True)
+    assert app.main(["correct", "--tables", f"{tmp_dir}/t", "--bronze", f"{tmp_dir}/b/events", "--name", TABLE]) == 0
+    capsys.readouterr()
+    tables = Tables(spark, f"{tmp_dir}/t")
+    batch = aggregates.build(TABLE, aggregates.prepare(df, "transaction")).where("window_end <= timestamp_ntz'2024-01-01 12:35:00'")
+    assert sorted(map(tuple, tables.table(TABLE).collect())) == sorted(map(tuple, batch.collect()))
+    assert sorted(r.transaction_id for r in tables.table("raw_transactions").collect()) == sorted(f"t{i}" for i in [*range(6), 20, 21])
+
+
+def test_user_sketches_are_a_table(spark, tmp_dir):
+    df = spark.createDataFrame([(json.dumps({"data_type": "transaction", "transaction_id": str(i), "user_id": f"u{i % 7}", "transaction_date": f"2024-01-0{1 + i % 3}T0{i % 5}:00:00"}), "2024-01-05") for i in range(90)], "json string, k string")
+    messages = df.select("json", F.col("k").cast("timestamp").alias("kafka_timestamp"))
+    Pipeline.from_messages(spark, messages).materialize(tmp_dir, (sketches.TABLE,), by_date=True)
+    days = sketches.active_users(Tables(spark, tmp_dir).table(sketches.TABLE)).collect()
+    assert [r.active_users for r in days] == [7, 7, 7]
