@@ -171,8 +171,8 @@ def is_corrected(spark: SparkSession, root: str, table: str) -> bool:
 def corrected(spark: SparkSession, root: str, table: str) -> DataFrame:
     """The stored table with its corrections, conformed to the contract."""
     root, spec = root.rstrip("/"), aggregates.SPECS[table]
-    good = store.stored(spark, root, table)
-    base = aggregates.conform(good, table)
+    streamed = store.has_manifest(spark, root, table)
+    base = aggregates.conform(store.stored(spark, root, table) if streamed else spark.read.parquet(f"{root}/{table}"), table)
     folder, column = f"{root}/{CORRECTIONS}/{table}", _window_column(spec)
     done = [f for f in storage.folders(spark, folder) if f.startswith("number=") and storage.exists(spark, f"{folder}/_windows/{f}")]
     if not done:

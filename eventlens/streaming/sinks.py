@@ -67,6 +67,7 @@ class ParquetTableSink:
     def take_back(self, df: DataFrame, batch_id: int) -> None:
         """Empty what a failed batch may have left in the table, so that the
         fallback is its only place until it is replayed."""
+        store.retract(df.sparkSession, self.root, self.table, run_of(df), batch_id)
         storage.delete(df.sparkSession, self.path(self.root, df, batch_id))
 
     def committed(self, df: DataFrame, batch_id: int, rows: int, lossy: int) -> None:

@@ -42,10 +42,19 @@ def batch_path(table: str, run: str | None, batch: int) -> str:
     return f"{table}/micro_batch={run}-{int(batch)}" if run else f"{table}/micro_batch={int(batch)}"
 
 
+def _entry_name(kind: str, run: str | None, batch: int) -> str:
+    return f"{kind}-{run or 'none'}-{int(batch)}.json"
+
+
+def retract(spark: SparkSession, root: str, table: str, run: str | None, batch: int) -> None:
+    """Take back the entry of a batch whose data goes."""
+    storage.delete(spark, f"{root.rstrip('/')}/{MANIFEST}/{table}/{_entry_name('batch', run, batch)}")
+
+
 def commit(spark: SparkSession, root: str, table: str, entry: dict) -> None:
     """Write one manifest entry in one piece: to a hidden name, then renamed."""
     folder = f"{root.rstrip('/')}/{MANIFEST}/{table}"
-    name = f"{entry['kind']}-{entry['run'] or 'none'}-{int(entry['batch'])}.json"
+    name = _entry_name(entry["kind"], entry["run"], entry["batch"])
     fs, path = storage._hadoop(spark, f"{folder}/_{uuid.uuid4().hex}")
     out = fs.create(path, True)
     out.write(bytearray(json.dumps(entry).encode()))
@@ -150,4 +159,4 @@ def clean(spark: SparkSession, root: str, table: str) -> None:
         storage.delete(spark, f"{root}/{path}")
     for e in found:
         if e["path"] in gone:
-            storage.delete(spark, f"{folder}/{e['kind']}-{e['run'] or 'none'}-{e['batch']}.json")
+            storage.delete(spark, f"{folder}/{_entry_name(e['kind'], e['run'], e['batch'])}")

@@ -163,3 +163,16 @@ def test_jdbc_reads_are_split_by_time(monkeypatch):
     assert tables.split("device_stats") is None
     query = JdbcTableSink("/unused", "device_stats", url="jdbc:x", dbtable='public."Device_Stats"').catalog_query()
     assert query == "SELECT count(*) AS n FROM information_schema.tables WHERE lower(table_name) = 'device_stats' AND lower(table_schema) = 'public'"
+
+
+def test_a_batch_that_fails_on_its_second_run_is_not_in_the_manifest(spark, tmp_dir):
+    df = spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:00' window_start, timestamp_ntz'2024-01-01 00:30:00' window_end, 'm' device_type, 3 transaction_count, 1.5D success_rate")
+
+    class Lost(ParquetTableSink):
+        def write(self, df, batch_id):
+            raise OSError("target lost")
+
+    ParquetTableSink(tmp_dir, "device_stats")(df, 0)
+    ParquetTableSink(tmp_dir, "device_stats")(df, 1)
+    Lost(tmp_dir, "device_stats")(df, 1)
+    assert store.stored(spark, tmp_dir, "device_stats").count() == 1
