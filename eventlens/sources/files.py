@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from ..schemas import MESSAGE
 from pyspark.sql.types import StructField, TimestampType, StructType
 
+#: rows of a stored file at most: small rows would else fill a file, and so the
+#: task that reads it, by the million
+FILE_ROWS = 500_000
 TOPIC_DUMP = StructType(MESSAGE.fields + [StructField("kafka_timestamp", TimestampType(), True)])
 
 
@@ -45,12 +48,13 @@ def write_messages(df: DataFrame, path: str, fmt: str = "text", mode: str = "ove
     Rows are range-partitioned on broker time so every file covers a time
     slice, like consecutive topic segments.  A hash of the message breaks
     ties, so one instant holding a large share of the messages is still
-    split across tasks.
+    split across tasks.  Messages repeat their field names and most of their
+    values: text is written as gzip, and parquet as zstd.
     """
     ordered = df.repartitionByRange(F.col("kafka_timestamp"), F.xxhash64("json"))
     if fmt == "text":
-        ordered.select("json").write.mode(mode).text(path)
+        ordered.select("json").write.mode(mode).option("compression", "gzip").text(path)
     elif fmt == "parquet":
-        ordered.write.mode(mode).parquet(path)
+        ordered.write.mode(mode).option("compression", "zstd").option("maxRecordsPerFile", FILE_ROWS).parquet(path)
     else:
         raise ValueError(f"unknown message file format {fmt!r}")

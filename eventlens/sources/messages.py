@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures
+from .files import FILE_ROWS
 
 
 def encode_events(df: DataFrame, time_col: str = "kafka_timestamp") -> DataFrame:
@@ -72,7 +73,7 @@ def stored_topic_dir(spark: SparkSession, sf_dir: str) -> str:
             for i, k in enumerate(fixtures.VIEWS)
         ]
         topic = parts[0].unionByName(parts[1]).unionByName(parts[2])
-        topic.write.mode("overwrite").parquet(path)
+        topic.write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", FILE_ROWS).parquet(path)
         _STORED[key] = path
     return _STORED[key]
 
