@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .. import storage
 from ..functions.time import parse_event_time
 from ..schemas import BY_TYPE, UNION
+from ..sources.files import FILE_ROWS
 from . import parse, rescue
 
 REJECTED = "__rejected__"
@@ -55,7 +56,8 @@ def bronze_rows(messages: DataFrame, by_date: bool = False, rescued: bool = Fals
 def write_bronze(
     messages: DataFrame, path: str, mode: str = "overwrite", by_date: bool = False, partial: bool = False, rescued: bool = False
 ) -> None:
-    """Write bronze partitioned by kind.  With ``by_date`` it is partitioned by
+    """Write bronze partitioned by kind: a task writes its kinds side by side,
+    without sorting their rows, into files of bounded length.  With ``by_date`` it is partitioned by
     landing (broker) date, kind and event date, and a landing date in
     ``messages`` replaces everything that it landed before, of all kinds and
     event dates: a message whose event date was corrected leaves its old one.
@@ -66,7 +68,9 @@ def write_bronze(
     than the stored landing of a day (by first and last broker time) is refused,
     as it would drop the rest of that day; ``partial`` replaces it all the same."""
     if not by_date:
-        bronze_rows(messages, rescued=rescued).write.mode(mode).partitionBy(PARTITION).parquet(path)
+        rows = bronze_rows(messages, rescued=rescued)
+        with storage.concurrent_writers(messages.sparkSession, len(BY_TYPE) + 1):
+            rows.write.mode(mode).option("maxRecordsPerFile", FILE_ROWS).partitionBy(PARTITION).parquet(path)
         return
     path, columns = path.rstrip("/"), [LANDING, PARTITION, DATE]
     rows = bronze_rows(messages, by_date, rescued)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,6 +56,19 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot rename {source} to {target}")
 
 
+@contextmanager
+def concurrent_writers(spark: SparkSession, files: int):
+    """Writes inside keep up to ``files`` partitions of a task open at a time
+    instead of sorting its rows by partition.  For layouts of few partitions."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(files))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def partition_value(folder: str) -> str | None:
     """``x`` of a folder ``column=x``; None for the partition of nulls."""
     value = unquote(folder.split("=", 1)[1])

@@ -7,6 +7,8 @@ from pathlib import Path
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+from eventlens import storage
+from eventlens.operators import bronze
 from eventlens.sources import files
 
 RAW = "transaction_id string, user_id string, kafka_timestamp timestamp"
@@ -38,3 +40,21 @@ def test_replay_parquet_is_packed_in_bounded_files(spark, tmp_path, monkeypatch)
     assert max(m.num_rows for m in footers) <= 100
     assert {m.row_group(0).column(0).compression for m in footers} == {"ZSTD"}
     assert sorted(files.read_messages(spark, str(tmp_path / "dump"), "parquet").collect()) == sorted(messages.collect())
+
+
+def test_bronze_files_are_bounded_and_settings_stay(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(bronze, "FILE_ROWS", 100)
+    bad = spark.createDataFrame([("junk", None)], "json string, kafka_timestamp timestamp")
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before, seen = spark.conf.get(key, None), []
+    inner = storage.concurrent_writers
+
+    def watched(session, n):
+        seen.append(n)
+        return inner(session, n)
+
+    monkeypatch.setattr(storage, "concurrent_writers", watched)
+    bronze.write_bronze(_messages(spark, 1000).unionByName(bad), str(tmp_path / "bronze"))
+    rows = [pq.read_metadata(f).num_rows for f in (tmp_path / "bronze").rglob("*.parquet")]
+    assert sum(rows) == 1001 and max(rows) <= 100
+    assert seen == [4] and spark.conf.get(key, None) == before
