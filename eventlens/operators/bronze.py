@@ -80,7 +80,9 @@ def write_bronze(
     spark = messages.sparkSession
     staged = storage.stage(rows, path, columns)
     if not partial:
-        old, new = _landed(spark, path), _landed(spark, staged)
+        old, new = storage.partitions(spark, path, LANDING), storage.partitions(spark, staged, LANDING)
+        again = sorted(d for d in old.keys() & new.keys() if d is not None)
+        old, new = _landed(spark, path, [old[d] for d in again]), _landed(spark, staged, [new[d] for d in again])
         short = sorted(str(d) for d in old.keys() & new.keys() if new[d][0] > old[d][0] or new[d][1] < old[d][1])
         if short:
             storage.delete(spark, staged)
@@ -88,11 +90,12 @@ def write_bronze(
     storage.swap(spark, staged, path, LANDING)
 
 
-def _landed(spark: SparkSession, path: str) -> dict:
-    """First and last broker time by landing date: one small row per date."""
-    if not storage.partitions(spark, path, LANDING):
+def _landed(spark: SparkSession, path: str, folders: list[str]) -> dict:
+    """First and last broker time by landing date: one small row per date.
+    Only the folders named are listed and read."""
+    if not folders:
         return {}
-    rows = spark.read.parquet(path).where(F.col("kafka_timestamp").isNotNull()).groupBy(F.col(LANDING).cast("string").alias("d"))
+    rows = spark.read.option("basePath", path).parquet(*[f"{path}/{f}" for f in folders]).where(F.col("kafka_timestamp").isNotNull()).groupBy(F.col(LANDING).cast("string").alias("d"))
     return {r.d: (r.first, r.last) for r in rows.agg(F.min("kafka_timestamp").alias("first"), F.max("kafka_timestamp").alias("last")).collect()}
 
 

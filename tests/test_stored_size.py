@@ -58,3 +58,19 @@ def test_bronze_files_are_bounded_and_settings_stay(spark, tmp_path, monkeypatch
     rows = [pq.read_metadata(f).num_rows for f in (tmp_path / "bronze").rglob("*.parquet")]
     assert sum(rows) == 1001 and max(rows) <= 100
     assert seen == [4] and spark.conf.get(key, None) == before
+
+
+def test_only_days_landed_again_are_read(spark, tmp_path, monkeypatch):
+    read, inner = [], bronze._landed
+
+    def watched(session, path, folders):
+        read.append(sorted(folders))
+        return inner(session, path, folders)
+
+    monkeypatch.setattr(bronze, "_landed", watched)
+    path = str(tmp_path / "days" / "events")
+    first, second = _messages(spark, 50), _messages(spark, 50, "2024-01-06")
+    for rows in (first, second, second):
+        bronze.write_bronze(rows, path, by_date=True)
+    assert read == [[], [], [], [], ["landing_date=2024-01-06"], ["landing_date=2024-01-06"]]
+    assert spark.read.parquet(path).count() == 100
