@@ -16,7 +16,7 @@ from .plans.pipeline import Pipeline, RecentTables
 from .registry import active_users_exact, bronze_dir, query, replay_dir, run_stream_table
 from .session import work_dir
 from .sources.edge import edge_topic, mistyped_topic
-from .sources.files import read_messages
+from .sources.files import FILE_ROWS, read_messages
 from .sources.messages import stored_topic
 from .streaming import late, replay, store
 from .streaming.runner import AVAILABLE_NOW, STREAM_TABLES, start_late_query, start_shared_pipeline, start_table_query, supervise
@@ -126,7 +126,7 @@ def merged_raw_transactions(spark, sf_dir):
     again = topic.select("json", (F.col("kafka_timestamp") + F.expr("INTERVAL 1 DAY")).alias("kafka_timestamp"))
     prefix = f"q{uuid.uuid4().hex[:8]}_"
     for number, part in enumerate((topic.filter(early), topic.filter(~early), again)):
-        part.write.parquet(f"{base}/topic/delivery={number}")
+        part.write.option("maxRecordsPerFile", FILE_ROWS).parquet(f"{base}/topic/delivery={number}")
         stream = read_messages(spark, f"{base}/topic/*", "parquet", streaming=True)
         _finish(start_table_query(stream, table, MergedTableSink(f"{base}/tables", table), f"{base}/checkpoints", AVAILABLE_NOW, prefix))
     return conform(spark.read.parquet(f"{base}/tables/{table}"), table)

@@ -24,13 +24,15 @@ per key and batch.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import CONTRACTS
 
 
-def first_delivery(raw: DataFrame, table: str, within: str = "1 day", salt_buckets: int = 16) -> DataFrame:
+def first_delivery(raw: DataFrame, table: str, within: str = "1 day", salt_buckets: int = 16, alone: Column | None = None) -> DataFrame:
+    """``alone``: what tells rows without a whole key apart in a batch; each
+    row is one of its own unless given."""
     key = list(CONTRACTS[table].key)
     no_key = F.greatest(*[F.col(k).isNull().cast("int") for k in key], F.lit(0)) > 0
     if raw.isStreaming:
@@ -46,7 +48,7 @@ def first_delivery(raw: DataFrame, table: str, within: str = "1 day", salt_bucke
         return spread.dropDuplicatesWithinWatermark(key).drop("_salt", "_alone")
     rest = [c for c in raw.columns if c not in key and c != "kafka_timestamp"]
     best = F.min(F.struct(F.col("kafka_timestamp"), *[F.col(c) for c in rest])).alias("_first")
-    out = raw.groupBy(*key, F.when(no_key, F.monotonically_increasing_id()).alias("_alone")).agg(best)
+    out = raw.groupBy(*key, F.when(no_key, F.monotonically_increasing_id() if alone is None else alone).alias("_alone")).agg(best)
     return out.select(*key, *[F.col(f"_first.{c}").alias(c) for c in ["kafka_timestamp", *rest]]).select(
         *raw.columns
     )

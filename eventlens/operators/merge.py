@@ -38,10 +38,9 @@ def is_merged(spark: SparkSession, root: str, table: str) -> bool:
 
 
 def _once(rows: DataFrame, table: str) -> DataFrame:
-    """Each key once; rows without a whole key once per delivery."""
-    key = list(CONTRACTS[table].key)
-    null = F.greatest(*[F.col(k).isNull().cast("int") for k in key], F.lit(0)) > 0
-    return dedup.first_delivery(rows.filter(~null), table).unionByName(rows.filter(null).distinct())
+    """Each key once; rows without a whole key once per delivery.  One aggregate
+    for both, so the batch is parsed, or the dates are read, once."""
+    return dedup.first_delivery(rows, table, alone=F.struct(*rows.columns))
 
 
 def read_dates(spark: SparkSession, path: str, dates: list[str]) -> DataFrame:

@@ -8,7 +8,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from eventlens import storage
-from eventlens.operators import bronze
+from eventlens.operators import bronze, merge
 from eventlens.sources import files
 
 RAW = "transaction_id string, user_id string, kafka_timestamp timestamp"
@@ -74,3 +74,17 @@ def test_only_days_landed_again_are_read(spark, tmp_path, monkeypatch):
         bronze.write_bronze(rows, path, by_date=True)
     assert read == [[], [], [], [], ["landing_date=2024-01-06"], ["landing_date=2024-01-06"]]
     assert spark.read.parquet(path).count() == 100
+
+
+def test_merge_reads_its_rows_once(spark, tmp_path):
+    names = merge.CONTRACTS["raw_transactions"].names
+    values = [("a", "u1", "2024-01-02"), ("a", "u2", "2024-01-01"), (None, "u3", "2024-01-01"), (None, "u3", "2024-01-01"), (None, "u3", "2024-01-02"), (None, None, None), (None, None, None)]
+    rows = spark.createDataFrame([(t, u, d) for t, u, d in values], "transaction_id string, user_id string, d string")
+    types = dict(merge.CONTRACTS["raw_transactions"].columns)
+    held = {"transaction_id", "user_id"}
+    full = rows.select(*[F.col(c) if c in held else F.col("d").cast("timestamp_ntz").alias(c) if c == "kafka_timestamp" else F.lit(None).cast(types[c]).alias(c) for c in names])
+    full.write.parquet(str(tmp_path / "rows"))
+    once = merge._once(spark.read.parquet(str(tmp_path / "rows")), "raw_transactions")
+    assert once._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    got = sorted(((r.transaction_id, r.user_id, str(r.kafka_timestamp)[:10]) for r in once.collect()), key=str)
+    assert got == sorted([("a", "u2", "2024-01-01"), (None, "u3", "2024-01-01"), (None, "u3", "2024-01-02"), (None, None, "None")], key=str)
