@@ -83,7 +83,7 @@ class _Encoder:
             held, of, size = [], [], 0
 
         for d, t in enumerate(texts):
-            if not self.by_word or word_cutter.UNCOMMON.search(t) or any(x in t for x in self.added):
+            if not self.by_word or not word_cutter.common(t) or any(x in t for x in self.added):
                 out[d] += self._ids([t])
                 continue
             for p in word_cutter.pieces(t):

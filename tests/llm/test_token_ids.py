@@ -25,6 +25,28 @@ def test_context_mixing_beats_order_0():
     assert len(range_coder.encode_block(ids, 50257)) * 8 < 0.6 * -np.log2(share).sum()
 
 
+def test_blocks_keep_their_bytes():
+    """The files of earlier versions can be read, and the model is theirs."""
+    i = np.arange(100_003)
+    ids = np.where(i % 5 < 3, i * i % 7919 % 50, i * 31 % 50257)
+    raw = range_coder.encode_block(ids, 50257)
+    assert (len(raw), zlib.crc32(raw)) == (155694, 3557785166)
+    assert (range_coder.decode_block(raw) == ids).all()
+
+
+def test_few_ids_are_searched_for(monkeypatch):
+    ids = np.random.default_rng(3).integers(0, 200, 1 << 18)
+    raw, search, sought = range_coder.encode_block(ids, 50257), np.searchsorted, []
+
+    def counted(a, v, **k):
+        sought.append(np.size(v))
+        return search(a, v, **k)
+
+    monkeypatch.setattr(np, "searchsorted", counted)
+    assert (range_coder.decode_block(raw) == ids).all()
+    assert sum(sought) < len(ids) // 5
+
+
 def test_broken_blocks_are_found():
     ids = np.random.default_rng(2).integers(0, 50257, 3000)
     raw = bytearray(range_coder.encode_block(ids, 50257))

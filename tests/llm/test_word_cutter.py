@@ -48,3 +48,25 @@ def test_equal_hashes_go_to_the_tokenizer(monkeypatch):
     e, tok = token_binary._Encoder(BPE), Tokenizer.from_file(BPE)
     texts = ["one two three", "four"]
     assert e.encode(texts) == [np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
+def test_known_words_are_neither_sorted_nor_asked_for(monkeypatch):
+    e = token_binary._Encoder(BPE)
+    texts = some_texts(300, 3)[:300]
+    first = e.encode(texts)
+
+    def refuse(*a, **k):
+        raise AssertionError("words of the table")
+
+    monkeypatch.setattr(np, "unique", refuse)
+    monkeypatch.setattr(e.words, "tokenize", refuse)
+    assert e.encode(texts[::-1]) == first[::-1]
+
+
+def test_ids_of_long_words_are_bounded(monkeypatch):
+    monkeypatch.setattr(word_cutter, "MOST", 50)
+    e, tok = token_binary._Encoder(BPE), Tokenizer.from_file(BPE)
+    for i in range(60):
+        text = " ".join(f"{'q' * 40}{chr(97 + i % 26)}z{'x' * k}" for k in range(20))
+        assert e.encode([text]) == [np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
+    assert e.words.filled < 2500
