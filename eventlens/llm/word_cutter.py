@@ -125,7 +125,7 @@ class Words:
         self.pool, self.filled = np.zeros(1 << 16, np.uint32), 0
 
     def _forget(self) -> None:
-        kept = np.flatnonzero(self.table[5][: self.rows])
+        kept = 1 + np.flatnonzero(self.table[5][1 : self.rows])
         if 2 * len(kept) > MOST:
             self.clear()
             return
