@@ -8,7 +8,7 @@ the union of all kinds' fields (``parsed``) and stores the result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import parse_event_time
@@ -47,6 +47,14 @@ def rejected(parsed_messages: DataFrame) -> DataFrame:
     )
 
 
+def may_be(kind: str) -> Column:
+    """Whether a text can be a message of ``kind``, found without a parse: it
+    holds the kind's name as it is, or an escape that can stand for one of its
+    letters (``\\u00..``).  True for every message of the kind; others may pass,
+    and are told apart by parsing."""
+    return F.col("json").contains(kind) | F.col("json").contains("\\u00")
+
+
 def typed(messages: DataFrame, kind: str, with_kafka_time: bool = False) -> DataFrame:
     """P3-P5 (+P6/P8 with broker time): declared fields of one kind,
     struct star-expanded (P9).
@@ -55,9 +63,10 @@ def typed(messages: DataFrame, kind: str, with_kafka_time: bool = False) -> Data
     Catalyst does not push filters or projections through: the routing and
     event-time predicates above it read columns, and each message is
     tokenized once.  A predicate on a projected ``from_json`` would be pushed
-    below the projection and parse the text again."""
+    below the projection and parse the text again.  Of a mixed topic, only
+    messages that can be of the kind are parsed."""
     schema = BY_TYPE[kind]
-    data = messages.select(F.inline(F.array(F.from_json("json", schema))), "kafka_timestamp")
+    data = messages.filter(may_be(kind)).select(F.inline(F.array(F.from_json("json", schema))), "kafka_timestamp")
     names = [f.name for f in schema.fields] + (["kafka_timestamp"] if with_kafka_time else [])
     return data.filter(F.col("data_type") == F.lit(kind)).select(*names)
 

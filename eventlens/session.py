@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -31,6 +32,46 @@ DEFAULTS = {
 }
 
 
+_STATE = "spark.sql.streaming.stateStore"
+#: State of a query whose backlog is one batch, where the session does not say
+#: otherwise: off the heap, as all its groups are in it at once, and closed when
+#: its task ends, so an executor holds only the stores at work.  Counting the
+#: groups held would look up each one twice more.
+LARGE_STATE = {
+    f"{_STATE}.providerClass": DEFAULTS[f"{_STATE}.providerClass"],
+    f"{_STATE}.unloadOnCommit": "true",
+    f"{_STATE}.rocksdb.boundedMemoryUsage": "true",
+    f"{_STATE}.rocksdb.maxMemoryUsageMB": "64",
+    f"{_STATE}.rocksdb.writeBufferSizeMB": "4",
+    f"{_STATE}.rocksdb.trackTotalNumberOfRows": "false",
+}
+#: On a local disk a rename is one call in either manager; the default one
+#: starts processes for every file.
+LOCAL_FILES = {
+    "spark.sql.streaming.checkpointFileManagerClass": (
+        "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager"
+    ),
+}
+
+
+@contextmanager
+def large_state(spark: SparkSession, checkpoint_root: str):
+    """Streaming queries started inside keep ``LARGE_STATE`` (a query copies the
+    session's settings at its start; a checkpoint keeps the store it has)."""
+    from . import storage
+
+    fs, _ = storage._hadoop(spark, checkpoint_root)
+    wanted = LARGE_STATE | (LOCAL_FILES if fs.getScheme() == "file" else {})
+    missing = [k for k in wanted if spark.conf.get(k, None) is None]
+    for key in missing:
+        spark.conf.set(key, wanted[key])
+    try:
+        yield
+    finally:
+        for key in missing:
+            spark.conf.unset(key)
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "eventlens",

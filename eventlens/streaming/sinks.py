@@ -21,6 +21,7 @@ named: no row is ever left without a place.
 from __future__ import annotations
 
 import logging
+import uuid
 from collections import deque
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from .. import storage
 from ..contracts import CONTRACTS, lossy_flag, split_lossy
 from ..operators import merge
+from ..session import work_dir
 from . import store
 
 log = logging.getLogger(__name__)
@@ -114,19 +116,30 @@ class ParquetTableSink:
 @dataclass
 class SharedSink:
     """Gives the tables of one shared query's batch to their sinks.  The batch
-    is computed once and cached for them; each sink writes, falls back and
-    commits for itself, so one table's failure is no other's."""
+    is computed once, into files below ``scratch`` that go with it, and each
+    table reads its rows from there: a backlog arrives as one batch, which the
+    executors' memory need not hold.  Each sink writes, falls back and commits
+    for itself, so one table's failure is no other's."""
 
     tables: dict[str, Callable[[DataFrame], DataFrame]]  # table -> its rows of a batch
     sinks: dict[str, Callable[[DataFrame, int], None]]
+    scratch: str | None = None  # default below the session's shared folder
+    partition: str | None = None  # a column of few values by which tables take their rows
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        batch_df.persist()
+        spark = batch_df.sparkSession
+        path = f"{(self.scratch or work_dir(spark, 'batches')).rstrip('/')}/{uuid.uuid4().hex}"
         try:
+            if self.partition is None:
+                batch_df.write.parquet(path)
+            else:
+                with storage.concurrent_writers(spark, len(self.tables) + 1):
+                    batch_df.write.partitionBy(self.partition).parquet(path)
+            batch = spark.read.schema(batch_df.schema).parquet(path).select(*batch_df.columns)
             for table, rows in self.tables.items():
-                self.sinks[table](rows(batch_df), batch_id)
+                self.sinks[table](rows(batch), batch_id)
         finally:
-            batch_df.unpersist()
+            storage.delete(spark, path)
 
 
 @dataclass
