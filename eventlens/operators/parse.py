@@ -63,10 +63,11 @@ def typed(messages: DataFrame, kind: str, with_kafka_time: bool = False) -> Data
     Catalyst does not push filters or projections through: the routing and
     event-time predicates above it read columns, and each message is
     tokenized once.  A predicate on a projected ``from_json`` would be pushed
-    below the projection and parse the text again.  Of a mixed topic, only
-    messages that can be of the kind are parsed."""
+    below the projection and parse the text again.  Of a streamed topic, only
+    messages that can be of the kind are parsed; a batch may compute its texts,
+    and the filter would compute them again."""
     schema = BY_TYPE[kind]
-    data = messages.filter(may_be(kind)).select(F.inline(F.array(F.from_json("json", schema))), "kafka_timestamp")
+    data = (messages.filter(may_be(kind)) if messages.isStreaming else messages).select(F.inline(F.array(F.from_json("json", schema))), "kafka_timestamp")
     names = [f.name for f in schema.fields] + (["kafka_timestamp"] if with_kafka_time else [])
     return data.filter(F.col("data_type") == F.lit(kind)).select(*names)
 
